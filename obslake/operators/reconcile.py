@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,25 +69,27 @@ def summarise_checks(checks: DataFrame) -> DataFrame:
     )
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Put one-row frames with different columns side by side, without a join."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+
+
 def run_gate(checks: DataFrame, verification: DataFrame | None = None, ok: str = "ok") -> DataFrame:
     """One status row: the run fails if any check or any verification failed.
 
     Checks are reduced to one row per name first; `verification` is any frame
     with a boolean column named by `ok`.
     """
-    per_check = summarise_checks(checks)
-    gate = per_check.agg(
+    gate = summarise_checks(checks).agg(
         F.coalesce(F.sum("checks_total"), F.lit(0)).alias("checks_total"),
         F.coalesce(F.sum("checks_failed"), F.lit(0)).alias("checks_failed"),
         F.max("worst_rel_error").alias("worst_rel_error"),
         F.max_by("check_name", F.struct("worst_rel_error", "check_name")).alias("worst_check"),
     )
     if verification is None:
-        return gate.withColumn("verifications_failed", F.lit(0).cast("bigint")).withColumn(
-            "status", F.when(F.col("checks_failed") > 0, "fail").otherwise("ok")
-        )
-    failed = verification.agg(F.count_if(~F.col(ok)).alias("verifications_failed"))
-    return gate.join(failed, F.lit(True), "inner").withColumn(
-        "status",
-        F.when((F.col("checks_failed") > 0) | (F.col("verifications_failed") > 0), "fail").otherwise("ok"),
-    )
+        gate = gate.withColumn("verifications_failed", F.lit(0).cast("bigint"))
+    else:
+        gate = one_row(gate, verification.agg(F.count_if(~F.col(ok)).alias("verifications_failed")))
+    failed = (F.col("checks_failed") > 0) | (F.col("verifications_failed") > 0)
+    return gate.withColumn("status", F.when(failed, "fail").otherwise("ok"))

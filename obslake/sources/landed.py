@@ -19,12 +19,12 @@ class Tables:
     """Parquet tables of one folder, as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self._spark, self._folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
         setattr(self, name, df)
         return df
 

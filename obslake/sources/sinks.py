@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import decimal_text
+from ..operators.reconcile import one_row, summarise_checks
 
 
 def write_csv(df: DataFrame, path: str) -> list[str]:
@@ -37,25 +38,22 @@ def run_report(
     Everything is reduced per check name or per period before it meets in the
     one row, so the row grows with names and periods and not with the data.
     """
-    failed = (
-        checks.groupBy("check_name")
-        .agg(F.count_if(~F.col("passed")).alias("failed"), F.max("rel_error").alias("worst"))
-        .agg(F.sort_array(F.collect_list(F.struct("check_name", "failed", "worst"))).alias("checks"))
+    failed = summarise_checks(checks).agg(
+        F.sort_array(F.collect_list(F.struct("check_name", "checks_failed", "worst_rel_error"))).alias("checks")
     )
     cover = rows.agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(period).alias("first_period"), F.max(period).alias("last_period")
     )
-    out = gate.join(cover, F.lit(True)).join(failed, F.lit(True)).withColumn("run_id", F.lit(run_id))
+    frames = [gate, cover, failed]
     if warnings:
-        per = (
+        frames.append(
             rows.filter(F.size(warnings) > 0)
             .select(F.col(period).cast("string").alias("p"), F.explode(warnings).alias("w"))
             .groupBy("p", "w").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("p").agg(F.sort_array(F.collect_list(F.struct("w", "n"))).alias("ws"))
             .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("p", "ws")))).alias("warnings"))
         )
-        out = out.join(per, F.lit(True), "left")
-    return out
+    return one_row(*frames).withColumn("run_id", F.lit(run_id))
 
 
 def write_report(report: DataFrame, path: str) -> None:
