@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .numbers import MONEY, PARSED, parse_number, scaled
@@ -49,25 +49,32 @@ class FactSpec:
     dtype: str = MONEY
 
 
-def fact_value(c: Column, spec: FactSpec) -> Column:
-    v = parse_number(F.regexp_extract(c, spec.pattern, spec.value_group), PARSED)
+def _value(phrase: Column, spec: FactSpec) -> Column:
+    """The figure of a matched phrase; the phrase is short, so its groups are cheap to take."""
+    v = parse_number(F.regexp_extract(phrase, spec.pattern, spec.value_group), PARSED)
     v = scaled(v, spec.factor, spec.dtype)
     if spec.sign_group:
-        word = F.regexp_extract(c, spec.pattern, spec.sign_group)
+        word = F.regexp_extract(phrase, spec.pattern, spec.sign_group)
         negative = [w for w, s in spec.signs.items() if s < 0]
         v = F.when(word.isin(*negative), -v).otherwise(v)
     if spec.unless:
-        v = F.when(F.regexp_extract(c, spec.pattern, 0).contains(spec.unless), None).otherwise(v)
+        v = F.when(phrase.contains(spec.unless), None).otherwise(v)
     return v.cast(spec.dtype)
 
 
-def fact_matched(c: Column, spec: FactSpec) -> Column:
-    return F.regexp_extract(c, spec.pattern, 0) != ""
+def phrase_of(name: str) -> Column:
+    """The phrase `extract_facts` matched for a figure; empty when there was none."""
+    return F.col(f"{name}_phrase")
 
 
-def extract_facts(c: Column, specs: Sequence[FactSpec]) -> dict[str, Column]:
-    """One Column per spec, null where the text does not state the figure."""
-    return {s.name: fact_value(c, s).alias(s.name) for s in specs}
+def extract_facts(df: DataFrame, text: Column, specs: Sequence[FactSpec]) -> DataFrame:
+    """Add one column per spec, null where the text does not state the figure.
+
+    The text is searched once per spec; the matched phrase stays in
+    `<name>_phrase`. Patterns must not look beyond their own match.
+    """
+    phrases = df.withColumns({f"{s.name}_phrase": F.regexp_extract(text, s.pattern, 0) for s in specs})
+    return phrases.withColumns({s.name: _value(phrase_of(s.name), s) for s in specs})
 
 
 def warnings_array(findings: Sequence[tuple[Column, str]]) -> Column:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space spelled out: Java's \s is ASCII only.
+# Unicode white space spelled out, one by one where it is Latin-1: Java's \s is ASCII only,
+# and single characters of that block match by table look-up.
 WS_CLASS = (
-    r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    r" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x{85}\x{a0}"
+    r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 
 _DROPPED_REGIONS = (
@@ -39,7 +41,7 @@ def collapse_ws(c: Column) -> Column:
 
 def text_norm(c: Column) -> Column:
     """Normal form for containment: no white space, no commas, half-width percent."""
-    return F.regexp_replace(F.regexp_replace(c, f"[{WS_CLASS},，]", ""), "％", "%")
+    return F.replace(F.regexp_replace(c, f"[{WS_CLASS},，]+", ""), F.lit("％"), F.lit("%"))
 
 
 def printed_core(printed: Column) -> Column:
@@ -48,23 +50,26 @@ def printed_core(printed: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, "元$", ""), "-", "")
 
 
-def literal_in_text(printed: Column, text: Column, boundary: bool = False) -> Column:
+def literal_in_text(
+    printed: Column, text: Column, boundary: bool = False, normalised: Column | None = None
+) -> Column:
     """Does the printed value occur in the text, with or without its 億 unit?
 
     A plain `0` is found in any text with a zero. With `boundary` the match may
-    not continue a longer number, so `47%` is not found inside `147%`.
+    not continue a longer number, so `47%` is not found inside `147%`. Pass the
+    text's `text_norm` as a column of its own to normalise a long text once.
     """
     core = printed_core(printed)
-    hay = text_norm(text)
-    full, bare = text_norm(core), text_norm(F.regexp_replace(core, "億", ""))
-    if boundary:
-        def found(needle: Column) -> Column:
-            pattern = F.concat(F.lit(r"(?<![0-9.])\Q"), needle, F.lit(r"\E(?![0-9])"))
-            return F.call_function("rlike", hay, pattern)
-    else:
-        def found(needle: Column) -> Column:
+    hay = text_norm(text) if normalised is None else normalised
+
+    def found(needle: Column) -> Column:
+        if not boundary:
             return F.contains(hay, needle)
-    return F.when(core == "0", F.contains(text, F.lit("0"))).otherwise(found(full) | found(bare))
+        pattern = F.concat(F.lit(r"(?<![0-9.])\Q"), needle, F.lit(r"\E(?![0-9])"))
+        return F.call_function("rlike", hay, pattern)
+
+    without_unit = core.contains("億") & found(text_norm(F.replace(core, F.lit("億"), F.lit(""))))
+    return F.when(core == "0", F.contains(text, F.lit("0"))).otherwise(found(text_norm(core)) | without_unit)
 
 
 def unescape(c: Column) -> Column:

@@ -19,10 +19,15 @@ def percentile_benchmark(
     )
 
 
+def year_mean_of(value: str) -> Column:
+    """Aggregate: mean of the values present, divided as doubles."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+
+
 def year_mean(df: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:
     """Mean of the month-ends of each calendar year."""
     return df.groupBy(*keys, F.year(period).alias("year")).agg(
-        (F.sum(value).cast("double") / F.count(value)).alias("year_mean"), F.count(value).alias("n_months")
+        year_mean_of(value).alias("year_mean"), F.count(value).alias("n_months")
     )
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..session import ensure_checkpoint_dir
-from .ordered import carry_last, first_per_key, null_safe
+from .ordered import asof_join, first_per_key  # noqa: F401
+from .reconcile import rel_error
 
 
 def prior_period_rows(
@@ -39,57 +40,18 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
 def compare_channels(
     a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float
 ) -> DataFrame:
-    """Full outer comparison of one measure in two channels, one row per key in each."""
-    l, r = a.select(*keys, F.col(value).alias("value_a")), b.select(
-        *[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("value_b")
-    )
-    cond = reduce(lambda x, y: x & y, [l[k].eqNullSafe(r[f"_{k}"]) for k in keys])
-    both = F.col("value_a").isNotNull() & F.col("value_b").isNotNull()
-    diff = F.col("value_a") - F.col("value_b")
-    a_, b_ = F.col("value_a").cast("double"), F.col("value_b").cast("double")
-    rel = F.abs(a_ - b_) / F.when(b_ != 0, F.abs(b_)).otherwise(F.lit(1.0))
-    return l.join(r, cond, "full").select(
-        *[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys],
-        "value_a",
-        "value_b",
-        diff.alias("difference"),
-        F.when(both, rel <= tolerance).alias("agrees"),
-    )
-
-
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_order: str,
-    right_order: str,
-    payload: Sequence[str],
-    bucket,
-    prefix: str = "asof_",
-) -> DataFrame:
-    """Attach the latest right row at or before each left row.
+    """Full outer comparison of one measure in two channels, one row per key in each.
 
-    One union and one bucketed carry: no range join, and a hot key is spread
-    over its time buckets. `bucket` maps the order column to its bucket.
-    Right rows of one key must differ in `right_order`.
+    Stacked and grouped instead of joined: keys match null-safe and each side
+    is shuffled once.
     """
-    l = left.withColumn("_t", F.col(left_order)).withColumn("_side", F.lit(1))
-    r = right.select(
-        *keys, F.col(right_order).alias("_t"), F.lit(0).alias("_side"), *[F.col(p).alias(f"_p_{p}") for p in payload]
-    )
-    both = l.unionByName(r, allowMissingColumns=True)
-    filled = carry_last(
-        both,
-        keys,
-        ["_t", "_side"],
-        F.col("_side") == 0,
-        [f"_p_{p}" for p in payload],
-        bucket(F.col("_t")),
-        prefix="_g",
-    )
-    return filled.filter(F.col("_side") == 1).select(
-        *left.columns, *[F.col(f"_g_p_{p}").alias(prefix + p) for p in payload]
+    none = F.lit(None)
+    both_sides = a.select(*keys, F.col(value).alias("a"), none.alias("b")).unionByName(
+        b.select(*keys, none.alias("a"), F.col(value).alias("b"))
     )
+    g = both_sides.groupBy(*keys).agg(F.max("a").alias("value_a"), F.max("b").alias("value_b"))
+    rel = rel_error(F.col("value_a").cast("double"), F.col("value_b").cast("double"))
+    return g.withColumn("difference", F.col("value_a") - F.col("value_b")).withColumn("agrees", rel <= tolerance)
 
 
 def validity_join(
@@ -154,9 +116,3 @@ def merge_sources(sources: Sequence[DataFrame], key: str, order: Sequence[str] =
 def admitted_only(df: DataFrame, admitted: DataFrame, key: str) -> DataFrame:
     """Rows whose document was admitted."""
     return df.join(admitted.select(key), key, "left_semi")
-
-
-def anti_by_key(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not known; keys compare null-safe and are distinct on the right."""
-    k = known.select(*keys).distinct()
-    return df.join(k, null_safe(df, k, keys), "left_anti")

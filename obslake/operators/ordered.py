@@ -1,14 +1,14 @@
 """Ordered operators that stay safe when one key holds a large share of the rows.
 
-A plain window over a hot key sorts that key in one task. `carry_last` splits
-every key's timeline into buckets: rows are windowed per (key, bucket), each
-bucket is summarised to one row before the shuffle, and only the summaries,
-one per bucket, are windowed per key.
+A plain window over a hot key sorts that key in one task. The carries here
+split every key's timeline into buckets: rows are windowed per (key, bucket),
+each bucket's sources are reduced to one row before the shuffle, and only
+those, one per bucket, are windowed per key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -26,11 +26,51 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+def key_struct(keys: Sequence[str]) -> Column:
+    """All key columns as one value. Structs compare nulls as equal, so joins and
+    windows on it are null-safe and share one partitioning."""
+    return F.struct(*keys).alias("_key")
+
+
+def _carry_in(
+    spine: DataFrame, sources: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str]
+) -> DataFrame:
+    """(key, bucket, payload of the last source in an earlier bucket) for the buckets of `spine`."""
+    pos = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    last = sources.groupBy(*keys, "_b").agg(*[F.max_by(p, pos).alias(p) for p in payload])
+    marks = spine.select(*keys, "_b").distinct().withColumn("_has", F.lit(0)).unionByName(
+        last.withColumn("_has", F.lit(1)), allowMissingColumns=True
+    )
+    # a bucket's own sources come after its spine row
+    before = W.partitionBy(*keys).orderBy("_b", "_has").rowsBetween(W.unboundedPreceding, W.currentRow)
+    got = F.last(F.when(F.col("_has") == 1, F.struct(*payload)), ignorenulls=True).over(before)
+    carried = marks.withColumn("_carry", got).filter("_has = 0 AND _carry IS NOT NULL")
+    return carried.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_kb"), "_carry"
+    )
+
+
+def _carry(
+    rows: DataFrame,
+    spine: DataFrame,
+    sources: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    payload: Sequence[str],
+    prefix: str,
+) -> DataFrame:
+    here = (
+        W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    within = rows.withColumn(
+        "_in", F.last(F.when(F.col("_src"), F.struct(*payload)), ignorenulls=True).over(here)
+    )
+    cond = F.col("_b") == F.col("_kb")
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) == F.col(f"_k{i}"))
+    joined = within.join(_carry_in(spine, sources, keys, order, payload), cond, "left")
+    got = F.coalesce("_in", "_carry")
+    return joined.withColumns({prefix + p: got.getField(p) for p in payload})
 
 
 def carry_last(
@@ -47,30 +87,41 @@ def carry_last(
     `bucket` must be a non-decreasing function of `order`, such as the hour of
     the timestamp. `order` must be total within a key.
     """
-    rows = df.withColumn("_b", bucket).withColumn("_src", is_source)
-    here = (
-        W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    within = rows.withColumn(
-        "_in", F.last(F.when(F.col("_src"), F.struct(*payload)), ignorenulls=True).over(here)
-    )
+    source = F.coalesce(is_source, F.lit(False))
+    rows = df.withColumn("_b", bucket).withColumn("_src", source)
+    bucketed = df.withColumn("_b", bucket)
+    out = _carry(rows, bucketed.filter(~source), bucketed.filter(source), keys, order, payload, prefix)
+    return out.select(*df.columns, *[prefix + p for p in payload])
 
-    pos = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    at = F.when(F.col("_src"), pos)
-    summary = rows.groupBy(*keys, "_b").agg(
-        F.max(at).isNotNull().alias("_has"), *[F.max_by(p, at).alias(p) for p in payload]
+
+def asof_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_order: str,
+    right_order: str,
+    payload: Sequence[str],
+    bucket: Callable[[Column], Column],
+    prefix: str = "asof_",
+) -> DataFrame:
+    """Attach the latest right row at or before each left row.
+
+    No range join: both sides are stacked and carried, and a hot key is spread
+    over its time buckets. `bucket` maps the order column to its bucket. Right
+    rows of one key must differ in `right_order`.
+    """
+    at = {"_t": F.col(left_order), "_b": bucket(F.col(left_order))}
+    l = left.withColumns(at)
+    r = right.select(
+        *keys, F.col(right_order).alias("_t"), bucket(F.col(right_order)).alias("_b"),
+        *[F.col(p).alias(f"_p_{p}") for p in payload],
     )
-    before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    carry = summary.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_b").alias("_kb"),
-        F.last(F.when(F.col("_has"), F.struct(*payload)), ignorenulls=True).over(before).alias("_carry"),
+    rows = l.withColumns({"_side": F.lit(1), "_src": F.lit(False)}).unionByName(
+        r.withColumns({"_side": F.lit(0), "_src": F.lit(True)}), allowMissingColumns=True
     )
-    cond = F.col("_b") == F.col("_kb")
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(k) == F.col(f"_k{i}"))
-    joined = within.join(carry, cond, "left")
-    got = F.coalesce("_in", "_carry")
-    return joined.select(
-        *[F.col(c) for c in df.columns], *[got.getField(p).alias(prefix + p) for p in payload]
+    # on equal times the right row comes first
+    cols = [f"_p_{p}" for p in payload]
+    out = _carry(rows, l, r.withColumn("_side", F.lit(0)), keys, ["_t", "_side"], cols, "_g")
+    return out.filter(F.col("_side") == 1).select(
+        *left.columns, *[F.col(f"_g_p_{p}").alias(prefix + p) for p in payload]
     )

@@ -57,8 +57,8 @@ def _row(c: Check) -> Column:
 
 def reconcile(df: DataFrame, checks: Sequence[Check], keep: Sequence[str] = ()) -> DataFrame:
     """Long check rows, all checks in one pass over `df`."""
-    rows = F.array_compact(F.array(*[_row(c) for c in checks]))
-    return df.select(*keep, F.explode(rows).alias("_c")).select(*keep, "_c.*")
+    rows = df.select(*keep, F.explode(F.array(*[_row(c) for c in checks])).alias("_c"))
+    return rows.filter(F.col("_c").isNotNull()).select(*keep, "_c.*")
 
 
 def summarise_checks(checks: DataFrame) -> DataFrame:

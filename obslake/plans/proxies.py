@@ -118,33 +118,37 @@ def panel(t: Tables) -> DataFrame:
     buffer = lines neither returned nor accepted.
     """
     price, disc, tax = (money(F.col(c)) for c in ("l_extendedprice", "l_discount", "l_tax"))
-    parts = t.lineitem.groupBy(
-        "l_suppkey", month_start(F.col("l_shipdate")).alias("obs_month"), "l_returnflag", "l_linestatus"
-    ).agg(
-        F.sum(price).cast(AMOUNT).alias("price"),
-        F.sum((price * disc.cast("decimal(4,2)"))).cast(AMOUNT).alias("disc"),
-        F.sum((price * tax.cast("decimal(4,2)"))).cast(AMOUNT).alias("tax"),
+    flag, filled = F.col("l_returnflag"), F.col("l_linestatus") == "F"
+    zero = F.lit(0).cast(MONEY)
+
+    def part(cond):
+        return F.sum(F.when(cond, price).otherwise(zero))
+
+    measures = {
+        "assets": F.sum(price),
+        "hedges": part(flag == "R"),
+        "policy": part((flag == "A") & filled),
+        "unhedged_equity": F.sum(price * disc.cast("decimal(4,2)")),
+        "swap_cost": F.sum(price * tax.cast("decimal(4,2)")),
+        "reserve": part((flag == "N") & filled),
+        "equity": part((flag == "N") & ~filled),
+    }
+    basis = F.when(filled, F.lit("disclosed")).otherwise(F.lit("estimated"))
+    flags = ("A", "N", "R")
+    per_supplier = t.lineitem.groupBy("l_suppkey", month_start(F.col("l_shipdate")).alias("obs_month")).agg(
+        *[c.cast(AMOUNT).alias(n) for n, c in measures.items()],
         F.max(F.col("l_shipdate").cast("date")).alias("vintage"),
+        F.min(basis_rank(basis)).alias("rank"),
+        *[F.max(flag == f).alias(f"from_{f}") for f in flags],
     )
-    s = parts.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    n = s.join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-
-    def where(cond, col: str, name: str):
-        return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0)).cast(AMOUNT).alias(name)
-
-    basis = F.when(status == "F", F.lit("disclosed")).otherwise(F.lit("estimated"))
-    return n.groupBy(F.col("n_name").alias("entity"), "obs_month").agg(
-        F.sum("price").cast(AMOUNT).alias("assets"),
-        where(flag == "R", "price", "hedges"),
-        where((flag == "A") & (status == "F"), "price", "policy"),
-        F.sum("disc").cast(AMOUNT).alias("unhedged_equity"),
-        F.sum("tax").cast(AMOUNT).alias("swap_cost"),
-        where((flag == "N") & (status == "F"), "price", "reserve"),
-        where((flag == "N") & (status == "O"), "price", "equity"),
+    placed = per_supplier.join(
+        t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
+    ).join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return placed.groupBy(F.col("n_name").alias("entity"), "obs_month").agg(
+        *[F.sum(n).cast(AMOUNT).alias(n) for n in measures],
         F.max("vintage").alias("vintage"),
-        rank_basis(F.min(basis_rank(basis))).alias("basis"),
-        F.concat_ws("; ", F.sort_array(F.collect_set("l_returnflag"))).alias("sources"),
+        rank_basis(F.min("rank")).alias("basis"),
+        F.concat_ws("; ", *[F.when(F.max(f"from_{f}"), F.lit(f)) for f in flags]).alias("sources"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.numbers import MONEY
 from ..operators import flows, indicators as ind, reserves as rs
-from ..operators.aggregates import percentile_benchmark, year_mean
+from ..operators.aggregates import percentile_benchmark, year_mean_of
 from ..sources import sinks
 from .proxies import AMOUNT, PANEL_SQL, monthly_by, monthly_sql, panel
 from .registry import query
@@ -271,9 +271,10 @@ def _ratio_years(t):
         ind.regulatory_hedge_ratio(F.col("hedges"), F.col("assets"), F.col("policy"), F.col("unhedged_equity")).alias("ratio"),
     ).withColumn("ratio_d", F.col("ratio").cast("decimal(20,12)"))
     bench = percentile_benchmark(r, ["entity"], "obs_month", "ratio", "1996-01-01", "1998-12-01").drop("n_months")
-    cur = year_mean(r, ["entity"], "obs_month", "ratio_d").select("entity", "year", F.col("year_mean").alias("current_ratio"))
-    dens = year_mean(r, ["entity"], "obs_month", "den").select("entity", "year", F.col("year_mean").alias("mean_denominator"))
-    return cur.join(dens, ["entity", "year"]).join(bench, "entity", "left")
+    years = r.groupBy("entity", F.year("obs_month").alias("year")).agg(
+        year_mean_of("ratio_d").alias("current_ratio"), year_mean_of("den").alias("mean_denominator")
+    )
+    return years.join(bench, "entity", "left")
 
 
 @query(

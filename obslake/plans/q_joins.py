@@ -227,7 +227,7 @@ b AS (SELECT item_id, {norm_sql('text')} AS v FROM benchmark)
 SELECT doc_id, item_id FROM d JOIN b ON contains(t, v) WHERE v <> ''""",
 )
 def literal_containment(t):
-    return containment_pairs(t.documents, "doc_id", "text", t.benchmark, "item_id", "text")
+    return containment_pairs(landed.spread(t.documents), "doc_id", "text", t.benchmark, "item_id", "text")
 
 
 def citations(t):

@@ -6,6 +6,7 @@ from ..functions import facts, numbers as num, text as tx
 from ..operators.extract import carry_header, first_yielding as first_of_kind, quarantine as route
 from ..operators.ordered import carry_last, first_per_key
 from ..sources import landed
+from ..sources.landed import spread
 from .q_joins import WS_SQL, norm_sql
 from .registry import query
 
@@ -190,7 +191,7 @@ p AS (SELECT page_id, {PARAGRAPH_SQL} AS paragraph FROM pieces)
 SELECT page_id, paragraph, count(*) AS n FROM p WHERE paragraph <> '' GROUP BY 1, 2""",
 )
 def page_paragraphs(t):
-    p = t.pages.select("page_id", F.explode(tx.page_paragraphs(F.col("html"))).alias("paragraph"))
+    p = spread(t.pages).select("page_id", F.explode(tx.page_paragraphs(F.col("html"))).alias("paragraph"))
     return p.groupBy("page_id", "paragraph").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -209,7 +210,7 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, kind FROM c WHERE NOT is_header""",
 )
 def header_carry_forward(t):
     clean = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->", "")
-    blocks = t.pages.select(
+    blocks = spread(t.pages).select(
         "page_id", F.posexplode(F.regexp_extract_all(clean, F.lit(r"(?is)<(?:h1|li|p)\b[^>]*>[^<]*"), F.lit(0))).alias("pos", "block")
     ).withColumn("txt", tx.collapse_ws(tx.strip_tags(F.col("block"))))
     out = carry_header(
@@ -249,7 +250,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY pos) = 1""",
 )
 def first_yielding(t):
     kind = [("@", "contact"), ("de", "romance")]
-    return first_of_kind(t.documents, ["doc_id"], F.split("text", "\n"), kind, "other").select(
+    return first_of_kind(spread(t.documents), ["doc_id"], F.split("text", "\n"), kind, "other").select(
         "doc_id", "kind", "pos", "n_figures"
     )
 
@@ -296,8 +297,8 @@ def classify_label(t):
 FROM documents""",
 )
 def squash_ws(t):
-    s = tx.squash_ws(F.col("text"))
-    return t.documents.select("doc_id", F.length(s).cast("bigint").alias("n"), F.md5(s).alias("digest"))
+    d = spread(t.documents).select("doc_id", tx.squash_ws(F.col("text")).alias("s"))
+    return d.select("doc_id", F.length("s").cast("bigint").alias("n"), F.md5("s").alias("digest"))
 
 
 PARSE_SQL = f"""WITH tok AS (
@@ -335,7 +336,7 @@ SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(n_cells AS INTEGER) AS n_cells,
   CAST(CASE WHEN n_cells >= 2 THEN v[2] END AS DOUBLE) AS second_value FROM n""",
 )
 def numeric_cells(t):
-    lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = spread(t.documents).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     rows = lines.withColumn("v", num.numeric_cells(F.split("line", " "))).filter(F.size("v") > 0)
     three = num.pad_three(F.col("v"))
     return rows.select(
@@ -403,14 +404,17 @@ SELECT doc_id, CAST(try_cast(a AS DECIMAL(20,4)) AS DOUBLE) AS first_octet, CAST
 FROM d""",
 )
 def extract_facts(t):
-    c = F.col("text")
-    got = facts.extract_facts(c, SPECS)
-    suppressed = F.regexp_extract(c, SPECS[3].pattern, 0).contains("th")
-    w = facts.warnings_array([(got["first_octet"].isNull(), "address not found"), (suppressed, "mail number suppressed")])
-    return t.documents.select(
+    got = facts.extract_facts(spread(t.documents), F.col("text"), SPECS)
+    w = facts.warnings_array(
+        [
+            (F.col("first_octet").isNull(), "address not found"),
+            (facts.phrase_of("mail_number").contains("th"), "mail number suppressed"),
+        ]
+    )
+    return got.select(
         "doc_id",
-        *[v.cast("double").alias(k) for k, v in got.items()],
-        F.coalesce(got["first_octet"], -got["account"]).cast("double").alias("with_fallback"),
+        *[F.col(s.name).cast("double").alias(s.name) for s in SPECS],
+        F.coalesce(F.col("first_octet"), -F.col("account")).cast("double").alias("with_fallback"),
         F.array_join(w, "; ").alias("warnings"),
     )
 
@@ -462,9 +466,12 @@ SELECT doc_id, CASE WHEN v = '0' THEN contains(text, '0') ELSE contains(t, v) EN
   CASE WHEN v = '0' THEN contains(text, '0') ELSE regexp_matches(t, '(?:^|[^0-9.])' || v || '(?:$|[^0-9])') END AS bounded FROM d""",
 )
 def literal_boundary(t):
-    printed = (F.col("n_chars") % 100).cast("string")
-    return t.documents.select(
+    d = spread(t.documents).select(
+        "doc_id", "text", (F.col("n_chars") % 100).cast("string").alias("printed"), tx.text_norm(F.col("text")).alias("norm")
+    )
+    args = (F.col("printed"), F.col("text"))
+    return d.select(
         "doc_id",
-        tx.literal_in_text(printed, F.col("text")).alias("plain"),
-        tx.literal_in_text(printed, F.col("text"), boundary=True).alias("bounded"),
+        tx.literal_in_text(*args, normalised=F.col("norm")).alias("plain"),
+        tx.literal_in_text(*args, boundary=True, normalised=F.col("norm")).alias("bounded"),
     )

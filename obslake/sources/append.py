@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import anti_by_key
-from ..operators.ordered import first_per_key
+from ..operators.ordered import first_per_key, key_struct
 
 
 def new_rows(
@@ -20,16 +19,20 @@ def new_rows(
 ) -> DataFrame:
     """Rows of the batch whose key the target does not hold; the first arrival of a key wins.
 
-    Give the target's partition column when it is part of the key: only the
-    partitions the batch touches are then read.
+    Keys compare null-safe. Give the target's partition column when it is part
+    of the key: only the partitions the batch touches are then read.
     """
-    first = first_per_key(batch, keys, [F.col(c).asc_nulls_first() for c in arrival])
+    first = first_per_key(
+        batch.withColumn("_key", key_struct(keys)), ["_key"], [F.col(c).asc_nulls_first() for c in arrival]
+    )
     if target is None:
-        return first
+        return first.drop("_key")
     if partition:
         touched = batch.select(partition).distinct()
-        target = target.join(touched, partition, "left_semi")
-    return anti_by_key(first, target, keys)
+        cond = target[partition].eqNullSafe(touched[partition])
+        target = target.join(touched, cond, "left_semi")
+    held = target.select(key_struct(keys)).distinct()
+    return first.join(held, "_key", "left_anti").drop("_key")
 
 
 def insert_ignore(
@@ -49,6 +52,17 @@ def append_new(
     (w.partitionBy(partition) if partition else w).parquet(path)
 
 
+def save_store(df: DataFrame, table: str, keys: Sequence[str], vintage: str, buckets: int) -> None:
+    """Save a vintaged store bucketed by its natural key and sorted by vintage.
+
+    Point-in-time reads of the table then need no shuffle.
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, vintage).saveAsTable(table)
+    )
+
+
 def source_status(df: DataFrame, url: str, doc: str, ok: Column, note: Column, attempt: str) -> DataFrame:
     """Source-status rows; the attempt number keeps a fail-then-ok pair of one URL apart."""
     return df.select(

@@ -29,6 +29,16 @@ class Tables:
         return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that lies in fewer splits than there are cores.
+
+    For costly per-row work on small landings, such as one file with one row
+    group. A table with splits enough is returned as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """Landed pages of a folder; the id is the file stem."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)

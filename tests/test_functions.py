@@ -127,5 +127,5 @@ def test_fact_specs(spark):
         facts.FactSpec("income", r"為(負)?([\d,]+)億元", 2, 100, 1, {"負": -1}),
     ]
     df = spark.createDataFrame([("貶值幅度為2.5%，利益為負1,200億元",), ("升值幅度為9.1%",), ("無",)], "x string")
-    got = [tuple(r) for r in df.select(*facts.extract_facts(F.col("x"), specs).values()).collect()]
+    got = [tuple(r) for r in facts.extract_facts(df, F.col("x"), specs).select("move", "income").collect()]
     assert got == [(D("-2.5"), D(-120000)), (None, None), (None, None)]

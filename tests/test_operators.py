@@ -243,14 +243,15 @@ def test_containment_equals_brute_force(spark):
         [(0, "3726億元"), (1, "dogs jump and 12 box"), (2, "e"), (3, "zzz"), (4, ""), (5, "aaaaaaaaaaaaaaaaaaaa"), (6, "the end")],
         "item int, v string",
     )
-    got = containment.containment_pairs(docs, "doc", "t", items, "item", "v")
     from obslake.functions.text import text_norm
 
     want = docs.crossJoin(items).filter(
         F.contains(text_norm(F.col("t")), text_norm(F.col("v"))) & (text_norm(F.col("v")) != "")
     )
-    assert rows(got, "doc", "item") == rows(want, "doc", "item")
-    assert got.count() == 7
+    for limit in (containment.BROADCAST_ROWS, 0):
+        got = containment.containment_pairs(docs, "doc", "t", items, "item", "v", broadcast_rows=limit)
+        assert rows(got, "doc", "item") == rows(want, "doc", "item")
+        assert got.count() == 7
 
 
 # ------------------------------------------------------------- reconcile
@@ -377,3 +378,42 @@ def test_regression_backfill_marks_estimates(spark):
     got = sorted(aggregates.regression_backfill(df, ["e"], "y", "x").collect(), key=lambda r: r["x"])
     assert [r["basis"] for r in got[:3]] == ["estimated", "estimated", "disclosed"]
     assert abs(got[0]["value"] - 3.0) < 1e-9 and got[0]["ci_low"] is not None and got[5]["ci_low"] is None
+
+
+# ------------------------------------------------------------- plans
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_vintage_is_limited_before_the_shuffle(spark):
+    p = plan(vt.latest_vintage(store(spark), ["m", "channel"], "vintage"))
+    assert "WindowGroupLimit" in p and p.count("Exchange") == 1
+
+
+def test_bucketed_store_reads_without_shuffle(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS stores LOCATION '{tmp_path}/db'")
+    append.save_store(store(spark), "stores.obs", ["m", "channel"], "vintage", 4)
+    got = vt.latest_vintage(spark.table("stores.obs"), ["m", "channel"], "vintage")
+    assert "Exchange" not in plan(got) and got.count() == 3
+    spark.sql("DROP TABLE stores.obs")
+
+
+def test_append_shuffles_each_side_once(spark):
+    b = spark.range(100).selectExpr("id AS k", "id % 3 AS m", "id AS seq")
+    t = spark.range(50).selectExpr("id AS k", "id % 3 AS m", "id AS seq")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = append.new_rows(b, t, ["k", "m"], ["seq"])
+        assert plan(fresh).count("Exchange hashpartitioning") == 2
+        assert fresh.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_nested_loops_or_cross_products(spark, sf_dir):
+    from obslake.plans import all_queries
+
+    bad = [n for n, q in all_queries().items() if not n.startswith("stream_") and ("NestedLoop" in (p := plan(q(spark, sf_dir))) or "Cartesian" in p)]
+    assert not bad
