@@ -168,12 +168,23 @@ def rank_basis(c: Column) -> Column:
 
 
 def carried_provenance(
-    vintage: str = "vintage", retrieved_at: str = "retrieved_at", basis: str = "basis", source: str = "source_doc"
+    vintage: str = "vintage", retrieved_at: str = "retrieved_at", basis: str = "basis", sources: str = "sources"
 ) -> list[Column]:
-    """Aggregates that keep provenance through a derivation."""
+    """Aggregates that keep provenance through a derivation.
+
+    `sources` names source systems or channels, a short fixed list, joined by
+    "; "; the result is their distinct union. For the documents behind a
+    figure, which are many, use `provenance_links`.
+    """
+    names = F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.split(sources, "; ")))))
     return [
         F.max(vintage).alias("vintage"),
         F.max(retrieved_at).alias("retrieved_at"),
         rank_basis(F.min(basis_rank(F.col(basis)))).alias("basis"),
-        F.concat_ws("; ", F.sort_array(F.collect_set(source))).alias("sources"),
+        F.array_join(names, "; ").alias("sources"),
     ]
+
+
+def provenance_links(df: DataFrame, keys: Sequence[str], document: str) -> DataFrame:
+    """Which documents stand behind which derived figure, one row per link."""
+    return df.select(*keys, document).filter(F.col(document).isNotNull()).distinct()

@@ -135,9 +135,11 @@ def panel(t: Tables) -> DataFrame:
     }
     basis = F.when(filled, F.lit("disclosed")).otherwise(F.lit("estimated"))
     flags = ("A", "N", "R")
+    shipped = F.col("l_shipdate").cast("date")
     per_supplier = t.lineitem.groupBy("l_suppkey", month_start(F.col("l_shipdate")).alias("obs_month")).agg(
         *[c.cast(AMOUNT).alias(n) for n, c in measures.items()],
-        F.max(F.col("l_shipdate").cast("date")).alias("vintage"),
+        F.max(shipped).alias("vintage"),
+        F.max(F.date_add(shipped, F.col("l_linenumber"))).alias("retrieved_at"),
         F.min(basis_rank(basis)).alias("rank"),
         *[F.max(flag == f).alias(f"from_{f}") for f in flags],
     )
@@ -147,6 +149,7 @@ def panel(t: Tables) -> DataFrame:
     return placed.groupBy(F.col("n_name").alias("entity"), "obs_month").agg(
         *[F.sum(n).cast(AMOUNT).alias(n) for n in measures],
         F.max("vintage").alias("vintage"),
+        F.max("retrieved_at").alias("retrieved_at"),
         rank_basis(F.min("rank")).alias("basis"),
         F.concat_ws("; ", *[F.when(F.max(f"from_{f}"), F.lit(f)) for f in flags]).alias("sources"),
     )
@@ -162,6 +165,7 @@ PANEL_SQL = """panel AS (
     CAST(coalesce(sum(p) FILTER (l_returnflag = 'N' AND l_linestatus = 'F'), 0) AS DECIMAL(24,6)) AS reserve,
     CAST(coalesce(sum(p) FILTER (l_returnflag = 'N' AND l_linestatus = 'O'), 0) AS DECIMAL(24,6)) AS equity,
     CAST(max(l_shipdate) AS DATE) AS vintage,
+    max(CAST(l_shipdate AS DATE) + l_linenumber) AS retrieved_at,
     CASE WHEN bool_or(l_linestatus <> 'F') THEN 'estimated' ELSE 'disclosed' END AS basis,
     string_agg(DISTINCT l_returnflag, '; ' ORDER BY l_returnflag) AS sources
   FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(20,4)) AS p FROM lineitem)

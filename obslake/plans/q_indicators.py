@@ -11,7 +11,7 @@ from ..sources import sinks
 from .proxies import AMOUNT, PANEL_SQL, monthly_by, monthly_sql, panel
 from .registry import query
 
-PROV = ("vintage", "basis", "sources")
+PROV = ("vintage", "retrieved_at", "basis", "sources")
 
 
 def dbl(c):
@@ -25,17 +25,36 @@ def r6(c, name):
 @query(
     "ind_economic_ratio",
     f"""WITH {PANEL_SQL}
-SELECT entity, obs_month, round(CAST(hedges + policy AS DOUBLE) / CAST(assets AS DOUBLE), 6) AS value, vintage, basis, sources FROM panel""",
+SELECT entity, obs_month, round(CAST(hedges + policy AS DOUBLE) / CAST(assets AS DOUBLE), 6) AS value, vintage, retrieved_at, basis, sources FROM panel""",
 )
 def ind_economic_ratio(t):
     v = ind.economic_hedge_ratio(F.col("hedges"), F.col("policy"), F.col("assets"))
     return panel(t).select("entity", "obs_month", r6(v, "value"), *PROV)
 
 
+@query(
+    "ind_sector_ratio",
+    f"""WITH {PANEL_SQL}
+SELECT obs_month, round(CAST(sum(hedges + policy) AS DOUBLE) / CAST(sum(assets) AS DOUBLE), 6) AS value,
+  max(vintage) AS vintage, max(retrieved_at) AS retrieved_at,
+  CASE WHEN bool_or(basis = 'estimated') THEN 'estimated' ELSE 'disclosed' END AS basis,
+  (SELECT string_agg(DISTINCT l_returnflag, '; ' ORDER BY l_returnflag) FROM lineitem
+   WHERE CAST(date_trunc('month', l_shipdate) AS DATE) = panel.obs_month) AS sources
+FROM panel GROUP BY obs_month""",
+)
+def ind_sector_ratio(t):
+    """Asset-weighted sector figure from the entity panel, with the provenance of all its legs."""
+    s = panel(t).groupBy("obs_month").agg(
+        *[F.sum(c).alias(c) for c in ("hedges", "policy", "assets")], *ind.carried_provenance()
+    )
+    v = ind.economic_hedge_ratio(F.col("hedges"), F.col("policy"), F.col("assets"))
+    return s.select("obs_month", r6(v, "value"), *PROV)
+
+
 @query(
     "ind_gross_ratio",
     f"""WITH {PANEL_SQL}
-SELECT entity, obs_month, round(CAST(hedges AS DOUBLE) / CAST(assets AS DOUBLE), 6) AS value, vintage, basis, sources FROM panel""",
+SELECT entity, obs_month, round(CAST(hedges AS DOUBLE) / CAST(assets AS DOUBLE), 6) AS value, vintage, retrieved_at, basis, sources FROM panel""",
 )
 def ind_gross_ratio(t):
     v = ind.gross_hedge_ratio(F.col("hedges"), F.col("assets"))
@@ -50,7 +69,7 @@ SELECT entity, obs_month, round(CAST(hedges AS DOUBLE) / nullif(CAST(assets - po
   CAST(assets - (assets - policy - unhedged_equity) AS DOUBLE) AS policy_backed_assets,
   round(CAST(hedges AS DOUBLE) / nullif(CAST(assets - policy - unhedged_equity AS DOUBLE), 0)
     + CAST(reserve AS DOUBLE) / nullif(CAST(assets - policy - unhedged_equity - hedges AS DOUBLE), 0), 6) AS effective_memo,
-  vintage, basis, sources FROM panel""",
+  vintage, retrieved_at, basis, sources FROM panel""",
 )
 def ind_regulatory_ratio(t):
     a, p, u, h = (F.col(c) for c in ("assets", "policy", "unhedged_equity", "hedges"))
@@ -80,12 +99,12 @@ f AS (
     CAST(30 + month(obs_month) / 10.0 AS DOUBLE) AS rate, CAST(assets - policy - hedges AS DOUBLE) AS open
   FROM panel p LEFT JOIN g ON g.entity = p.entity AND g.obs_quarter = CAST(date_trunc('quarter', p.obs_month) AS DATE)),
 u AS (
-  SELECT entity, obs_month, 'ntd_mn' AS unit, open AS value FROM f
-  UNION ALL SELECT entity, obs_month, 'usd_mn', open / rate FROM f
-  UNION ALL SELECT entity, obs_month, 'pct_gdp', open / gdp * 100 FROM f
-  UNION ALL SELECT entity, obs_month, 'pct_assets', open / nullif(CAST(assets AS DOUBLE), 0) * 100 FROM f
-  UNION ALL SELECT entity, obs_month, 'x_capital', open / nullif(CAST(equity AS DOUBLE), 0) FROM f)
-SELECT entity, obs_month, 'net_open.' || unit AS series_key, unit, round(value, 6) AS value FROM u WHERE value IS NOT NULL""",
+  SELECT entity, obs_month, 'ntd_mn' AS unit, open AS value, vintage, retrieved_at, basis, sources FROM f
+  UNION ALL SELECT entity, obs_month, 'usd_mn', open / rate, vintage, retrieved_at, basis, sources FROM f
+  UNION ALL SELECT entity, obs_month, 'pct_gdp', open / gdp * 100, vintage, retrieved_at, basis, sources FROM f
+  UNION ALL SELECT entity, obs_month, 'pct_assets', open / nullif(CAST(assets AS DOUBLE), 0) * 100, vintage, retrieved_at, basis, sources FROM f
+  UNION ALL SELECT entity, obs_month, 'x_capital', open / nullif(CAST(equity AS DOUBLE), 0), vintage, retrieved_at, basis, sources FROM f)
+SELECT entity, obs_month, 'net_open.' || unit AS series_key, unit, round(value, 6) AS value, vintage, retrieved_at, basis, sources FROM u WHERE value IS NOT NULL""",
 )
 def ind_net_open_units(t):
     gdp = flows.four_quarter_sum(monthly_by(t, "nation"), ["entity"], "obs_month", "value", MONEY).select(
@@ -105,30 +124,30 @@ def ind_net_open_units(t):
         "pct_assets": ind.ratio(op, F.col("assets")) * 100,
         "x_capital": ind.ratio(op, F.col("equity")),
     }
-    out = ind.unit_rows(j, ["entity", "obs_month"], "net_open", units)
+    out = ind.unit_rows(j, ["entity", "obs_month", *PROV], "net_open", units)
     return out.withColumn("value", F.round("value", 6))
 
 
 @query(
     "ind_buffer_tiers",
     f"""WITH {PANEL_SQL}, x AS (
-  SELECT entity, obs_month, CAST(assets - policy - hedges AS DOUBLE) AS open, CAST(reserve AS DOUBLE) AS r, CAST(equity AS DOUBLE) AS e,
+  SELECT entity, obs_month, vintage, retrieved_at, basis, sources, CAST(assets - policy - hedges AS DOUBLE) AS open, CAST(reserve AS DOUBLE) AS r, CAST(equity AS DOUBLE) AS e,
     CAST(swap_cost AS DOUBLE) AS sf, CAST(unhedged_equity AS DOUBLE) AS st, CAST(policy AS DOUBLE) AS memo,
     CAST(reserve + equity AS DOUBLE) AS re, CAST(reserve + swap_cost AS DOUBLE) AS rsf FROM panel),
 u AS (
-  SELECT entity, obs_month, open, 'a' AS tier, CASE WHEN obs_month < DATE '1999-01-01' THEN 'v1' ELSE 'v2' END AS definition_version, r AS amount, TRUE AS loss_absorbing FROM x
-  UNION ALL SELECT entity, obs_month, open, 'b', 'v1', re, TRUE FROM x WHERE obs_month < DATE '1999-01-01'
-  UNION ALL SELECT entity, obs_month, open, 'b', 'v2', rsf, TRUE FROM x WHERE obs_month >= DATE '1999-01-01'
-  UNION ALL SELECT entity, obs_month, open, 'c_restricted', 'v2', st, FALSE FROM x WHERE obs_month >= DATE '1999-01-01'
-  UNION ALL SELECT entity, obs_month, open, 'd_memo', 'v2', memo, FALSE FROM x WHERE obs_month >= DATE '1999-01-01')
-SELECT entity, obs_month, tier, definition_version, amount, loss_absorbing, round(amount / nullif(open, 0), 6) AS share_of_exposure,
+  SELECT entity, obs_month, vintage, retrieved_at, basis, sources, open, 'a' AS tier, CASE WHEN obs_month < DATE '1999-01-01' THEN 'v1' ELSE 'v2' END AS definition_version, r AS amount, TRUE AS loss_absorbing FROM x
+  UNION ALL SELECT entity, obs_month, vintage, retrieved_at, basis, sources, open, 'b', 'v1', re, TRUE FROM x WHERE obs_month < DATE '1999-01-01'
+  UNION ALL SELECT entity, obs_month, vintage, retrieved_at, basis, sources, open, 'b', 'v2', rsf, TRUE FROM x WHERE obs_month >= DATE '1999-01-01'
+  UNION ALL SELECT entity, obs_month, vintage, retrieved_at, basis, sources, open, 'c_restricted', 'v2', st, FALSE FROM x WHERE obs_month >= DATE '1999-01-01'
+  UNION ALL SELECT entity, obs_month, vintage, retrieved_at, basis, sources, open, 'd_memo', 'v2', memo, FALSE FROM x WHERE obs_month >= DATE '1999-01-01')
+SELECT entity, obs_month, vintage, retrieved_at, basis, sources, tier, definition_version, amount, loss_absorbing, round(amount / nullif(open, 0), 6) AS share_of_exposure,
   CASE WHEN loss_absorbing THEN round(amount / nullif(open, 0) * 100, 6) END AS absorbable_pct FROM u""",
 )
 def ind_buffer_tiers(t):
     p = panel(t)
     out = ind.buffer_tiers(
         p,
-        ["entity", "obs_month"],
+        ["entity", "obs_month", *PROV],
         "obs_month",
         ind.net_open_position(F.col("assets"), F.col("policy"), F.col("hedges")),
         F.col("reserve"),
@@ -150,15 +169,15 @@ PART_COLUMNS = ("hedges", "swap_cost", "unhedged_equity", "policy", "reserve")
 @query(
     "ind_composition",
     f"""WITH {PANEL_SQL}, u AS (
-  {" UNION ALL ".join(f"SELECT entity, obs_month, '{p}' AS instrument, CAST({c} AS DECIMAL(24,6)) AS amount FROM panel" for p, c in zip(PARTS, PART_COLUMNS))})
-SELECT entity, obs_month, instrument, CAST(amount AS DOUBLE) AS amount,
+  {" UNION ALL ".join(f"SELECT entity, obs_month, vintage, retrieved_at, basis, sources, '{p}' AS instrument, CAST({c} AS DECIMAL(24,6)) AS amount FROM panel" for p, c in zip(PARTS, PART_COLUMNS))})
+SELECT entity, obs_month, vintage, retrieved_at, basis, sources, instrument, CAST(amount AS DOUBLE) AS amount,
   round(CAST(amount AS DOUBLE) / nullif(CAST(sum(amount) OVER (PARTITION BY entity, obs_month) AS DOUBLE), 0), 6) AS share FROM u""",
 )
 def ind_composition(t):
-    wide = panel(t).select("entity", "obs_month", *[F.col(c).alias(p) for p, c in zip(PARTS, PART_COLUMNS)])
-    long = wide.unpivot(["entity", "obs_month"], list(PARTS), "instrument", "amount")
+    wide = panel(t).select("entity", "obs_month", *PROV, *[F.col(c).alias(p) for p, c in zip(PARTS, PART_COLUMNS)])
+    long = wide.unpivot(["entity", "obs_month", *PROV], list(PARTS), "instrument", "amount")
     out = ind.composition_shares(long, ["entity", "obs_month"], "instrument", "amount")
-    return out.select("entity", "obs_month", "instrument", dbl("amount"), r6(F.col("share"), "share"))
+    return out.select("entity", "obs_month", *PROV, "instrument", dbl("amount"), r6(F.col("share"), "share"))
 
 
 @query(
@@ -167,7 +186,7 @@ def ind_composition(t):
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS obs_month, CAST(sum(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / count(*) AS implied
   FROM lineitem GROUP BY 1)
 SELECT entity, p.obs_month, round(CAST(swap_cost AS DOUBLE) / nullif(CAST(assets AS DOUBLE), 0) * 10000, 4) AS reported_bp, round(implied * 10000, 4) AS implied_bp,
-  round(CAST(swap_cost AS DOUBLE) / nullif(CAST(assets AS DOUBLE), 0) * 10000 - implied * 10000, 4) AS spread_bp FROM panel p JOIN m ON m.obs_month = p.obs_month""",
+  round(CAST(swap_cost AS DOUBLE) / nullif(CAST(assets AS DOUBLE), 0) * 10000 - implied * 10000, 4) AS spread_bp, vintage, retrieved_at, basis, sources FROM panel p JOIN m ON m.obs_month = p.obs_month""",
 )
 def ind_cost_spread(t):
     market = t.lineitem.groupBy(cal.month_start(F.col("l_shipdate")).alias("obs_month")).agg(
@@ -177,7 +196,7 @@ def ind_cost_spread(t):
     implied = F.col("implied") * 10000
     return panel(t).join(market, "obs_month").select(
         "entity", "obs_month", F.round(reported, 4).alias("reported_bp"), F.round(implied, 4).alias("implied_bp"),
-        F.round(reported - implied, 4).alias("spread_bp"),
+        F.round(reported - implied, 4).alias("spread_bp"), *PROV,
     )
 
 
@@ -199,29 +218,29 @@ def ind_residual(t):
 @query(
     "ind_flow_diag",
     f"""WITH {PANEL_SQL}, l AS (
-  SELECT entity, obs_month, 'bonds' AS flow_code, assets AS v FROM panel
-  UNION ALL SELECT entity, obs_month, 'premiums', policy FROM panel UNION ALL SELECT entity, obs_month, 'debt', hedges FROM panel),
+  SELECT entity, obs_month, 'bonds' AS flow_code, assets AS v, vintage, retrieved_at, basis, sources FROM panel
+  UNION ALL SELECT entity, obs_month, 'premiums', policy, vintage, retrieved_at, basis, sources FROM panel UNION ALL SELECT entity, obs_month, 'debt', hedges, vintage, retrieved_at, basis, sources FROM panel),
 y AS (SELECT *, sum(v) OVER (PARTITION BY entity, flow_code, year(obs_month) ORDER BY obs_month) AS ytd FROM l)
-SELECT entity, obs_month, flow_code, CAST(ytd AS DOUBLE) AS ytd, CAST(v AS DOUBLE) AS flow,
+SELECT entity, obs_month, flow_code, vintage, retrieved_at, basis, sources, CAST(ytd AS DOUBLE) AS ytd, CAST(v AS DOUBLE) AS flow,
   CAST(sum(v) OVER (PARTITION BY entity, flow_code ORDER BY year(obs_month) * 12 + month(obs_month) RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS DOUBLE) AS roll_12
 FROM y""",
 )
 def ind_flow_diag(t):
     wide = panel(t).select(
-        "entity", "obs_month", F.col("assets").alias("bonds"), F.col("policy").alias("premiums"), F.col("hedges").alias("debt")
+        "entity", "obs_month", *PROV, F.col("assets").alias("bonds"), F.col("policy").alias("premiums"), F.col("hedges").alias("debt")
     )
-    long = wide.unpivot(["entity", "obs_month"], ["bonds", "premiums", "debt"], "flow_code", "v")
+    long = wide.unpivot(["entity", "obs_month", *PROV], ["bonds", "premiums", "debt"], "flow_code", "v")
     keys = ["entity", "flow_code"]
     published = flows.flow_to_ytd(long, keys, "obs_month", "v", AMOUNT).drop("v")
     out = flows.ytd_to_flow(published, keys, "obs_month", "ytd")
     out = flows.rolling_sum(out, keys, "obs_month", "flow", 12, AMOUNT)
-    return out.select("entity", "obs_month", "flow_code", dbl("ytd"), dbl("flow"), dbl("roll_12"))
+    return out.select("entity", "obs_month", "flow_code", *PROV, dbl("ytd"), dbl("flow"), dbl("roll_12"))
 
 
 @query(
     "ind_hedging_result",
     f"""WITH {PANEL_SQL}, i AS (SELECT *, CASE WHEN basis = 'disclosed' OR month(obs_month) > 3 THEN hedges END AS instrument FROM panel)
-SELECT entity, obs_month, CAST(instrument - swap_cost AS DOUBLE) AS value, instrument IS NOT NULL AS split_available FROM i""",
+SELECT entity, obs_month, CAST(instrument - swap_cost AS DOUBLE) AS value, instrument IS NOT NULL AS split_available, vintage, retrieved_at, basis, sources FROM i""",
 )
 def ind_hedging_result(t):
     instrument = F.when((F.col("basis") == "disclosed") | (F.month("obs_month") > 3), F.col("hedges"))
@@ -230,6 +249,7 @@ def ind_hedging_result(t):
         "obs_month",
         ind.hedging_result(instrument, -F.col("swap_cost")).cast("double").alias("value"),
         (instrument.isNotNull() & F.col("swap_cost").isNotNull()).alias("split_available"),
+        *PROV,
     )
 
 
@@ -238,7 +258,7 @@ def ind_hedging_result(t):
     f"""WITH {PANEL_SQL}
 SELECT entity, obs_month, CAST(h AS DOUBLE) AS haircut,
   round(CAST(hedges + policy * (1 - CAST(h AS DECIMAL(5,4))) AS DOUBLE) / CAST(assets AS DOUBLE), 6) AS economic_ratio,
-  CAST(assets - policy * (1 - CAST(h AS DECIMAL(5,4))) - hedges AS DOUBLE) AS net_open
+  CAST(assets - policy * (1 - CAST(h AS DECIMAL(5,4))) - hedges AS DOUBLE) AS net_open, vintage, retrieved_at, basis, sources
 FROM panel, (SELECT unnest([0.0, 0.1, 0.25, 0.5]) AS h)""",
 )
 def ind_stressed(t):
@@ -251,6 +271,7 @@ def ind_stressed(t):
         dbl("haircut"),
         r6(ind.economic_hedge_ratio(F.col("hedges"), pol, F.col("assets")), "economic_ratio"),
         ind.net_open_position(F.col("assets"), pol, F.col("hedges")).cast("double").alias("net_open"),
+        *PROV,
     )
 
 

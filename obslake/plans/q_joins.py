@@ -8,6 +8,7 @@ from ..functions.numbers import MONEY, money
 from ..operators import flows, joins
 from ..operators.aggregates import ordered_text as roll_up_text
 from ..operators.containment import containment_pairs, verify_citations as verify
+from ..operators.ordered import asof_join as as_of
 from ..operators.reconcile import Check, reconcile
 from ..sources import landed, sinks
 from .proxies import CHANNELS_SQL, channel_a, channel_b, monthly_by, monthly_sql
@@ -74,7 +75,7 @@ ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id
 def asof_join(t):
     left = t.events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     right = t.events.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts", "value")
-    out = joins.asof_join(
+    out = as_of(
         left, right, ["user_id"], "ts", "ts", ["event_id", "value"], lambda ts: F.date_trunc("hour", ts)
     )
     return out.select("event_id", "user_id", "asof_event_id", "asof_value")

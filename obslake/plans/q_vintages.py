@@ -62,6 +62,27 @@ def channel_pick(t):
     return picked.select("order_key", "channel", F.col("value").cast("double").alias("value"))
 
 
+@query(
+    "basis_pick",
+    """WITH b AS (
+  SELECT l_suppkey AS entity, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS obs_quarter, l_linestatus AS basis,
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(20,4))) AS DOUBLE) AS value, max(CAST(l_shipdate AS DATE)) AS vintage
+  FROM lineitem GROUP BY 1, 2, 3)
+SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY entity, obs_quarter ORDER BY CASE basis WHEN 'F' THEN 0 ELSE 1 END) = 1""",
+)
+def basis_pick(t):
+    """Both bases of an entity's quarter are kept; this reader prefers F and says which it got."""
+    both = t.lineitem.groupBy(
+        F.col("l_suppkey").alias("entity"),
+        F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("obs_quarter"),
+        F.col("l_linestatus").alias("basis"),
+    ).agg(
+        F.sum(money(F.col("l_extendedprice"))).cast("double").alias("value"),
+        F.max(F.col("l_shipdate").cast("date")).alias("vintage"),
+    )
+    return vt.pick_by_priority(both, ["entity", "obs_quarter"], "basis", ["F", "O"])
+
+
 @query(
     "channel_union",
     f"""WITH {CHANNELS_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,20 +16,24 @@ from ..sources.append import new_rows
 def read_table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
     """File stream over one landed parquet table; event times become TIMESTAMP for watermarks."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = r.parquet(folder)
+    # the glob takes a table that is one file as well as one that is a folder
+    df = r.parquet(f"{folder}/{name}.parquet*")
     ntz = [f.name for f in schema if f.dataType.typeName() == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz})
 
 
 def _epochs(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
     """What earlier epochs wrote: a replayed epoch does not see its own first attempt."""
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
-        return None
-    return spark.read.parquet(path).filter(F.col("epoch") < epoch).drop("epoch")
+    try:
+        written = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return written.filter(F.col("epoch") < epoch).drop("epoch")
 
 
 def _write_epoch(df: DataFrame, path: str, epoch: int, partition: str | None) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from obslake.functions.numbers import MONEY
 from obslake.operators import aggregates, containment, flows, indicators as ind, joins, quality, reserves, vintages as vt
-from obslake.operators.ordered import carry_last
+from obslake.operators.ordered import asof_join, carry_last
 from obslake.operators.reconcile import Check, reconcile, run_gate
 from obslake.sources import append
 from obslake.sources.landed import status_expected
@@ -200,7 +200,7 @@ def test_prior_period_tie_skips_unmatched(spark):
 def test_asof_join_ties_and_misses(spark):
     left = spark.createDataFrame([("u", 10, 1), ("u", 20, 2), ("v", 5, 3), ("u", 1, 4)], "k string, t int, id int")
     right = spark.createDataFrame([("u", 10, 1.0), ("u", 19, 2.0), ("v", 6, 3.0)], "k string, t int, rate double")
-    got = joins.asof_join(left, right, ["k"], "t", "t", ["rate"], lambda t: F.floor(t / 7))
+    got = asof_join(left, right, ["k"], "t", "t", ["rate"], lambda t: F.floor(t / 7))
     assert rows(got, "id", "asof_rate") == [(1, 1.0), (2, 2.0), (3, None), (4, None)]
 
 
@@ -417,3 +417,13 @@ def test_no_nested_loops_or_cross_products(spark, sf_dir):
 
     bad = [n for n, q in all_queries().items() if not n.startswith("stream_") and ("NestedLoop" in (p := plan(q(spark, sf_dir))) or "Cartesian" in p)]
     assert not bad
+
+
+def test_provenance_survives_aggregation(spark):
+    df = spark.createDataFrame(
+        [("s", d("2026-01-01"), d("2026-01-05"), "disclosed", "b; a", "doc1"), ("s", d("2026-02-01"), d("2026-02-02"), "estimated", "c; a", "doc1")],
+        "k string, vintage date, retrieved_at date, basis string, sources string, doc string",
+    )
+    r = df.groupBy("k").agg(*ind.carried_provenance()).first()
+    assert tuple(r) == ("s", d("2026-02-01"), d("2026-02-02"), "estimated", "a; b; c")
+    assert rows(ind.provenance_links(df, ["k"], "doc"), "k", "doc") == [("s", "doc1")]
