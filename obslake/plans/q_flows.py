@@ -317,10 +317,10 @@ e AS (
   SELECT x.entity, obs_month, y, a + b * x AS est,
     1.96 * sqrt((syy - b * sxy) / (n - 2) * (1 + 1.0 / n + (x - mx) * (x - mx) / sxx)) AS half
   FROM x JOIN f USING (entity))
-SELECT entity, obs_month, round(coalesce(y, est), 2) AS value,
+SELECT entity, obs_month, round(coalesce(y, est), 0) AS value,
   CASE WHEN y IS NULL THEN 'estimated' ELSE 'disclosed' END AS basis,
-  CASE WHEN y IS NULL THEN round(est - half, 2) END AS ci_low,
-  CASE WHEN y IS NULL THEN round(est + half, 2) END AS ci_high FROM e""",
+  CASE WHEN y IS NULL THEN round(est - half, 0) END AS ci_low,
+  CASE WHEN y IS NULL THEN round(est + half, 0) END AS ci_high FROM e""",
 )
 def regression_backfill(t):
     m = monthly_by(t, "nation").select(
@@ -331,8 +331,8 @@ def regression_backfill(t):
     )
     out = backfill(m, ["entity"], "y", "x")
     return out.select(
-        "entity", "obs_month", F.round("value", 2).alias("value"), "basis",
-        F.round("ci_low", 2).alias("ci_low"), F.round("ci_high", 2).alias("ci_high"),
+        "entity", "obs_month", F.round("value", 0).alias("value"), "basis",
+        F.round("ci_low", 0).alias("ci_low"), F.round("ci_high", 0).alias("ci_high"),
     )
 
 

@@ -220,10 +220,13 @@ def ind_residual(t):
     f"""WITH {PANEL_SQL}, l AS (
   SELECT entity, obs_month, 'bonds' AS flow_code, assets AS v, vintage, retrieved_at, basis, sources FROM panel
   UNION ALL SELECT entity, obs_month, 'premiums', policy, vintage, retrieved_at, basis, sources FROM panel UNION ALL SELECT entity, obs_month, 'debt', hedges, vintage, retrieved_at, basis, sources FROM panel),
-y AS (SELECT *, sum(v) OVER (PARTITION BY entity, flow_code, year(obs_month) ORDER BY obs_month) AS ytd FROM l)
-SELECT entity, obs_month, flow_code, vintage, retrieved_at, basis, sources, CAST(ytd AS DOUBLE) AS ytd, CAST(v AS DOUBLE) AS flow,
-  CAST(sum(v) OVER (PARTITION BY entity, flow_code ORDER BY year(obs_month) * 12 + month(obs_month) RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS DOUBLE) AS roll_12
-FROM y""",
+y AS (
+  SELECT *, sum(v) OVER w AS ytd, month(obs_month) - coalesce(month(lag(obs_month) OVER w), 0) AS span
+  FROM l WINDOW w AS (PARTITION BY entity, flow_code, year(obs_month) ORDER BY obs_month)),
+f AS (SELECT *, CASE WHEN span = 1 THEN v END AS flow FROM y)
+SELECT entity, obs_month, flow_code, vintage, retrieved_at, basis, sources, CAST(ytd AS DOUBLE) AS ytd, CAST(flow AS DOUBLE) AS flow,
+  CAST(sum(flow) OVER (PARTITION BY entity, flow_code ORDER BY year(obs_month) * 12 + month(obs_month) RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS DOUBLE) AS roll_12
+FROM f""",
 )
 def ind_flow_diag(t):
     wide = panel(t).select(
