@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ordered import join_null_safe
+
 
 def percentile_benchmark(
     df: DataFrame, keys: Sequence[str], period: str, value: str, first: str, last: str, q: float = 0.9
@@ -53,7 +55,7 @@ def month_mean_vs_history(df: DataFrame, keys: Sequence[str], day: str, value: s
         return F.sum(total).over(before) - F.coalesce(F.sum(dec).over(last), F.lit(0))
 
     hist = year.select(*keys, "_y", history("_ys", "_ds").alias("_hs"), history("_yn", "_dn").alias("_hn"))
-    joined = month.withColumn("_y", F.year("obs_month")).join(hist, [*keys, "_y"], "left")
+    joined = join_null_safe(month.withColumn("_y", F.year("obs_month")), hist, [*keys, "_y"], "left")
     mean = F.col("_s").cast("double") / F.col("_n")
     past = F.try_divide(F.col("_hs").cast("double"), F.col("_hn").cast("double"))
     return joined.select(
@@ -71,7 +73,7 @@ def regression_backfill(df: DataFrame, keys: Sequence[str], y: str, x: str, z: f
         _sxx=F.regr_sxx(y, x), _syy=F.regr_syy(y, x), _sxy=F.regr_sxy(y, x),
     )
     fit = df.groupBy(*keys).agg(*[c.alias(n) for n, c in a.items()])
-    j = df.join(fit, list(keys), "left")
+    j = join_null_safe(df, fit, keys, "left")
     est = F.col("_a") + F.col("_b") * F.col(x)
     s2 = F.try_divide(F.col("_syy") - F.col("_b") * F.col("_sxy"), (F.col("_n") - 2).cast("double"))
     dx = F.col(x) - F.col("_mx")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..session import ensure_checkpoint_dir
-from .ordered import first_per_key
+from .ordered import first_per_key, join_null_safe
 from .reconcile import rel_error
 
 
@@ -28,12 +28,16 @@ def prior_period_rows(
     )
     left = df.withColumn("ref_period", ref).filter(F.col("ref_period").isNotNull())
     right = df.select(*keys, F.col(period).alias("ref_period"), F.col(value).alias("ref_value"))
-    return left.join(right, [*keys, "ref_period"], "inner").filter(F.col("ref_value").isNotNull())
+    pairs = join_null_safe(left, right, [*keys, "ref_period"], "inner")
+    return pairs.filter(F.col("ref_value").isNotNull())
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child keys without a parent, with their row counts; counted before the join."""
-    counted = child.groupBy(child_key).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Child keys without a parent, with their row counts; counted before the join.
+
+    A null reference is no reference and is not reported.
+    """
+    counted = child.filter(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.join(parent, counted[child_key] == parent[parent_key], "left_anti")
 
 

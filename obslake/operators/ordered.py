@@ -32,43 +32,33 @@ def key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*keys).alias("_key")
 
 
-def _carry_in(
-    spine: DataFrame, sources: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str]
-) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equally named keys, where a null key part equals a null key part."""
+    l, r = left.withColumn("_key", key_struct(keys)), right.withColumn("_key", key_struct(keys)).drop(*keys)
+    return l.join(r, "_key", how).drop("_key")
+
+
+def _carry_in(spine: DataFrame, sources: DataFrame, order: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """(key, bucket, payload of the last source in an earlier bucket) for the buckets of `spine`."""
     pos = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last = sources.groupBy(*keys, "_b").agg(*[F.max_by(p, pos).alias(p) for p in payload])
-    marks = spine.select(*keys, "_b").distinct().withColumn("_has", F.lit(0)).unionByName(
+    last = sources.groupBy("_key", "_b").agg(*[F.max_by(p, pos).alias(p) for p in payload])
+    marks = spine.select("_key", "_b").distinct().withColumn("_has", F.lit(0)).unionByName(
         last.withColumn("_has", F.lit(1)), allowMissingColumns=True
     )
     # a bucket's own sources come after its spine row
-    before = W.partitionBy(*keys).orderBy("_b", "_has").rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy("_key").orderBy("_b", "_has").rowsBetween(W.unboundedPreceding, W.currentRow)
     got = F.last(F.when(F.col("_has") == 1, F.struct(*payload)), ignorenulls=True).over(before)
-    carried = marks.withColumn("_carry", got).filter("_has = 0 AND _carry IS NOT NULL")
-    return carried.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_kb"), "_carry"
-    )
+    return marks.withColumn("_carry", got).filter("_has = 0 AND _carry IS NOT NULL").select("_key", "_b", "_carry")
 
 
 def _carry(
-    rows: DataFrame,
-    spine: DataFrame,
-    sources: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    payload: Sequence[str],
-    prefix: str,
+    rows: DataFrame, spine: DataFrame, sources: DataFrame, order: Sequence[str], payload: Sequence[str], prefix: str
 ) -> DataFrame:
-    here = (
-        W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
+    here = W.partitionBy("_key", "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     within = rows.withColumn(
         "_in", F.last(F.when(F.col("_src"), F.struct(*payload)), ignorenulls=True).over(here)
     )
-    cond = F.col("_b") == F.col("_kb")
-    for i, k in enumerate(keys):
-        cond = cond & (F.col(k) == F.col(f"_k{i}"))
-    joined = within.join(_carry_in(spine, sources, keys, order, payload), cond, "left")
+    joined = within.join(_carry_in(spine, sources, order, payload), ["_key", "_b"], "left")
     got = F.coalesce("_in", "_carry")
     return joined.withColumns({prefix + p: got.getField(p) for p in payload})
 
@@ -84,13 +74,13 @@ def carry_last(
 ) -> DataFrame:
     """Give every row the payload of the last source row at or before it.
 
-    `bucket` must be a non-decreasing function of `order`, such as the hour of
-    the timestamp. `order` must be total within a key.
+    `bucket` must be a non-decreasing, non-null function of `order`, such as the
+    hour of the timestamp. `order` must be total within a key; keys are null-safe.
     """
     source = F.coalesce(is_source, F.lit(False))
-    rows = df.withColumn("_b", bucket).withColumn("_src", source)
-    bucketed = df.withColumn("_b", bucket)
-    out = _carry(rows, bucketed.filter(~source), bucketed.filter(source), keys, order, payload, prefix)
+    bucketed = df.withColumns({"_key": key_struct(keys), "_b": bucket})
+    rows = bucketed.withColumn("_src", source)
+    out = _carry(rows, bucketed.filter(~source), bucketed.filter(source), order, payload, prefix)
     return out.select(*df.columns, *[prefix + p for p in payload])
 
 
@@ -108,12 +98,11 @@ def asof_join(
 
     No range join: both sides are stacked and carried, and a hot key is spread
     over its time buckets. `bucket` maps the order column to its bucket. Right
-    rows of one key must differ in `right_order`.
+    rows of one key must differ in `right_order`; keys are null-safe.
     """
-    at = {"_t": F.col(left_order), "_b": bucket(F.col(left_order))}
-    l = left.withColumns(at)
+    l = left.withColumns({"_key": key_struct(keys), "_t": F.col(left_order), "_b": bucket(F.col(left_order))})
     r = right.select(
-        *keys, F.col(right_order).alias("_t"), bucket(F.col(right_order)).alias("_b"),
+        key_struct(keys), F.col(right_order).alias("_t"), bucket(F.col(right_order)).alias("_b"),
         *[F.col(p).alias(f"_p_{p}") for p in payload],
     )
     rows = l.withColumns({"_side": F.lit(1), "_src": F.lit(False)}).unionByName(
@@ -121,7 +110,7 @@ def asof_join(
     )
     # on equal times the right row comes first
     cols = [f"_p_{p}" for p in payload]
-    out = _carry(rows, l, r.withColumn("_side", F.lit(0)), keys, ["_t", "_side"], cols, "_g")
+    out = _carry(rows, l, r.withColumn("_side", F.lit(0)), ["_t", "_side"], cols, "_g")
     return out.filter(F.col("_side") == 1).select(
         *left.columns, *[F.col(f"_g_p_{p}").alias(prefix + p) for p in payload]
     )

@@ -117,26 +117,34 @@ def panel(t: Tables) -> DataFrame:
     and filled lines, unhedged equity = discounts, swap cost = taxes,
     buffer = lines neither returned nor accepted.
     """
-    price, disc, tax = (money(F.col(c)) for c in ("l_extendedprice", "l_discount", "l_tax"))
-    flag, filled = F.col("l_returnflag"), F.col("l_linestatus") == "F"
-    zero = F.lit(0).cast(MONEY)
+    # the conversion to decimal is the costly part: once per row, before the sums
+    lines = t.lineitem.select(
+        "l_suppkey",
+        "l_returnflag",
+        "l_linestatus",
+        "l_linenumber",
+        F.col("l_shipdate").cast("date").alias("shipped"),
+        money(F.col("l_extendedprice")).alias("price"),
+        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
+        F.col("l_tax").cast("decimal(4,2)").alias("tax"),
+    )
+    flag, filled, shipped = F.col("l_returnflag"), F.col("l_linestatus") == "F", F.col("shipped")
 
     def part(cond):
-        return F.sum(F.when(cond, price).otherwise(zero))
+        return F.coalesce(F.sum(F.when(cond, F.col("price"))), F.lit(0))
 
     measures = {
-        "assets": F.sum(price),
+        "assets": F.sum("price"),
         "hedges": part(flag == "R"),
         "policy": part((flag == "A") & filled),
-        "unhedged_equity": F.sum(price * disc.cast("decimal(4,2)")),
-        "swap_cost": F.sum(price * tax.cast("decimal(4,2)")),
+        "unhedged_equity": F.sum(F.col("price") * F.col("disc")),
+        "swap_cost": F.sum(F.col("price") * F.col("tax")),
         "reserve": part((flag == "N") & filled),
         "equity": part((flag == "N") & ~filled),
     }
     basis = F.when(filled, F.lit("disclosed")).otherwise(F.lit("estimated"))
     flags = ("A", "N", "R")
-    shipped = F.col("l_shipdate").cast("date")
-    per_supplier = t.lineitem.groupBy("l_suppkey", month_start(F.col("l_shipdate")).alias("obs_month")).agg(
+    per_supplier = lines.groupBy("l_suppkey", month_start(shipped).alias("obs_month")).agg(
         *[c.cast(AMOUNT).alias(n) for n, c in measures.items()],
         F.max(shipped).alias("vintage"),
         F.max(F.date_add(shipped, F.col("l_linenumber"))).alias("retrieved_at"),

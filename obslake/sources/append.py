@@ -10,6 +10,22 @@ from pyspark.sql import functions as F
 from ..operators.ordered import first_per_key, key_struct
 
 
+# Most partitions of a batch that are named in the filter on the target.
+NAMED_PARTITIONS = 1000
+
+
+def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """The part of the target in the partitions a batch touches.
+
+    Up to NAMED_PARTITIONS values prune the scan by name; more of them leave the
+    target as it is. The null partition always stays.
+    """
+    values = batch.select(partition).filter(F.col(partition).isNotNull()).distinct().limit(NAMED_PARTITIONS + 1).collect()
+    if len(values) > NAMED_PARTITIONS:
+        return target
+    return target.filter(F.col(partition).isin([v[0] for v in values]) | F.col(partition).isNull())
+
+
 def new_rows(
     batch: DataFrame,
     target: DataFrame | None,
@@ -28,9 +44,7 @@ def new_rows(
     if target is None:
         return first.drop("_key")
     if partition:
-        touched = batch.select(partition).distinct()
-        cond = target[partition].eqNullSafe(touched[partition])
-        target = target.join(touched, cond, "left_semi")
+        target = _touched(target, batch, partition)
     held = target.select(key_struct(keys)).distinct()
     return first.join(held, "_key", "left_anti").drop("_key")
 

@@ -427,3 +427,24 @@ def test_provenance_survives_aggregation(spark):
     r = df.groupBy("k").agg(*ind.carried_provenance()).first()
     assert tuple(r) == ("s", d("2026-02-01"), d("2026-02-02"), "estimated", "a; b; c")
     assert rows(ind.provenance_links(df, ["k"], "doc"), "k", "doc") == [("s", "doc1")]
+
+
+def test_sector_rows_without_entity_join(spark):
+    s = "e string, m date, v double, ch double, basis string"
+    df = spark.createDataFrame([(None, d("2025-01-01"), 10.0, None, None), (None, d("2025-02-01"), 12.0, 2.0, "prev_month")], s)
+    assert joins.prior_period_rows(df, ["e"], "m", "v", "basis").count() == 1
+    rows_ = spark.createDataFrame([(None, 1, True, 5), (None, 9, False, 6), ("a", 9, False, 7)], "k string, t int, src boolean, id int")
+    got = carry_last(rows_, ["k"], ["t"], F.col("src"), ["id"], F.floor(F.col("t") / 2))
+    assert rows(got, "id", "last_id") == [(5, 5), (6, 5), (7, None)]
+    fit = spark.createDataFrame([(None, float(x), 2.0 * x if x > 1 else None) for x in range(1, 6)], "e string, x double, y double")
+    assert abs(aggregates.regression_backfill(fit, ["e"], "y", "x").filter("y IS NULL").first()["value"] - 2.0) < 1e-9
+
+
+def test_append_names_only_touched_partitions(spark, tmp_path):
+    t = spark.range(60).selectExpr("id AS k", "date_add(DATE'2026-01-01', CAST(id % 6 AS INT)) AS m", "id AS seq")
+    t.write.partitionBy("m").parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    batch = t.filter("m = DATE'2026-01-02'").unionByName(spark.sql("SELECT 999L AS k, DATE'2026-01-03' AS m, 1L AS seq"))
+    fresh = append.new_rows(batch, target, ["k", "m"], ["seq"], "m")
+    assert rows(fresh, "k") == [(999,)]
+    assert "PartitionFilters: [m" in plan(fresh) or "PartitionFilters: [(m" in plan(fresh)
