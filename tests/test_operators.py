@@ -448,3 +448,11 @@ def test_append_names_only_touched_partitions(spark, tmp_path):
     fresh = append.new_rows(batch, target, ["k", "m"], ["seq"], "m")
     assert rows(fresh, "k") == [(999,)]
     assert "PartitionFilters: [m" in plan(fresh) or "PartitionFilters: [(m" in plan(fresh)
+
+
+def test_append_new_writes_only_fresh_rows(spark, tmp_path):
+    path = str(tmp_path / "store")
+    batch = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 3, 0)], "k string, v int, seq int")
+    append.append_new(batch, path, None, ["k"], ["seq"])
+    append.append_new(batch.unionByName(spark.createDataFrame([("c", 4, 0)], batch.schema)), path, spark.read.parquet(path), ["k"], ["seq"])
+    assert rows(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 3), ("c", 4)]

@@ -110,6 +110,27 @@ def test_release_checks_and_projection(spark, parsed):
     assert o["source_note"].startswith("no equity table; ") and o["vintage"] == d("2020-05-28")
 
 
+def test_release_run_appends_and_ties(spark):
+    def edition(serno, title, balance, change):
+        story = f"<p>外匯價格變動準備金累積餘額達{balance}億元，較去年底{change}億元。</p>"
+        return serno, page(title, FX + story, date=f"{serno[:4]}-{serno[4:6]}-{serno[6:8]}")
+
+    first = [edition("202001280001", "108年12月保險業兌換損益情形", 600, "減少5"), edition("202004280001", "109年3月保險業兌換損益情形", 580, "減少20")]
+    docs = spark.createDataFrame(first, "doc_id string, html string")
+    run = releases.run_releases(docs, None, "u/%s", F.lit("2026-01-01").cast("timestamp"))
+    ties = run["checks"].filter("check_name LIKE 'reserve balance%'").collect()
+    assert [(r["obs_month"], r["lhs"], r["rhs"], r["passed"]) for r in ties] == [(d("2020-03-01"), 58000.0, 58000.0, True)]
+    assert run["gate"].first()["status"] == "ok"
+
+    later = first + [edition("202005280001", "109年4月保險業兌換損益情形", 700, "增加1")]
+    again = releases.run_releases(
+        spark.createDataFrame(later, "doc_id string, html string"), run["observations"], "u/%s", F.lit("2026-02-01").cast("timestamp")
+    )
+    kept = {r["obs_month"]: r["retrieved_at"].month for r in again["observations"].collect()}
+    assert kept == {d("2019-12-01"): 1, d("2020-03-01"): 1, d("2020-04-01"): 2}
+    assert again["gate"].first()["status"] == "fail"
+
+
 def test_header_out_of_reach(spark):
     body = "<p>一、稅前損益</p><p>" + "長" * 500 + "</p>" + table(("壽險業", "1"), ("合計", "1")) + FX
     good, _ = releases.parse_releases(spark.createDataFrame([("202004280001", page(TITLE, body))], "doc_id string, html string"))
