@@ -232,31 +232,33 @@ def literal_containment(t):
 
 
 def citations(t):
-    """Every label cites the next document's opening words, at its own document or beyond the table."""
-    d = t.documents.select("doc_id", F.substring("text", 1, 12).alias("opening"))
+    """Every label quotes a document's last line and cites a document: the same, its neighbour or an absent one."""
+    d = t.documents.select("doc_id", F.element_at(F.split("text", "\n"), -1).alias("last_line"))
     return t.labels.select(
         F.col("doc_id").alias("label_id"),
         (F.col("doc_id") + F.when(F.col("toxic") == 1, 10_000_000_000).otherwise(0)).alias("cited"),
-        F.col("quality"),
         (F.col("doc_id") + 1 - F.col("quality")).alias("said_by"),
     ).join(d, F.col("said_by") == F.col("doc_id"), "left").select(
-        "label_id", F.col("cited").alias("doc_id"), F.coalesce("opening", F.lit("?")).alias("printed"),
+        "label_id", F.col("cited").alias("doc_id"), F.coalesce("last_line", F.lit("?")).alias("printed"),
         (F.col("label_id") % 7 == 0).alias("is_note"),
     )
 
 
+CORE_SQL = "replace(regexp_replace(regexp_replace(replace(printed, '–', '-'), '^[<>≈約—-]+', ''), '元$', ''), '-', '')"
+
+
 @query(
     "verify_citations",
     f"""WITH c AS (
   SELECT l.doc_id AS label_id, l.doc_id + CASE WHEN toxic = 1 THEN 10000000000 ELSE 0 END AS cited,
-    coalesce(substring(d.text, 1, 12), '?') AS printed, l.doc_id % 7 = 0 AS is_note
+    coalesce(string_split(d.text, chr(10))[-1], '?') AS printed, l.doc_id % 7 = 0 AS is_note
   FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id + 1 - l.quality),
 j AS (
-  SELECT c.*, d.text, {norm_sql("d.text")} AS t, {norm_sql("replace(regexp_replace(printed, '^[<>≈約—-]+', ''), '-', '')")} AS v
+  SELECT c.*, d.text, {norm_sql("d.text")} AS t, {norm_sql(CORE_SQL)} AS v, {CORE_SQL} AS core
   FROM c LEFT JOIN documents d ON d.doc_id = c.cited),
 r AS (
   SELECT label_id, printed, CASE WHEN text IS NULL THEN 'article not fetched' WHEN is_note THEN NULL
-    WHEN NOT contains(t, v) THEN 'value not found' END AS reason FROM j)
+    WHEN NOT (CASE WHEN core = '0' THEN contains(text, '0') ELSE contains(t, v) OR contains(t, replace(v, '億', '')) END) THEN 'value not found' END AS reason FROM j)
 SELECT label_id, printed, reason, reason IS NULL AS ok FROM r""",
 )
 def verify_citations(t):
