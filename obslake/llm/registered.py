@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, token_output, topk, toxicity
+from . import jaccard_join, mixing, packing, quality, token_output, topk, toxicity
 from .common import documents, fold_of, kept, written
 
 
@@ -24,6 +24,11 @@ def op4_ngram_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_prefix_filtered_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join_classes(documents(spark, sf_dir), n=4, percent=85)
+    return found.select("doc_id", F.col("n_grams").alias("n_shingles"), F.col("class_id").alias("component_id"), "n_copies")
+
+
 def op7_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
