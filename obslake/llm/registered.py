@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, packing, quality, token_output, topk, toxicity
+from . import jaccard_join, mixing, packing, pii, quality, suffix_dedup, token_output, topk, toxicity
 from .common import documents, fold_of, kept, written
 
 
@@ -29,6 +29,12 @@ def op5_prefix_filtered_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n_grams").alias("n_shingles"), F.col("class_id").alias("component_id"), "n_copies")
 
 
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.told("base"), 256).alias("base_sha256"), pii.told("spans").alias("spans"))
+
+
 def op7_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
@@ -45,6 +51,14 @@ def op9_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score", "predicted")
 
 
+def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.removed(documents(spark, sf_dir))
+    return cut.select(
+        "doc_id", "n_bytes", F.aggregate("cut", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n_removed"),
+        F.size("cut").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)
 }
