@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, packing, pii, quality, suffix_dedup, token_output, topk, toxicity
-from .common import documents, fold_of, kept, written
+from . import jaccard_join, lm_scoring, mixing, packing, pii, quality, suffix_dedup, token_output, topk, toxicity
+from .common import documents, fold_of
+
+
+def op1_gated_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score(documents(spark, sf_dir), fold_of("doc_id") != 1)
+    return scored.select("doc_id", (fold_of("doc_id") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op2_best_fit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
