@@ -22,8 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import kept, scramble, slices, text_buffers, word_hashes, written
 
@@ -215,10 +216,8 @@ def classes(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def join_classes(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, stars: int = 2,
-) -> DataFrame:
-    """One row a document: doc_id, n_grams (size of its set), class_id (smallest id in its class), copies in its text's set."""
+def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, stars: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' profiles, and per set (k1, k2): `root` of its class, smallest id and number of copies."""
     rows = written(profiles(docs, doc_id, text, n, percent, gram_counts(docs, text, n)).withColumn("u", F.monotonically_increasing_id()), "profiles")
     same = kept(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("u").alias("u"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies")))
     reps = rows.join(same.select("u"), "u", "left_semi")
@@ -246,7 +245,14 @@ def join_classes(
         found = verified(pairs, reps, docs, text, n, percent)
         edges = kept(found if edges is None else edges.unionByName(found))
         label = kept(classes(edges))
-    named = same.join(label, "u", "left").withColumn("root", F.coalesce("root", "u"))
+    return rows, kept(same.join(label, "u", "left").withColumn("root", F.coalesce("root", "u")))
+
+
+def join_classes(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, stars: int = 2,
+) -> DataFrame:
+    """One row a document: doc_id, n_grams (size of its set), class_id (smallest id in its class), copies in its text's set."""
+    rows, named = _classed(docs, doc_id, text, n, percent, stars)
     lowest = named.groupBy("root").agg(F.min("least").alias("class_id"))
     named = named.join(lowest, "root").select("k1", "k2", "class_id", "n_copies")
     out = rows.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left")
@@ -254,3 +260,28 @@ def join_classes(
         F.col("doc_id"), F.col("n").cast("long").alias("n_grams"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.when(F.col("n") > 0, F.col("n_copies")).otherwise(F.lit(1)).cast("long").alias("n_copies"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, stars: int = 2,
+) -> DataFrame:
+    """Of each class the row with the smallest id, null last, with the columns it came with; empty sets all stay.
+
+    `docs` has no columns named as those of this operator; of rows equal in id and set one stays.
+    """
+    _, named = _classed(docs, doc_id, text, n, percent, stars)
+    no_id = F.lit((1 << 63) - 1)
+    best = named.groupBy("root").agg(F.min(F.struct(F.coalesce("least", no_id).alias("did"), "k1", "k2")).alias("b")).select("b.*")
+    place = docs.columns.index(text)
+
+    def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a, whose, grams, sizes in _sets(b.column(place), n):
+                k1, k2 = _identity(whose, grams, len(sizes))
+                yield pa.RecordBatch.from_arrays([*b.slice(a, len(sizes)).columns, pa.array(k1), pa.array(k2), pa.array(sizes, pa.int32())], [*b.schema.names, "k1", "k2", "n"])
+
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in ("k1", "k2")), T.StructField("n", T.IntegerType())])
+    known = docs.mapInArrow(identify, schema).withColumn("did", F.coalesce(F.col(doc_id).cast("long"), no_id))
+    turn = F.row_number().over(Window.partitionBy("did", "k1", "k2").orderBy("did"))
+    first = known.where("n > 0").join(best, ["did", "k1", "k2"], "left_semi").withColumn("turn", turn).where("turn = 1")
+    return first.select(*docs.columns).unionByName(known.where("n = 0").select(*docs.columns))

@@ -106,7 +106,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     taken = mix(docs, **how).groupBy("h").agg(F.sum("copies").alias("n_copies"), F.count("*").alias("n_rows"))
     named = {"doc_id": "doc_id", "text": "text", "source": "source", "seed": "mix"} | {k: v for k, v in how.items() if k in ("doc_id", "text", "source", "seed")}
     parts = [F.coalesce(F.concat(F.lit("+"), c), F.lit("-")) for c in (F.col(named["doc_id"]).cast("string"), F.col(named["text"]))]
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     whole = docs.select(row, F.md5(F.concat(F.lit(named["seed"]), *parts).cast("binary")).alias("h"))
     out = whole.join(taken.where("n_copies > 0"), "h")
     # equal rows share the copies of their kind evenly

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import lower_bytes, prefix_hash, range_hash, scramble, slices, text_buffers, whole_text, word_bounds
 
@@ -208,5 +209,6 @@ def score(
             p = shared.value.scores(b.column(place))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*names, "score", "predicted"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(*names).mapInArrow(apply, f"{kinds}, score double, predicted int")
+    rows = docs.select(*[F.col(f"`{c}`") for c in names])
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return rows.mapInArrow(apply, schema)
