@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,6 +24,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()

@@ -42,35 +42,19 @@ def id_date(c: Column) -> Column:
     return F.try_to_date(F.substring(c.cast("string"), 1, 8), "yyyyMMdd")
 
 
-def frac_year(c: Column, freq: str) -> Column:
-    """Position of a period on a year axis; `freq` is one of A, Q, M, D."""
-    y = F.year(c).cast("double")
-    if freq == "A":
-        return y
-    if freq == "Q":
-        return y + (F.quarter(c) - 1) / F.lit(4.0)
-    if freq == "M":
-        return y + (F.month(c) - 1) / F.lit(12.0)
-    if freq == "D":
-        return y + (F.dayofyear(c) - 1) / F.lit(365.25)
-    raise ValueError(f"unknown frequency {freq!r}")
-
-
-def axis_label(x: Column, freq: str) -> Column:
-    """Readable label of a year-axis position: 2024, 2Q24, Mar-24, 5-Mar-24."""
-    if freq == "A":
-        return F.floor(x + 0.5).cast("string")
-    if freq == "D":
-        y = F.floor(x)
-        day = F.floor((x - y) * 365.25 + 0.5).cast("int")
-        d = F.date_add(F.make_date(y.cast("int"), F.lit(1), F.lit(1)), day)
-        return F.date_format(d, "d-MMM-yy")
-    y = F.floor(x + 1e-6)
-    yy = F.substring(y.cast("string"), -2, 2)
+# Parts of a year that a frequency divides it into, and how a period of it is labelled.
+PARTS_OF_YEAR = {"A": 1.0, "Q": 4.0, "M": 12.0, "D": 365.25}
+LABELS = {"A": "yyyy", "M": "MMM-yy", "D": "d-MMM-yy"}
+
+
+def axis_position(day: Column, freq: str) -> Column:
+    """Place of a date's period on an axis of years."""
+    part = {"A": F.lit(1), "Q": F.quarter(day), "M": F.month(day), "D": F.dayofyear(day)}[freq]
+    return F.year(day) + (part - 1) / F.lit(PARTS_OF_YEAR[freq])
+
+
+def period_label(day: Column, freq: str) -> Column:
+    """Label of a date's period: 2024, 2Q24, Mar-24, 5-Mar-24."""
     if freq == "Q":
-        q = F.floor((x - y) * 4 + 0.5) + 1
-        return F.concat(q.cast("string"), F.lit("Q"), yy)
-    if freq == "M":
-        m = F.floor((x - y) * 12 + 0.5).cast("int") + 1
-        return F.date_format(F.make_date(y.cast("int"), m, F.lit(1)), "MMM-yy")
-    raise ValueError(f"unknown frequency {freq!r}")
+        return F.concat(F.quarter(day).cast("string"), F.lit("Q"), F.date_format(day, "yy"))
+    return F.date_format(day, LABELS[freq])

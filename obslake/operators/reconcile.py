@@ -75,11 +75,15 @@ def one_row(*frames: DataFrame) -> DataFrame:
     return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
 
 
-def run_gate(checks: DataFrame, verification: DataFrame | None = None, ok: str = "ok") -> DataFrame:
-    """One status row: the run fails if any check or any verification failed.
+def run_gate(
+    checks: DataFrame, verification: DataFrame | None = None, ok: str = "ok", parsed: DataFrame | None = None, rejects: DataFrame | None = None
+) -> DataFrame:
+    """One status row: the run fails if any check or verification failed, and if it got nothing from its sources.
 
     Checks are reduced to one row per name first; `verification` is any frame
-    with a boolean column named by `ok`.
+    with a boolean column named by `ok`. Where `parsed` and `rejects` are given,
+    both are counted; a run without a parsed source fails, one with rejects is
+    'partial'.
     """
     gate = summarise_checks(checks).agg(
         F.coalesce(F.sum("checks_total"), F.lit(0)).alias("checks_total"),
@@ -92,4 +96,13 @@ def run_gate(checks: DataFrame, verification: DataFrame | None = None, ok: str =
     else:
         gate = one_row(gate, verification.agg(F.count_if(~F.col(ok)).alias("verifications_failed")))
     failed = (F.col("checks_failed") > 0) | (F.col("verifications_failed") > 0)
-    return gate.withColumn("status", F.when(failed, "fail").otherwise("ok"))
+    status = F.when(failed, "fail")
+    if parsed is not None:
+        counts = [parsed.agg(F.count(F.lit(1)).alias("parsed"))]
+        if rejects is not None:
+            counts.append(rejects.agg(F.count(F.lit(1)).alias("rejected")))
+        gate = one_row(gate, *counts)
+        status = status.when(F.col("parsed") == 0, "fail")
+        if rejects is not None:
+            status = status.when(F.col("rejected") > 0, "partial")
+    return gate.withColumn("status", status.otherwise("ok"))

@@ -220,15 +220,14 @@ SELECT obs_date,
 def period_labels(t):
     d = t.orders.select(F.col("o_orderdate").cast("date").alias("obs_date")).distinct()
     c = F.col("obs_date")
-    x = {f: cal.frac_year(c, f) for f in "AQMD"}
     return d.select(
         "obs_date",
-        F.round(x["Q"], 6).alias("x_quarter"),
-        F.round(x["M"], 6).alias("x_month"),
-        cal.axis_label(x["A"], "A").alias("label_year"),
-        cal.axis_label(x["Q"], "Q").alias("label_quarter"),
-        cal.axis_label(x["M"], "M").alias("label_month"),
-        cal.axis_label(x["D"], "D").alias("label_day"),
+        F.round(cal.axis_position(c, "Q"), 6).alias("x_quarter"),
+        F.round(cal.axis_position(c, "M"), 6).alias("x_month"),
+        cal.period_label(c, "A").alias("label_year"),
+        cal.period_label(c, "Q").alias("label_quarter"),
+        cal.period_label(c, "M").alias("label_month"),
+        cal.period_label(c, "D").alias("label_day"),
     )
 
 

@@ -7,49 +7,53 @@ from ..session import scratch_dir
 from ..streaming import incremental as inc
 from .registry import query
 
+BATCHES = 4
 
-def _paths(t, name):
+
+def _paths(t, name, *parts):
     base = scratch_dir(t._spark, name)
-    return f"{base}/out", f"{base}/checkpoint"
+    return [f"{base}/{p}" for p in (*parts, "checkpoint")]
 
 
 def _events(t):
-    return inc.read_table_stream(t._spark, t._folder, "events")
+    """The events landed in several files, one to a batch, late ones in every file."""
+    (landed, _) = _paths(t, "landed", "files")
+    t.events.withColumn("day", F.col("ts").cast("date")).repartition(BATCHES, "event_id").write.parquet(f"{landed}/events.parquet")
+    return inc.read_table_stream(t._spark, landed, "events", max_files=1)
 
 
 @query(
     "stream_insert_ignore",
-    """SELECT user_id, event_type, CAST(ts AS DATE) AS day, min(event_id) AS event_id FROM events GROUP BY 1, 2, 3""",
+    """SELECT user_id, event_type, CAST(ts AS DATE) AS day, CAST(1 AS BIGINT) AS n_stored FROM events GROUP BY 1, 2, 3""",
 )
 def stream_insert_ignore(t):
-    out, ck = _paths(t, "insert-ignore")
-    s = _events(t).withColumn("day", F.col("ts").cast("date")).select("user_id", "event_type", "day", "event_id")
+    """Each key is stored once, whichever batch brings it first."""
+    out, ck = _paths(t, "insert-ignore", "out")
+    s = _events(t).select("user_id", "event_type", "day", "event_id")
     inc.stream_insert_ignore(s, out, ck, ["user_id", "event_type", "day"], ["event_id"], "day").awaitTermination()
-    return t._spark.read.parquet(out).select("user_id", "event_type", "day", "event_id")
+    return t._spark.read.parquet(out).groupBy("user_id", "event_type", "day").agg(F.count(F.lit(1)).alias("n_stored"))
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(t):
-    """Every event arrives twice; the repeat is dropped by its key."""
-    out, ck = _paths(t, "dedup")
-    s = _events(t).select("event_id", "user_id", "event_type", "ts")
-    d = inc.stream_dedup(s.unionByName(s), ["event_id"], "ts", "1 hour")
-    inc.write_stream(d.drop("ts"), out, ck).awaitTermination()
-    return t._spark.read.parquet(out)
+    """Every event arrives twice; the repeat is dropped by its key, however late it comes."""
+    out, ck = _paths(t, "dedup", "out")
+    s = _events(t).select("event_id", "user_id", "event_type", "day")
+    inc.stream_insert_ignore(s.unionByName(s), out, ck, ["event_id", "day"], ["event_id"], "day").awaitTermination()
+    return t._spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
 @query(
     "stream_tumbling",
-    """WITH w AS (
-  SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2)
-SELECT * FROM w WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events)""",
+    """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2""",
 )
 def stream_tumbling(t):
-    out, ck = _paths(t, "tumbling")
+    store, out, ck = _paths(t, "tumbling", "store", "out")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("total")]
-    d = inc.stream_tumbling(_events(t), "ts", "6 hours", "1 day", ["event_type"], aggs)
-    inc.write_stream(d, out, ck).awaitTermination()
-    return t._spark.read.parquet(out).select(F.col("period_start").cast("date").alias("day"), "event_type", "n", "total")
+    compute = inc.tumbling("1 day", "ts", ["event_type"], aggs)
+    inc.stream_restate(_events(t), store, out, ck, ["event_id", "day"], ["event_id"], "day", compute).awaitTermination()
+    last = inc.latest_of(t._spark, out, ["period_start", "event_type"])
+    return last.select(F.col("period_start").cast("date").alias("day"), "event_type", "n", "total")
 
 
 @query(
@@ -60,15 +64,16 @@ def stream_tumbling(t):
 SELECT day, lhs, rhs, round(abs(lhs - rhs) / rhs, 6) AS rel_error, abs(lhs - rhs) / rhs <= 0.1 AS passed FROM d WHERE lhs IS NOT NULL AND rhs IS NOT NULL""",
 )
 def stream_reconcile(t):
-    out, ck = _paths(t, "reconcile")
+    store, out, ck = _paths(t, "reconcile", "store", "out")
 
-    def prepare(batch):
+    def prepare(rows):
         v = F.col("value").cast("decimal(12,2)")
-        return batch.groupBy(F.col("ts").cast("date").alias("day")).agg(
+        return rows.groupBy("day").agg(
             F.sum(F.when(F.col("event_type") == "purchase", v)).alias("a"),
             F.sum(F.when(F.col("event_type") == "click", v)).alias("b"),
         )
 
     check = Check("purchases = clicks", F.col("a"), F.col("b"), tolerance=0.1, unit="amount")
-    inc.stream_reconcile(_events(t), out, ck, prepare, [check], ["day"]).awaitTermination()
-    return t._spark.read.parquet(out).select("day", "lhs", "rhs", "rel_error", "passed")
+    compute = inc.checked(prepare, [check], ["day"])
+    inc.stream_restate(_events(t), store, out, ck, ["event_id", "day"], ["event_id"], "day", compute).awaitTermination()
+    return inc.latest_of(t._spark, out, ["day", "check_name"]).select("day", "lhs", "rhs", "rel_error", "passed")

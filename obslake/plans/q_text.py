@@ -6,7 +6,6 @@ from ..functions import facts, numbers as num, text as tx
 from ..operators.extract import carry_header, first_yielding as first_of_kind, quarantine as route
 from ..operators.ordered import carry_last, first_per_key
 from ..sources import landed
-from ..sources.landed import spread
 from .q_joins import WS_SQL, norm_sql
 from .registry import query
 
@@ -39,13 +38,13 @@ def scan_pages(t):
 @query(
     "page_admissible",
     """SELECT page_id, octet_length(encode(html)) > 5000 AS ok,
-  CASE WHEN NOT octet_length(encode(html)) > 5000 THEN 'unexpected status or short body' END AS note FROM pages""",
+  CASE WHEN NOT octet_length(encode(html)) > 5000 THEN 'inadmissible_response' END AS note FROM pages""",
 )
 def page_admissible(t):
     return landed.admissibility(t.pages, "html", landed.ARTICLE_MIN_BYTES).select("page_id", "ok", "note")
 
 
-ANCHOR = r'<a[^>]*href="([^"]*)"[^>]*>\s*([^<]{1,120}?)\s*</a>'
+ANCHOR = r'(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
 
 @query(
@@ -53,7 +52,7 @@ ANCHOR = r'<a[^>]*href="([^"]*)"[^>]*>\s*([^<]{1,120}?)\s*</a>'
     f"""WITH m AS (
   SELECT page_id, unnest(regexp_extract_all(html, '{ANCHOR}', 1)) AS id, unnest(regexp_extract_all(html, '{ANCHOR}', 2)) AS title,
     CAST(unnest(range(len(regexp_extract_all(html, '{ANCHOR}', 1)))) AS INTEGER) AS pos FROM pages)
-SELECT page_id, pos, id, title FROM m QUALIFY row_number() OVER (PARTITION BY page_id, id ORDER BY pos) = 1""",
+SELECT page_id, pos, id, {collapse_sql("regexp_replace(title, '(?s)<[^>]*>', ' ', 'g')")} AS title FROM m QUALIFY row_number() OVER (PARTITION BY page_id, id ORDER BY pos) = 1""",
 )
 def listing_items(t):
     return landed.listing_items(t.pages, ["page_id"], "html", ANCHOR)
@@ -64,7 +63,7 @@ def listing_items(t):
     f"""WITH m AS (
   SELECT page_id, unnest(regexp_extract_all(html, '{ANCHOR}', 1)) AS id, unnest(regexp_extract_all(html, '{ANCHOR}', 2)) AS title,
     CAST(unnest(range(len(regexp_extract_all(html, '{ANCHOR}', 1)))) AS INTEGER) AS pos FROM pages)
-SELECT page_id, pos, id, title FROM m QUALIFY row_number() OVER (PARTITION BY id ORDER BY page_id, pos) = 1""",
+SELECT page_id, pos, id, {collapse_sql("regexp_replace(title, '(?s)<[^>]*>', ' ', 'g')")} AS title FROM m QUALIFY row_number() OVER (PARTITION BY id ORDER BY page_id, pos) = 1""",
 )
 def listing_merge(t):
     """Listings of all pages as one search: the first title of an id wins overall."""
@@ -191,16 +190,16 @@ p AS (SELECT page_id, {PARAGRAPH_SQL} AS paragraph FROM pieces)
 SELECT page_id, paragraph, count(*) AS n FROM p WHERE paragraph <> '' GROUP BY 1, 2""",
 )
 def page_paragraphs(t):
-    p = spread(t.pages).select("page_id", F.explode(tx.page_paragraphs(F.col("html"))).alias("paragraph"))
+    p = t.pages.select("page_id", F.explode(tx.page_paragraphs(F.col("html"))).alias("paragraph"))
     return p.groupBy("page_id", "paragraph").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "header_carry_forward",
     f"""WITH b AS (
-  SELECT page_id, unnest(regexp_extract_all(html, '(?is)<(?:h1|li|p)\\b[^>]*>[^<]*')) AS block,
-    unnest(range(len(regexp_extract_all(html, '(?is)<(?:h1|li|p)\\b[^>]*>[^<]*')))) AS pos
-  FROM (SELECT page_id, regexp_replace(html, '(?is)<(script|style)\\b.*?</(script|style)>|<!--.*?-->', '', 'g') AS html FROM pages)),
+  SELECT page_id, unnest(list_transform(cut, lambda x: regexp_replace(x, '(?is)</(h1|li|p)\\b.*$', ''))) AS block, unnest(range(len(cut))) AS pos
+  FROM (SELECT page_id, string_split(regexp_replace(html, '(?i)<(h1|li|p)\\b', chr(1) || '<\\1', 'g'), chr(1))[2:] AS cut
+  FROM (SELECT page_id, regexp_replace(html, '(?is)<(script|style)\\b.*?</(script|style)>|<!--.*?-->', '', 'g') AS html FROM pages))),
 k AS (
   SELECT page_id, pos, {collapse_sql("regexp_replace(block, '(?s)<[^>]*>', ' ', 'g')")} AS txt, block NOT ILIKE '<p%' AS is_header FROM b),
 l AS (
@@ -210,8 +209,8 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, kind FROM c WHERE NOT is_header""",
 )
 def header_carry_forward(t):
     clean = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->", "")
-    blocks = spread(t.pages).select(
-        "page_id", F.posexplode(F.regexp_extract_all(clean, F.lit(r"(?is)<(?:h1|li|p)\b[^>]*>[^<]*"), F.lit(0))).alias("pos", "block")
+    blocks = t.pages.select(
+        "page_id", F.posexplode(F.regexp_extract_all(clean, F.lit(r"(?is)<(?:h1|li|p)\b[^>]*>.*?(?=</?(?:h1|li|p)\b|\z)"), F.lit(0))).alias("pos", "block")
     ).withColumn("txt", tx.collapse_ws(tx.strip_tags(F.col("block"))))
     out = carry_header(
         blocks, ["page_id"], "pos", "txt", ~F.lower("block").startswith("<p"), [("th", "en"), ("ou", "fr")]
@@ -250,7 +249,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY pos) = 1""",
 )
 def first_yielding(t):
     kind = [("@", "contact"), ("de", "romance")]
-    return first_of_kind(spread(t.documents), ["doc_id"], F.split("text", "\n"), kind, "other").select(
+    return first_of_kind(t.documents, ["doc_id"], F.split("text", "\n"), kind, "other").select(
         "doc_id", "kind", "pos", "n_figures"
     )
 
@@ -297,15 +296,15 @@ def classify_label(t):
 FROM documents""",
 )
 def squash_ws(t):
-    d = spread(t.documents).select("doc_id", tx.squash_ws(F.col("text")).alias("s"))
+    d = t.documents.select("doc_id", tx.squash_ws(F.col("text")).alias("s"))
     return d.select("doc_id", F.length("s").cast("bigint").alias("n"), F.md5("s").alias("digest"))
 
 
 PARSE_SQL = f"""WITH tok AS (
-  SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents WHERE regexp_matches(text, '[0-9]')),
+  SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents),
 t AS (
   SELECT doc_id, token, regexp_replace(regexp_replace(token, '{WS_SQL}+', '', 'g'), '[,，]', '', 'g') AS s
-  FROM tok WHERE regexp_matches(token, '[0-9]')),
+  FROM tok),
 i AS (SELECT *, regexp_replace(s, '^[（(](.*)[）)]$', '\\1') AS inn FROM t),
 d AS (SELECT *, regexp_replace(inn, '^[-－負]', '') AS dig FROM i),
 v AS (SELECT *, CASE WHEN regexp_matches(dig, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') THEN try_cast(dig AS DECIMAL(28,6)) END AS x FROM d)
@@ -315,8 +314,7 @@ SELECT doc_id, token, count(*) AS n,
 
 @query("parse_number", PARSE_SQL)
 def parse_number(t):
-    tok = t.documents.filter(F.col("text").rlike("[0-9]")).select("doc_id", F.explode(F.split("text", " ")).alias("token"))
-    tok = tok.filter(F.col("token").rlike("[0-9]"))
+    tok = t.documents.select("doc_id", F.explode(F.split("text", " ")).alias("token"))
     return (
         tok.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("value", num.parse_number(F.col("token")).cast("double"))
@@ -336,7 +334,7 @@ SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(n_cells AS INTEGER) AS n_cells,
   CAST(CASE WHEN n_cells >= 2 THEN v[2] END AS DOUBLE) AS second_value FROM n""",
 )
 def numeric_cells(t):
-    lines = spread(t.documents).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     rows = lines.withColumn("v", num.numeric_cells(F.split("line", " "))).filter(F.size("v") > 0)
     three = num.pad_three(F.col("v"))
     return rows.select(
@@ -404,7 +402,7 @@ SELECT doc_id, CAST(try_cast(a AS DECIMAL(20,4)) AS DOUBLE) AS first_octet, CAST
 FROM d""",
 )
 def extract_facts(t):
-    got = facts.extract_facts(spread(t.documents), F.col("text"), SPECS)
+    got = facts.extract_facts(t.documents, F.col("text"), SPECS)
     w = facts.warnings_array(
         [
             (F.col("first_octet").isNull(), "address not found"),
@@ -466,7 +464,7 @@ SELECT doc_id, CASE WHEN v = '0' THEN contains(text, '0') ELSE contains(t, v) EN
   CASE WHEN v = '0' THEN contains(text, '0') ELSE regexp_matches(t, '(?:^|[^0-9.])' || v || '(?:$|[^0-9])') END AS bounded FROM d""",
 )
 def literal_boundary(t):
-    d = spread(t.documents).select(
+    d = t.documents.select(
         "doc_id", "text", (F.col("n_chars") % 100).cast("string").alias("printed"), tx.text_norm(F.col("text")).alias("norm")
     )
     args = (F.col("printed"), F.col("text"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,16 +31,8 @@ def build_session(app: str = "obslake", master: str | None = None, **conf: str)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir.
-
-    Only a local master may fall back to a temporary folder of its own machine:
-    executors of a cluster could not see it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A fresh folder below the shared folder the cluster names in spark.checkpoint.dir, or else below the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

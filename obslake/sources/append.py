@@ -10,20 +10,13 @@ from pyspark.sql import functions as F
 from ..operators.ordered import first_per_key, key_struct
 
 
-# Most partitions of a batch that are named in the filter on the target.
-NAMED_PARTITIONS = 1000
-
-
 def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """The part of the target in the partitions a batch touches.
+    """The part of the target in the partitions a batch touches, and its null partition.
 
-    Up to NAMED_PARTITIONS values prune the scan by name; more of them leave the
-    target as it is. The null partition always stays.
+    A join on the partition column: the scan of a partitioned target is pruned by the values at run time.
     """
-    values = batch.select(partition).filter(F.col(partition).isNotNull()).distinct().limit(NAMED_PARTITIONS + 1).collect()
-    if len(values) > NAMED_PARTITIONS:
-        return target
-    return target.filter(F.col(partition).isin([v[0] for v in values]) | F.col(partition).isNull())
+    values = batch.select(partition).distinct()
+    return target.join(values, partition, "left_semi").unionByName(target.filter(F.col(partition).isNull()))
 
 
 def new_rows(
@@ -38,6 +31,8 @@ def new_rows(
     Keys compare null-safe. Give the target's partition column when it is part
     of the key: only the partitions the batch touches are then read.
     """
+    if partition and partition not in keys:
+        raise ValueError(f"partition {partition} is not in the key: the key may be held in another partition")
     first = first_per_key(
         batch.withColumn("_key", key_struct(keys)), ["_key"], [F.col(c).asc_nulls_first() for c in arrival]
     )
@@ -91,7 +86,8 @@ def source_status(df: DataFrame, url: str, doc: str, ok: Column, note: Column, a
 RUN_KEYS = {
     "run_log": ("run_id",),
     "run_source_status": ("run_id", "source_url", "attempt"),
-    "run_reconciliation": ("run_id", "check_name"),
+    # one check stands for every period it is made for
+    "run_reconciliation": ("run_id", "check_name", "obs_month"),
 }
 
 

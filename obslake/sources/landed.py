@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..functions.text import collapse_ws, strip_tags
 from ..operators.ordered import first_per_key
 
 # Smallest admissible body, in bytes, of a release page and of an article.
@@ -29,16 +30,6 @@ class Tables:
         return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that lies in fewer splits than there are cores.
-
-    For costly per-row work on small landings, such as one file with one row
-    group. A table with splits enough is returned as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scan_files(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """Landed pages of a folder; the id is the file stem."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -55,13 +46,13 @@ def admissibility(df: DataFrame, body: str, min_bytes: int, http_status: Column
     big = F.octet_length(body) > min_bytes
     status_ok = (http_status == 200) if http_status is not None else F.lit(True)
     ok = F.coalesce(big & status_ok, F.lit(False))
-    return df.withColumn("ok", ok).withColumn("note", F.when(~ok, F.lit("unexpected status or short body")))
+    return df.withColumn("ok", ok).withColumn("note", F.when(~ok, F.lit("inadmissible_response")))
 
 
 def listing_items(
     df: DataFrame, page_key: Sequence[str], html: str, pattern: str, per: Sequence[str] = ()
 ) -> DataFrame:
-    """(id, title) pairs of list pages; the first title of an id wins.
+    """(id, title) pairs of list pages; the first title of an id wins, whatever its length and the tags in it.
 
     `pattern` has two groups, id and title. `per` are the columns within which
     an id is unique (default: one page).
@@ -69,7 +60,7 @@ def listing_items(
     ids = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
     titles = F.regexp_extract_all(html, F.lit(pattern), F.lit(2))
     items = df.select(*page_key, F.posexplode(F.arrays_zip(ids.alias("id"), titles.alias("title"))).alias("pos", "item"))
-    flat = items.select(*page_key, "pos", F.col("item.id").alias("id"), F.col("item.title").alias("title"))
+    flat = items.select(*page_key, "pos", F.col("item.id").alias("id"), collapse_ws(strip_tags(F.col("item.title"))).alias("title"))
     scope = list(per) or list(page_key)
     return first_per_key(flat, [*scope, "id"], [*[F.col(k) for k in page_key], F.col("pos")])
 

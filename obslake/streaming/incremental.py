@@ -25,27 +25,14 @@ def read_table_stream(spark: SparkSession, folder: str, name: str, max_files: in
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz})
 
 
-def _epochs(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
-    """What earlier epochs wrote: a replayed epoch does not see its own first attempt."""
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """What has been written so far, or None before the first batch."""
     try:
-        written = spark.read.parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-    return written.filter(F.col("epoch") < epoch).drop("epoch")
-
-
-def _write_epoch(df: DataFrame, path: str, epoch: int, partition: str | None) -> None:
-    """Each epoch owns one folder, so a replay overwrites instead of appending twice."""
-    by = ["epoch"] + ([partition] if partition else [])
-    (
-        df.withColumn("epoch", F.lit(epoch))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
 
 
 def _start(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -57,48 +44,65 @@ def _start(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None
     )
 
 
+def _add_new(batch: DataFrame, path: str, keys: Sequence[str], arrival: Sequence[str], partition: str | None) -> None:
+    """Append the rows whose key is not stored yet.
+
+    A replay, with the same or with other batch boundaries, finds its own rows in the store and adds nothing.
+    """
+    store = _stored(batch.sparkSession, path)
+    w = new_rows(batch, store, keys, arrival, partition).write.mode("append")
+    (w.partitionBy(partition) if partition else w).parquet(path)
+
+
 def stream_insert_ignore(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], arrival: Sequence[str], partition: str | None = None
 ) -> StreamingQuery:
-    """Append only rows whose natural key is new, batch after batch.
+    """Append only rows whose natural key is new, batch after batch; rows may come as late as they like.
 
     Name a partition column that is part of the key to read only the target
     partitions a batch touches.
     """
+    return _start(stream, checkpoint, lambda batch, epoch: _add_new(batch, path, keys, arrival, partition))
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        target = _epochs(batch.sparkSession, path, epoch)
-        _write_epoch(new_rows(batch, target, keys, arrival, partition), path, epoch, partition)
 
-    return _start(stream, checkpoint, each)
+def stream_restate(
+    stream: DataFrame, store: str, path: str, checkpoint: str, keys: Sequence[str], arrival: Sequence[str], period: str,
+    compute: Callable[[DataFrame], DataFrame],
+) -> StreamingQuery:
+    """Keep per-period results current: each batch is stored, and the periods it touches are computed anew.
 
+    `compute` takes all stored rows of some periods and keeps the column `period`. What it gives is appended with the
+    batch's epoch: a correction, however late, is a new vintage of its period. `latest_of` reads the current state.
+    """
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Drop repeats of a natural key that arrive within the watermark delay of each other."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    def each(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        _add_new(batch, store, keys, arrival, period)
+        touched = batch.select(period).distinct()
+        rows = compute(spark.read.parquet(store).join(touched, period, "left_semi"))
+        rows.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("append").parquet(path)
 
+    return _start(stream, checkpoint, each)
 
-def stream_tumbling(
-    stream: DataFrame, event_time: str, delay: str, width: str, keys: Sequence[str], aggs: Sequence[Column]
-) -> DataFrame:
-    """Aggregate per fixed period; a period is final once the watermark has passed its end."""
-    closed = stream.withWatermark(event_time, delay).groupBy(F.window(event_time, width), *keys).agg(*aggs)
-    return closed.withColumns({"period_start": F.col("window.start"), "period_end": F.col("window.end")}).drop("window")
 
+def latest_of(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The last vintage of every row; rows written twice by a replay count once."""
+    log = spark.read.parquet(path)
+    rest = [c for c in log.columns if c not in (*keys, "epoch")]
+    last = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
-def stream_reconcile(
-    stream: DataFrame, path: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame], checks: Sequence[Check], keep: Sequence[str]
-) -> StreamingQuery:
-    """Append the check rows of every micro-batch to the check log."""
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        _write_epoch(reconcile(prepare(batch), checks, keep), path, epoch, None)
+def tumbling(width: str, event_time: str, keys: Sequence[str], aggs: Sequence[Column]) -> Callable[[DataFrame], DataFrame]:
+    """Aggregates per fixed period, for `stream_restate`."""
 
-    return _start(stream, checkpoint, each)
+    def compute(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy(F.window(event_time, width), *keys).agg(*aggs)
+        return out.withColumns({"period_start": F.col("window.start"), "period_end": F.col("window.end")}).drop("window")
 
+    return compute
 
-def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (
-        df.writeStream.format("parquet").outputMode("append").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+
+def checked(prepare: Callable[[DataFrame], DataFrame], checks: Sequence[Check], keep: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """Checks of whole periods, for `stream_restate`."""
+    return lambda rows: reconcile(prepare(rows), checks, keep)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
     s = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -7,6 +7,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -89,7 +90,9 @@ if __name__ == "__main__":
     from obslake.session import build_session
 
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
+    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g", spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     qs, sqls = e.queries(), e.oracle_sql()

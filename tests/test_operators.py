@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 from decimal import Decimal as D
 
@@ -98,11 +99,15 @@ def test_run_log_keeps_fail_then_ok(spark):
     s = spark.createDataFrame([("u", "d", 1, False), ("u", "d", 2, True)], "url string, doc string, attempt int, good boolean")
     st = append.source_status(s, "url", "doc", F.col("good"), F.lit("status 500"), "attempt")
     gate = spark.createDataFrame([("ok", 3)], "status string, checks_total int")
-    checks = spark.createDataFrame([("c", True)], "check_name string, passed boolean")
+    checks = spark.createDataFrame([("c", m, True) for m in ("2026-01", "2026-02")], "check_name string, obs_month string, passed boolean")
     frames = append.run_log_frames("r1", "stage", gate, st, checks)
     target = frames["run_source_status"].limit(0)
     kept = append.insert_ignore(frames["run_source_status"], target, append.RUN_KEYS["run_source_status"], ["attempt"])
     assert rows(kept, "attempt", "ok", "note") == [(1, False, "status 500"), (2, True, None)]
+    logged = frames["run_reconciliation"]
+    for _ in range(2):  # both months of one check are kept, and a second append adds nothing
+        logged = append.insert_ignore(frames["run_reconciliation"], logged.limit(0) if _ == 0 else logged, append.RUN_KEYS["run_reconciliation"], ["check_name"])
+    assert rows(logged, "obs_month") == [("2026-01",), ("2026-02",)]
     assert frames["run_log"].first()["notes"] == '{"status":"ok","checks_total":3}'
 
 
@@ -440,14 +445,15 @@ def test_sector_rows_without_entity_join(spark):
     assert abs(aggregates.regression_backfill(fit, ["e"], "y", "x").filter("y IS NULL").first()["value"] - 2.0) < 1e-9
 
 
-def test_append_names_only_touched_partitions(spark, tmp_path):
+def test_append_joins_the_touched_partitions(spark, tmp_path):
     t = spark.range(60).selectExpr("id AS k", "date_add(DATE'2026-01-01', CAST(id % 6 AS INT)) AS m", "id AS seq")
     t.write.partitionBy("m").parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
     batch = t.filter("m = DATE'2026-01-02'").unionByName(spark.sql("SELECT 999L AS k, DATE'2026-01-03' AS m, 1L AS seq"))
     fresh = append.new_rows(batch, target, ["k", "m"], ["seq"], "m")
     assert rows(fresh, "k") == [(999,)]
-    assert "PartitionFilters: [m" in plan(fresh) or "PartitionFilters: [(m" in plan(fresh)
+    with pytest.raises(ValueError):
+        append.new_rows(batch, target, ["k"], ["seq"], "m")
 
 
 def test_append_new_writes_only_fresh_rows(spark, tmp_path):

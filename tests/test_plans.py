@@ -65,7 +65,7 @@ def parsed(spark):
 
 def test_release_rejects(parsed):
     assert parsed[1] == {
-        "202005280003": "FX table not found", "202005280004": "title not recognised", "202005280005": "no main content"
+        "202005280003": "fx_rows_absent", "202005280004": "title_without_month", "202005280005": "body_absent"
     }
 
 
@@ -95,19 +95,19 @@ def test_release_fallbacks_and_warnings(parsed):
     assert r["hedging_swap_cost"] == D(-7700) and not r["hedging_split_available"]
     assert (r["total_assets"], r["foreign_investments"]) == (D(29800000), D(17700000))
     assert r["warnings"] == [
-        "no equity table", "reserve balance not found in narrative", "TWD move not found in narrative", "swap cost taken from narrative"
+        "equity_table_absent", "balance_not_stated", "currency_move_not_stated", "swap_cost_from_prose"
     ]
 
 
 def test_release_checks_and_projection(spark, parsed):
     checks = reconcile(parsed[2], releases.edition_checks(), ["doc_id"])
     got = {(r["doc_id"], r["check_name"]): r["passed"] for r in checks.collect()}
-    assert got[("202004280001", "equity life+nonlife=total")] and got[("202004280001", "fx combined: table vs narrative")]
+    assert got[("202004280001", "equity_parts_add_up")] and got[("202004280001", "fx_total_as_in_prose")]
     assert len([k for k in got if k[0] == "202004280001"]) == 4 and all(v for k, v in got.items() if k[0] == "202004280001")
     obs = releases.to_observations(parsed[2], "https://host.example/view?id=%s", F.current_timestamp())
     o = {r["source_id"]: r for r in obs.collect()}["202005280002"]
     assert o["source_url"] == "https://host.example/view?id=202005280002" and o["reporting_channel"] == "release"
-    assert o["source_note"].startswith("no equity table; ") and o["vintage"] == d("2020-05-28")
+    assert o["source_note"].startswith("equity_table_absent; ") and o["vintage"] == d("2020-05-28")
 
 
 def test_release_run_appends_and_ties(spark):
@@ -118,7 +118,7 @@ def test_release_run_appends_and_ties(spark):
     first = [edition("202001280001", "108年12月保險業兌換損益情形", 600, "減少5"), edition("202004280001", "109年3月保險業兌換損益情形", 580, "減少20")]
     docs = spark.createDataFrame(first, "doc_id string, html string")
     run = releases.run_releases(docs, None, "u/%s", F.lit("2026-01-01").cast("timestamp"))
-    ties = run["checks"].filter("check_name LIKE 'reserve balance%'").collect()
+    ties = run["checks"].filter("check_name = 'balance_follows_from_change'").collect()
     assert [(r["obs_month"], r["lhs"], r["rhs"], r["passed"]) for r in ties] == [(d("2020-03-01"), 58000.0, 58000.0, True)]
     assert run["gate"].first()["status"] == "ok"
 
@@ -135,7 +135,7 @@ def test_header_out_of_reach(spark):
     body = "<p>一、稅前損益</p><p>" + "長" * 500 + "</p>" + table(("壽險業", "1"), ("合計", "1")) + FX
     good, _ = releases.parse_releases(spark.createDataFrame([("202004280001", page(TITLE, body))], "doc_id string, html string"))
     r = good.first()
-    assert r["pretax_profit_life"] is None and "no pre-tax profit table" in r["warnings"]
+    assert r["pretax_profit_life"] is None and "pretax_table_absent" in r["warnings"]
 
 
 def test_listing_and_titles(spark):
@@ -176,11 +176,11 @@ FIELD_OF = dict(
     absorb="buffer_absorbable_appreciation_pct",
 )
 GOLD_CHECKS = {
-    ("2025-12-01", "net exposure"): 0.0046,
-    **{(f"2026-{m:02d}-01", "P + Q"): 0.0 for m in (2, 3, 4, 5)},
-    **{(f"2026-{m:02d}-01", "reserve + X + Y"): 0.0 for m in (2, 3, 4, 5, 6, 7)},
-    ("2026-03-01", "buffer / net"): 0.001396, ("2026-04-01", "buffer / net"): 0.003969, ("2026-05-01", "buffer / net"): 0.001888,
-    ("2026-06-01", "buffer / net"): 0.000335, ("2026-07-01", "buffer / net"): 0.001571,
+    ("2025-12-01", "net_exposure_from_ratio"): 0.0046,
+    **{(f"2026-{m:02d}-01", "reserve_parts_add_up"): 0.0 for m in (2, 3, 4, 5)},
+    **{(f"2026-{m:02d}-01", "buffer_parts_add_up"): 0.0 for m in (2, 3, 4, 5, 6, 7)},
+    ("2026-03-01", "absorbable_move_from_buffer"): 0.001396, ("2026-04-01", "absorbable_move_from_buffer"): 0.003969, ("2026-05-01", "absorbable_move_from_buffer"): 0.001888,
+    ("2026-06-01", "absorbable_move_from_buffer"): 0.000335, ("2026-07-01", "absorbable_move_from_buffer"): 0.001571,
 }
 
 
@@ -284,7 +284,7 @@ def test_scan_files_and_admissibility(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("ignored", encoding="utf-8")
     df = landed.admissibility(landed.scan_files(spark, str(tmp_path)), "html", landed.ARTICLE_MIN_BYTES)
     got = {r["doc_id"]: (r["n_bytes"], r["ok"], r["note"]) for r in df.collect()}
-    assert got == {"20200428": (6000, True, None), "short": (3, False, "unexpected status or short body")}
+    assert got == {"20200428": (6000, True, None), "short": (3, False, "inadmissible_response")}
 
 
 def test_line_items_round_trip(spark, tmp_path):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from obslake.operators.reconcile import Check
@@ -20,48 +21,50 @@ def landed_events(spark, folder, parts):
 def stream_of(spark, folder, parts):
     schema = spark.read.parquet(f"{folder}/raw0").schema
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/raw*")
-    return s.withColumn("ts", F.col("ts").cast("timestamp"))
+    return s.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", F.col("ts").cast("date"))
 
 
-def test_insert_ignore_over_many_batches_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_insert_ignore_over_many_batches_equals_batch(spark, tmp_path, parts):
     folder = str(tmp_path)
-    e = landed_events(spark, folder, 4)
-    out, ck = f"{folder}/out", f"{folder}/ck"
-    s = stream_of(spark, folder, 4).select("k", "id")
-    inc.stream_insert_ignore(s, out, ck, ["k"], ["id"]).awaitTermination()
-    got = spark.read.parquet(out)
-    assert got.select("epoch").distinct().count() >= 1 and got.count() == 40
+    e = landed_events(spark, folder, parts)
+    s = stream_of(spark, folder, parts).select("k", "id")
+    inc.stream_insert_ignore(s, f"{folder}/out", f"{folder}/ck", ["k"], ["id"]).awaitTermination()
+    got = spark.read.parquet(f"{folder}/out")
+    assert got.count() == 40
     assert got.select("k").distinct().count() == e.select("k").distinct().count()
 
 
-def test_replayed_epoch_writes_nothing_twice(spark, tmp_path):
+def test_replay_with_other_boundaries_adds_nothing(spark, tmp_path):
     folder = str(tmp_path)
-    landed_events(spark, folder, 2)
+    landed_events(spark, folder, 4)
     out = f"{folder}/out"
-    s = lambda: stream_of(spark, folder, 2).select("k", "id")
-    inc.stream_insert_ignore(s(), out, f"{folder}/ck1", ["k"], ["id"]).awaitTermination()
+    inc.stream_insert_ignore(stream_of(spark, folder, 4).select("k", "id"), out, f"{folder}/ck1", ["k"], ["id"]).awaitTermination()
     before = sorted(map(tuple, spark.read.parquet(out).select("k", "id").collect()))
-    # a lost checkpoint replays every epoch from the start
-    inc.stream_insert_ignore(s(), out, f"{folder}/ck2", ["k"], ["id"]).awaitTermination()
-    after = spark.read.parquet(out).select("k", "id").collect()
-    assert len(after) == 40 and {r["k"] for r in after} == {k for k, _ in before}
+    # a lost checkpoint replays everything, now in one batch
+    schema = spark.read.parquet(f"{folder}/raw0").schema
+    whole = spark.readStream.schema(schema).parquet(f"{folder}/raw*").select("k", "id")
+    inc.stream_insert_ignore(whole, out, f"{folder}/ck2", ["k"], ["id"]).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(out).select("k", "id").collect())) == before
 
 
-def test_tumbling_emits_only_closed_periods(spark, tmp_path):
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_tumbling_gives_every_period(spark, tmp_path, parts):
     folder = str(tmp_path)
-    e = landed_events(spark, folder, 3)
-    d = inc.stream_tumbling(stream_of(spark, folder, 3), "ts", "1 hour", "1 day", [], [F.count(F.lit(1)).alias("n")])
-    inc.write_stream(d, f"{folder}/out", f"{folder}/ck").awaitTermination()
-    got = {r["period_start"].date(): r["n"] for r in spark.read.parquet(f"{folder}/out").collect()}
-    want = {r["day"]: r["n"] for r in e.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert got and all(want[k] == n for k, n in got.items()) and max(want) not in got
+    e = landed_events(spark, folder, parts)
+    compute = inc.tumbling("1 day", "ts", [], [F.count(F.lit(1)).alias("n")])
+    inc.stream_restate(stream_of(spark, folder, parts), f"{folder}/store", f"{folder}/out", f"{folder}/ck", ["id", "day"], ["id"], "day", compute).awaitTermination()
+    got = {r["period_start"].date(): r["n"] for r in inc.latest_of(spark, f"{folder}/out", ["period_start"]).collect()}
+    assert got == {r["day"]: r["n"] for r in e.groupBy(F.col("ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def test_reconcile_appends_per_batch(spark, tmp_path):
+def test_checks_see_whole_periods(spark, tmp_path):
     folder = str(tmp_path)
-    landed_events(spark, folder, 2)
+    e = landed_events(spark, folder, 3)
     prepare = lambda b: b.groupBy("k").agg(F.sum("v").alias("a"), F.count("v").alias("n"))
-    check = Check("a = n", F.col("a"), F.col("n"))
-    inc.stream_reconcile(stream_of(spark, folder, 2), f"{folder}/out", f"{folder}/ck", prepare, [check], ["k"]).awaitTermination()
-    got = spark.read.parquet(f"{folder}/out")
-    assert got.select("epoch").distinct().count() == 2 and got.count() == 80
+    compute = inc.checked(prepare, [Check("a = n", F.col("a"), F.col("n"))], ["k"])
+    inc.stream_restate(stream_of(spark, folder, 3), f"{folder}/store", f"{folder}/out", f"{folder}/ck", ["id", "k"], ["id"], "k", compute).awaitTermination()
+    log = spark.read.parquet(f"{folder}/out")
+    assert log.select("epoch").distinct().count() == 3
+    got = {r["k"]: r["lhs"] for r in inc.latest_of(spark, f"{folder}/out", ["k", "check_name"]).collect()}
+    assert got == {r["k"]: r["a"] for r in e.groupBy("k").agg(F.sum("v").alias("a")).collect()}
