@@ -40,8 +40,9 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int =
     rest = by_cap.rowsBetween(0, Window.unboundedFollowing)
     total = F.sum("source_size").over(Window.partitionBy())
     level = (total - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest)
+    # too many capped leave less for the rest: the highest level that respects all caps is the one sought
     w = w.withColumn("level", level)
-    fits = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(Window.partitionBy())
+    fits = F.max(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(Window.partitionBy())
     return w.select("source", "source_size", "rank", F.least(F.col("cap").cast("double"), fits * F.col("weight")).alias("target"))
 
 

@@ -83,7 +83,7 @@ WITH d AS (
         / CAST(sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
     FROM w
 ), t AS (
-    SELECT *, least(CAST(cap AS DOUBLE), min(CASE WHEN level * weight <= cap THEN level END) OVER () * weight) AS target FROM l
+    SELECT *, least(CAST(cap AS DOUBLE), max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight) AS target FROM l
 ), p AS (
     SELECT d.*, t.rank, t.source_size, t.target, row_number() OVER o AS turn,
         sum(d.size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until
