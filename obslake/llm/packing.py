@@ -17,7 +17,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,7 +127,7 @@ def pack(
         left, level, last = packed.where("sequence_id IS NULL"), level + 1, groups <= fan_in
         merge = _merger(size, open_windows, least_cut, level, last)
         groups = -(-groups // fan_in)
-        packed = left.withColumn("group", F.floor(F.col("from") / fan_in)).groupBy("group").applyInPandas(merge, PIECE + ", from long")
+        packed = left.withColumn("group", F.floor(F.col("from") / fan_in)).groupBy("group").applyInArrow(merge, PIECE + ", from long")
         if last:
             done.append(packed.select(*COLUMNS))
             break
@@ -140,25 +139,21 @@ def pack(
 
 
 def _merger(size: int, open_windows: int, least_cut: int, level: int, last: bool):
-    def merge(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
-        # the smallest windows first, so that the tail of the group tops up what is open
-        left = left.sort_values(["from", "fill", "doc_id", "start"], kind="stable")
-        ids = [np.frombuffer(x, "<u4") for x in left["ids"]]
-        whose = [None if pd.isna(x) else int(x) for x in left["doc_id"]]
-        items = zip(whose, left["start"].tolist(), ids, left["doc_tokens"].tolist())
-        n = (level << LEVEL_BITS) + (int(key[0]) << 32)
-        rows, w = [], Windows(size, 1 if last else open_windows, 0 if last else least_cut)
+    def merge(key: tuple, left: pa.Table) -> pa.Table:
+        # the order is fixed, so that a task that runs again gives the same sequences
+        rows = left.sort_by([(c, "ascending") for c in ("from", "fill", "doc_id", "start", "ids_crc32")]).to_pylist()
+        items = ((r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4"), r["doc_tokens"]) for r in rows)
+        group = key[0].as_py()
+        n = (level << LEVEL_BITS) + (group << 32)
+        out, w = [], Windows(size, 1 if last else open_windows, 0 if last else least_cut)
         for batch in _pack(items, w, n):
-            rows += batch.to_pylist()
-        rest = [r for r in rows if r["sequence_id"] is None]
+            out += batch.to_pylist()
+        rest = [r for r in out if r["sequence_id"] is None]
         if last:
-            rows = [r for r in rows if r["sequence_id"] is not None]
-            rows += _at_powers(rest, n + len(rows))
-        out = pd.DataFrame(rows, columns=COLUMNS)
-        out["from"] = int(key[0])
-        for c in COLUMNS[:-1]:
-            out[c] = out[c].astype("Int64")
-        return out
+            out = [r for r in out if r["sequence_id"] is not None]
+            out += _at_powers(rest, n + len(out))
+        kinds = [(c, pa.binary() if c == "ids" else pa.int64()) for c in COLUMNS] + [("from", pa.int64())]
+        return pa.Table.from_pylist([r | {"from": group} for r in out], schema=pa.schema(kinds))
 
     return merge
 
