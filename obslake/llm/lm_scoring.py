@@ -382,7 +382,7 @@ def _read(docs: DataFrame, v: Vocabulary, model: GatedModel, width: int, steps:
                     [
                         pa.array(base + n_rows + np.arange(n)), b.column(0).slice(x, n), pa.array(counts + 1), pa.array(np.bincount(whose, known, n).astype(np.int64) + (v.n_docs > 0)),
                         pa.array(np.bincount(whose, outside, n).astype(np.int64)), pa.array(np.bincount(whose, value, n) + log_count[0]),
-                        pa.array(np.bincount(whose, value * outside, n)), pa.nulls(n, pa.float64()),
+                        pa.array(np.bincount(whose, value * outside, n).astype(float)), pa.nulls(n, pa.float64()),
                         pa.ListArray.from_arrays(each, pa.array(hashes[order].view(np.int64))), pa.ListArray.from_arrays(each, pa.array(times)),
                     ], names,
                 )
