@@ -3,8 +3,8 @@
 A text's set are the hashes of its word n-grams. Grams are ordered rare first, by a fixed number of counters that all
 rows are counted in; texts that reach the similarity share a gram among the first few of each, so candidates meet on
 those alone. A candidate must then pass the length filter, the positional filter (what is left behind the shared gram
-suffices) and the suffix filter (the sets' parts by ranges of the hash differ too little); what remains is verified
-once per pair on the whole sets.
+suffices) and the suffix filter: grams fall into ranges of the hash, and the ranges whose counts differ in parity are a
+lower bound of the sets' difference. What remains is verified once per pair on the whole sets.
 
 Texts with equal sets are one from the start. Links are found in rounds, so that a large group of near copies is never
 expanded into all its pairs: first every text of a gram's list meets one pivot of the list, twice with other pivots;
@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 from .common import kept, scramble, slices, text_buffers, word_hashes, written
 
 ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
-COUNTERS, COUNTER_BLOCK, PARTS = 1 << 20, 1 << 12, 32
+COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 12
+#: Ranges of the suffix filter, 64 to a number.
+RANGES, PARITY = 256, ["s0", "s1", "s2", "s3"]
 
 
 def gram_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +95,7 @@ def gram_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
     return np.minimum(total.ravel(), (1 << 32) - 1).astype(np.uint32)
 
 
-PROFILE = "doc_id long, n int, k1 long, k2 long, parts array<int>, grams array<long>"
+PROFILE = "doc_id long, n int, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, grams array<long>"
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -112,14 +114,15 @@ def _identity(docs: np.ndarray, grams: np.ndarray, n_docs: int) -> tuple[np.ndar
 
 
 def profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """Per row: size and identity of its set, counts of its parts, and its first grams, rare first."""
+    """Per row: size and identity of its set, parities of its ranges, and its first grams, rare first."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for a, whose, grams, sizes in _sets(b.column(1), n):
                 k1, k2 = _identity(whose, grams, len(sizes))
-                parts = np.bincount(whose * PARTS + (grams >> np.uint64(59)).astype(np.int64), minlength=len(sizes) * PARTS)
+                odd = np.bincount(whose * RANGES + (grams >> np.uint64(56)).astype(np.int64), minlength=len(sizes) * RANGES) & 1
+                parity = np.packbits(odd.astype(bool).reshape(-1, RANGES), axis=1).view(np.int64)
                 common = shared.value[(grams & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 order = np.lexsort((grams, common, whose))
                 place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -128,8 +131,8 @@ def profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, coun
                 yield pa.record_batch(
                     [
                         b.column(0).slice(a, len(sizes)), pa.array(sizes, pa.int32()), pa.array(k1), pa.array(k2),
-                        _lists(parts, np.full(len(sizes), PARTS), pa.int32()), _lists(grams[first].view(np.int64), lead, pa.int64()),
-                    ], ["doc_id", "n", "k1", "k2", "parts", "grams"],
+                        *(pa.array(np.ascontiguousarray(x)) for x in parity.T), _lists(grams[first].view(np.int64), lead, pa.int64()),
+                    ], ["doc_id", "n", "k1", "k2", *PARITY, "grams"],
                 )
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text)).mapInArrow(profile, PROFILE)
@@ -172,12 +175,16 @@ def _positions(percent: int) -> str:
     return f"{100 + percent} * least(a_n - a_at, b_n - b_at) >= {percent} * (a_n + b_n)"
 
 
+def _parities(percent: int) -> str:
+    """The ranges differ too little to rule the pair out."""
+    apart = " + ".join(f"bit_count(a_{x} ^ b_{x})" for x in PARITY)
+    return f"{100 + percent} * ({apart}) <= {100 - percent} * (a_n + b_n)"
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that reach the similarity."""
-    side = lambda s: reps.select(F.col("u").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("n", "k1", "k2", "parts")])
+    side = lambda s: reps.select(F.col("u").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("k1", "k2")])
     known = pairs.join(side("a"), "a").join(side("b"), "b")
-    differ = F.expr("aggregate(zip_with(a_parts, b_parts, (x, y) -> abs(x - y)), 0L, (s, d) -> s + d)")
-    known = known.where((100 + percent) * (F.col("a_n") + F.col("b_n") - differ) >= 2 * percent * (F.col("a_n") + F.col("b_n")))
     known = kept(known.select("a", "b", "a_k1", "a_k2", "b_k1", "b_k2"))
     key = lambda s: known.select(F.col(f"{s}_k1").alias("k1"), F.col(f"{s}_k2").alias("k2"))
     wanted = kept(key("a").unionByName(key("b")).distinct())
@@ -221,27 +228,28 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
     rows = written(profiles(docs, doc_id, text, n, percent, gram_counts(docs, text, n)).withColumn("u", F.monotonically_increasing_id()), "profiles")
     same = kept(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("u").alias("u"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies")))
     reps = rows.join(same.select("u"), "u", "left_semi")
-    listed = reps.select("u", "n", F.posexplode("grams").alias("at", "g"))
+    listed = reps.select("u", "n", *PARITY, F.posexplode("grams").alias("at", "g"))
     shared = listed.groupBy("g").agg(F.count("*").alias("many")).where("many > 1").select("g")
     listed = kept(listed.join(shared, "g"))
+    filters = f"{_reaches('a_n', 'b_n', percent)} AND {_positions(percent)} AND {_parities(percent)}"
     edges, label = None, None
     for turn in range(stars + 1):
         members = listed.withColumn("c", F.col("u")) if label is None else listed.join(label, "u", "left").withColumn("c", F.coalesce("root", "u")).drop("root")
         if turn < stars:
             # the pivots are the smallest set, then one by hash
-            first = F.struct("n", "u", "at", "c") if not turn else F.struct(F.xxhash64("u"), "n", "u", "at", "c")
+            first = F.struct("n", "u", "at", "c", *PARITY) if not turn else F.struct(F.xxhash64("u"), "n", "u", "at", "c", *PARITY)
             pivot = members.groupBy("g").agg(F.min(first).alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
             met = members.join(pivot.select("g", "p"), "g").where("c <> p.c").select(
                 F.least("u", "p.u").alias("a"), F.greatest("u", "p.u").alias("b"), F.col("n").alias("a_n"), F.col("at").alias("a_at"),
-                F.col("p.n").alias("b_n"), F.col("p.at").alias("b_at"),
+                F.col("p.n").alias("b_n"), F.col("p.at").alias("b_at"), *[F.col(f"{f}{x}").alias(f"{t}_{x}") for f, t in (("", "a"), ("p.", "b")) for x in PARITY],
             )
         else:
             open_ = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
             left = kept(members.join(open_, "g"))
-            x, y = (left.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c")]) for s in ("a", "b"))
-            near = F.expr(f"a_u < b_u AND a_c <> b_c AND {_reaches('a_n', 'b_n', percent)} AND {_positions(percent)}")
-            met = x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b"), "a_n", "a_at", "b_n", "b_at")
-        pairs = met.where(f"{_reaches('a_n', 'b_n', percent)} AND {_positions(percent)}").select("a", "b").distinct()
+            x, y = (left.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
+            near = F.expr(f"a_u < b_u AND a_c <> b_c AND {filters}")
+            met = x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b"))
+        pairs = (met.where(filters) if turn < stars else met).select("a", "b").distinct()
         found = verified(pairs, reps, docs, text, n, percent)
         edges = kept(found if edges is None else edges.unionByName(found))
         label = kept(classes(edges))
