@@ -149,8 +149,8 @@ class _Block:
         raw, off = text_buffers(texts)
         cells, whose, counts = subwords(raw, off, model.table)
         self.toxic, self.n_words = toxic, int(counts.sum())
-        order = np.argsort(whose, kind="stable")
-        self.cells, self.whose = cells[order], whose[order]
+        # all blocks stay in memory while they are learnt from: no more than a number a subword
+        self.cells = cells[np.argsort(whose, kind="stable")].astype(np.int32)
         self.per_word = np.bincount(whose, minlength=self.n_words)
         self.begin = np.cumsum(self.per_word) - self.per_word
         self.starts, self.many = stretch_starts(counts, model.length)
@@ -161,7 +161,7 @@ class _Block:
     def logits(self, model: SubwordBags) -> np.ndarray:
         """Of each stretch, up to the bias."""
         value = (model.embed @ (model.out[1] - model.out[0]))[self.cells]
-        return np.add.reduceat(np.bincount(self.whose, value, self.n_words) / self.per_word, self.starts) / self.sizes
+        return np.add.reduceat(np.add.reduceat(value, self.begin) / self.per_word, self.starts) / self.sizes
 
     def first_by(self, rank: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """The first stretch of each text by rank, ties at random."""
