@@ -144,5 +144,5 @@ def test_language_model_odd_rows(odd_docs, no_docs):
     assert sorted(r["n_tokens"] for r in got) == sorted(len((r["text"] or "").encode().split()) + 1 for r in odd_docs.collect())
     assert all(np.isfinite(r["score"]) for r in got)
     untaught = lm_scoring.score(odd_docs, F.lit(False)).collect()
-    assert all(r["score"] == r["base_score"] == 0 for r in untaught)
+    assert all(r["score"] == r["base_score"] == pytest.approx(0, abs=1e-6) for r in untaught)
     assert lm_scoring.score(no_docs, F.lit(True)).count() == 0
