@@ -190,9 +190,12 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, n: i
     wanted = kept(key("a").unionByName(key("b")).distinct())
     if wanted.isEmpty():
         return known.select("a", "b")
-    sets = written(whole_sets(docs, text, n, wanted), "gram-sets")
-    of = lambda s: sets.select(F.col("k1").alias(f"{s}_k1"), F.col("k2").alias(f"{s}_k2"), F.col("grams").alias(f"{s}_grams"))
-    both = known.join(of("a"), ["a_k1", "a_k2"]).join(of("b"), ["b_k1", "b_k2"]).select("a", "b", "a_grams", "b_grams")
+    # each pair asks for its two sets, so that the sets travel once
+    end = lambda s: F.struct(F.col(f"{s}_k1").alias("k1"), F.col(f"{s}_k2").alias("k2"), F.lit(s).alias("side"))
+    ends = known.select("a", "b", F.explode(F.array(end("a"), end("b"))).alias("e")).select("a", "b", "e.*")
+    told = ends.join(whole_sets(docs, text, n, wanted), ["k1", "k2"])
+    of = lambda s: F.max(F.when(F.col("side") == s, F.col("grams"))).alias(f"{s}_grams")
+    both = told.groupBy("a", "b").agg(of("a"), of("b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
