@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,21 +14,14 @@ WS_CLASS = (
     r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 
-_DROPPED_REGIONS = (
-    r"(?is)<(script|style|nav|footer|header|aside)\b.*?</(script|style|nav|footer|header|aside)>"
-    r"|<!--.*?-->"
-)
+# Whole elements that hold no running text; each closes with its own name, scripts and styles first.
+_CHROME = ("script", "style", "nav", "footer", "header", "aside")
+_COMMENT = r"(?s)<!--.*?-->"
 _TAG = r"(?s)<[^>]*>"
 
-# Named entities that occur in running text.
-_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
+# Character references: decimal, hexadecimal, and the names of the standard library's table.
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+_PLAIN = {"nbsp": " ", "apos": "'"}
 
 
 def squash_ws(c: Column) -> Column:
@@ -72,19 +67,49 @@ def literal_in_text(
     return F.when(core == "0", F.contains(text, F.lit("0"))).otherwise(found(text_norm(core)) | without_unit)
 
 
+def _referred(ref: Column) -> Column:
+    """The character a reference stands for; null if there is none."""
+    names = {n: chr(c) for n, c in name2codepoint.items()} | _PLAIN
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    body = F.substring(ref, 2, 64)
+    body = F.substring_index(body, ";", 1)
+    hexadecimal = F.when(F.lower(body).startswith("#x"), F.substring(body, 3, 6)).when(
+        body.startswith("#"), F.hex(F.substring(body, 2, 7).cast("long"))
+    )
+    code = F.lpad(F.upper(hexadecimal), 8, "0")
+    valid = ((code < "0000D800") | (code > "0000DFFF")) & (code <= "0010FFFF") & (code > "00000000")
+    char = F.when(valid, F.decode(F.unhex(code), "UTF-32"))
+    char = F.when(char == "\u00a0", F.lit(" ")).otherwise(char)
+    return F.when(body.startswith("#"), char).otherwise(F.element_at(table, body))
+
+
 def unescape(c: Column) -> Column:
-    for entity, char in _ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Decode character references; those of the ampersand last, so that nothing is decoded twice."""
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)))
+    refs = F.concat(F.filter(refs, lambda r: ~_ampersand(r)), F.filter(refs, _ampersand))
+    done = F.aggregate(refs, c, lambda s, r: F.replace(s, r, F.coalesce(_referred(r), r)))
+    return F.when(c.contains("&"), done).otherwise(c)
+
+
+def _ampersand(ref: Column) -> Column:
+    return F.lower(ref).rlike("^&(amp|#0*38|#x0*26);$")
 
 
 def strip_tags(c: Column) -> Column:
     return F.regexp_replace(c, _TAG, " ")
 
 
+def tag_text(c: Column) -> Column:
+    """Text of a piece of a page: tags stripped, references decoded."""
+    return unescape(strip_tags(c))
+
+
 def drop_page_chrome(html: Column) -> Column:
     """Remove scripts, styles, navigation and comments before looking at the text."""
-    return F.regexp_replace(html, _DROPPED_REGIONS, "")
+    out = F.regexp_replace(html, _COMMENT, "")
+    for name in _CHROME:
+        out = F.regexp_replace(out, rf"(?is)<{name}\b.*?</{name}\s*>", "")
+    return out
 
 
 def page_title(html: Column) -> Column:

@@ -16,9 +16,6 @@ GRAM = 12
 SHORT_GRAM = 4
 # Long fragments start at these characters only, on both sides: about one position in ten.
 LEAD = "[bdmpwBDMPW0-9]"
-# Most rows and characters of the value side that may be broadcast.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_CHARS = 64_000_000
 
 
 def _long_grams(c: Column) -> Column:
@@ -32,71 +29,43 @@ def _short_grams(c: Column) -> Column:
     return F.concat(*[F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in widths])
 
 
-def _pairs(docs: DataFrame, grams: Column, anchors: DataFrame, items: DataFrame, small: bool) -> DataFrame:
+def _pairs(docs: DataFrame, grams: Column, anchors: DataFrame, items: DataFrame) -> DataFrame:
     """(doc, item) pairs where the text holds the value, by way of the item's rarest fragment.
 
     Only fragments of items survive the first join, and each item keeps the one
     seen least often, so a passage copied into many texts proposes pairs only
-    for items that have nothing rarer. When the value side is small, both joins
-    and the test run in the scan of the texts and no text is shuffled.
+    for items that have nothing rarer. Texts join only for the pairs left; how
+    the joins are run is the planner's choice.
     """
-    hint = F.broadcast if small else (lambda d: d)
     exploded = docs.select("doc", F.explode(grams).alias("g")).select("doc", F.xxhash64("g").alias("gram"))
-    wanted = anchors.select("gram").distinct()
-    frequency = exploded.join(hint(wanted), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    frequency = exploded.join(anchors.select("gram").distinct(), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = (
         anchors.join(frequency, "gram")
         .groupBy("item")
         .agg(F.min(F.struct("n", "gram")).alias("m"), F.count(F.lit(1)).alias("found"), F.max("of").alias("of"))
         .filter("found = of")
         .select("item", F.col("m.gram").alias("gram"))
-        .join(items, "item")
     )
-    if small:
-        probe = docs.select("doc", "t", F.explode(grams).alias("g")).withColumn("gram", F.xxhash64("g"))
-        hits = probe.join(F.broadcast(rarest), "gram").filter(F.contains(F.col("t"), F.col("v")))
-        return hits.select("doc", "item")
-    hits = exploded.join(rarest.select("item", "gram"), "gram").select("doc", "item").distinct()
+    hits = exploded.join(rarest, "gram").select("doc", "item").distinct()
     both = hits.join(docs.select("doc", "t"), "doc").join(items, "item")
     return both.filter(F.contains(F.col("t"), F.col("v"))).select("doc", "item")
 
 
-def containment_pairs(
-    docs: DataFrame,
-    doc_id: str,
-    text: str,
-    items: DataFrame,
-    item_id: str,
-    value: str,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """All (doc_id, item_id) where the normalised value occurs in the normalised text.
-
-    The value side is measured first: within the bounds it is broadcast,
-    beyond them the fragments are joined by shuffle. The result is the same.
-    """
+def containment_pairs(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, value: str) -> DataFrame:
+    """All (doc_id, item_id) where the normalised value occurs in the normalised text."""
     # never null, so that no null test on the costly normal form is pushed into the scan
     d = docs.select(F.col(doc_id).alias("doc"), F.coalesce(text_norm(F.col(text)), F.lit("")).alias("t"))
     i = items.select(F.col(item_id).alias("item"), text_norm(F.col(value)).alias("v")).filter("v != ''")
 
     anchored = i.select("item", "v", F.array_distinct(_long_grams(F.col("v"))).alias("grams"))
-    size = anchored.agg(
-        F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("grams"),
-        F.count_if(F.size("grams") == 0).alias("rest"),
-        F.coalesce(F.sum(F.length("v")), F.lit(0)).alias("chars"),
-    ).first()
-    small = size["grams"] + size["rest"] <= broadcast_rows and size["chars"] <= BROADCAST_CHARS
-
     long_anchors = anchored.select("item", F.size("grams").alias("of"), F.explode("grams").alias("g")).select(
         "item", "of", F.xxhash64("g").alias("gram")
     )
-    found = _pairs(d, _long_grams(F.col("t")), long_anchors, i, small)
-    if size["rest"]:
-        # values without a long fragment: their first characters, looked up at every position
-        rest = anchored.filter(F.size("grams") == 0).select("item", "v")
-        head = F.xxhash64(F.substring("v", 1, SHORT_GRAM)).alias("gram")
-        short_anchors = rest.select("item", F.lit(1).alias("of"), head)
-        found = found.unionByName(_pairs(d, _short_grams(F.col("t")), short_anchors, rest, small))
+    found = _pairs(d, _long_grams(F.col("t")), long_anchors, i)
+    # values without a long fragment: their first characters, looked up at every position
+    rest = anchored.filter(F.size("grams") == 0).select("item", "v")
+    head = F.xxhash64(F.substring("v", 1, SHORT_GRAM)).alias("gram")
+    found = found.unionByName(_pairs(d, _short_grams(F.col("t")), rest.select("item", F.lit(1).alias("of"), head), rest))
     return found.distinct().select(F.col("doc").alias(doc_id), F.col("item").alias(item_id))
 
 
@@ -110,8 +79,10 @@ def verify_citations(
     boundary: bool = False,
 ) -> DataFrame:
     """Check every printed value against the text it cites, with a reason for each failure."""
-    texts = articles.select(doc_id, F.col(text).alias("_text"))
-    joined = citations.join(texts, doc_id, "left").withColumn("_norm", text_norm(F.col("_text")))
+    # only cited texts travel, and each is normalised once
+    cited = articles.join(citations.select(doc_id).distinct(), doc_id, "left_semi")
+    texts = cited.select(doc_id, F.col(text).alias("_text"), text_norm(F.col(text)).alias("_norm"))
+    joined = citations.join(texts, doc_id, "left")
     found = literal_in_text(F.col(printed), F.col("_text"), boundary, F.col("_norm"))
     reason = (
         F.when(F.col("_text").isNull(), F.lit("article not fetched"))

@@ -9,9 +9,12 @@ from ..sources import landed
 from .q_joins import WS_SQL, norm_sql
 from .registry import query
 
-CHROME_SQL = (
-    r"(?is)<(script|style|nav|footer|header|aside)\b.*?</(script|style|nav|footer|header|aside)>|<!--.*?-->"
-)
+def chrome_sql(c: str) -> str:
+    """Comments, then each element by its own name, removed in turn."""
+    c = f"regexp_replace({c}, '(?s)<!--.*?-->', '', 'g')"
+    for name in ("script", "style", "nav", "footer", "header", "aside"):
+        c = f"regexp_replace({c}, '(?is)<{name}\\b.*?</{name}\\s*>', '', 'g')"
+    return c
 
 
 def collapse_sql(c: str) -> str:
@@ -185,7 +188,7 @@ PARAGRAPH_SQL = unescape_sql(collapse_sql("regexp_replace(piece, '(?s)<[^>]*>',
 @query(
     "page_paragraphs",
     f"""WITH pieces AS (
-  SELECT page_id, unnest(regexp_split_to_array(regexp_replace(html, '{CHROME_SQL}', '', 'g'), '(?i)<p(?:\\s[^>]*)?>')[2:]) AS piece FROM pages),
+  SELECT page_id, unnest(regexp_split_to_array({chrome_sql('html')}, '(?i)<p(?:\\s[^>]*)?>')[2:]) AS piece FROM pages),
 p AS (SELECT page_id, {PARAGRAPH_SQL} AS paragraph FROM pieces)
 SELECT page_id, paragraph, count(*) AS n FROM p WHERE paragraph <> '' GROUP BY 1, 2""",
 )

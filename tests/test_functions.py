@@ -129,3 +129,14 @@ def test_fact_specs(spark):
     df = spark.createDataFrame([("貶值幅度為2.5%，利益為負1,200億元",), ("升值幅度為9.1%",), ("無",)], "x string")
     got = [tuple(r) for r in facts.extract_facts(df, F.col("x"), specs).select("move", "income").collect()]
     assert got == [(D("-2.5"), D(-120000)), (None, None), (None, None)]
+
+
+def test_references_are_decoded_once(spark):
+    s = "a&nbsp;b &#8211; &#x37;0&#37; &mdash; &hellip; &amp;lt; &lt; &#128512; &unknown; &#0; &#xD800; & alone"
+    assert one(spark, s, tx.unescape) == "a b – 70% — … &lt; < 😀 &unknown; &#0; &#xD800; & alone"
+    assert one(spark, "no reference", tx.unescape) == "no reference"
+
+
+def test_chrome_closes_with_its_own_name(spark):
+    html = "<header><nav><p>menu</p></nav><p>Masthead</p></header><p>one</p><aside><p>x</p></aside ><footer><script>'</footer>'</script><p>end</p></footer><p>two"
+    assert one(spark, html, tx.page_paragraphs) == ["one", "two"]
