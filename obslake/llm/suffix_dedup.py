@@ -13,8 +13,8 @@ id, or further left in the same one. Strings are judged on the input and never c
    a depth, together with the hash of what stands left of the anchor, are the equal windows; their bytes are compared,
    and where hashes have collided they are parted by the bytes.
 
-Ids order documents, null last; rows with equal ids are ordered by their text's hash, and equal rows count as copies of
-one that comes first. Null and empty texts, and texts shorter than the length, keep all bytes. An empty table gives an
+Ids order documents, null last; rows with equal ids are ordered by their text's hashes. Rows equal in id and in two
+hashes of the text, 96 bits together, count as copies of one that comes first. Null and empty texts, and texts shorter than the length, keep all bytes. An empty table gives an
 empty result. A task holds the anchors of its own input or the snippets of one anchor at a time.
 """
 
@@ -32,7 +32,9 @@ from .common import INVERSE, powers, prefix_hash, range_hash, scramble, slices,
 GRAM = 40
 _AT = np.uint64((1 << 28) - 1)
 NO_ID = (1 << 63) - 1
-RUN = "anchor long, snippet long, did long, hh int, start int, many int, lead int, known boolean"
+#: What tells rows apart: the id and two hashes of the text.
+ROW = ("did", "hh", "h2")
+RUN = "anchor long, snippet long, did long, hh int, h2 long, start int, many int, lead int, known boolean"
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -74,11 +76,11 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
         for b in batches:
-            did, hh = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            raw, off = text_buffers(b.column(2))
+            did, hh, h2 = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2))
+            raw, off = text_buffers(b.column(3))
             for x, y in slices(off):
                 anchor, whole, doc, start, many, lead = snippets(raw[off[x] : off[y]], off[x : y + 1] - off[x], length)
-                held.append((anchor, whole, did[x + doc], hh[x + doc], start.astype(np.int32), many.astype(np.int32), lead.astype(np.int32)))
+                held.append((anchor, whole, did[x + doc], hh[x + doc], h2[x + doc], start.astype(np.int32), many.astype(np.int32), lead.astype(np.int32)))
                 n += len(anchor)
             if n > 2_000_000:
                 yield from _told(held)
@@ -87,8 +89,8 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
             yield from _told(held)
 
     def _told(held: list) -> Iterator[pa.RecordBatch]:
-        anchor, whole, did, hh, start, many, lead = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((start, hh, did, whole, anchor))
+        anchor, whole, did, hh, h2, start, many, lead = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((start, h2, hh, did, whole, anchor))
         same = np.zeros(len(order), bool)
         o, p = order[1:], order[:-1]
         same[1:] = (anchor[o] == anchor[p]) & (whole[o] == whole[p])
@@ -96,8 +98,8 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
         key = np.where(same, scramble(did[order].astype(np.uint64) + start[order].astype(np.uint64)), anchor[order])
         # equal rows stand for one
         twin = same.copy()
-        twin[1:] &= (did[o] == did[p]) & (hh[o] == hh[p]) & (start[o] == start[p])
-        cols = [key.view(np.int64), whole[order].view(np.int64), did[order], hh[order], start[order], many[order], lead[order], same]
+        twin[1:] &= (did[o] == did[p]) & (hh[o] == hh[p]) & (h2[o] == h2[p]) & (start[o] == start[p])
+        cols = [key.view(np.int64), whole[order].view(np.int64), did[order], hh[order], h2[order], start[order], many[order], lead[order], same]
         for i in range(0, len(order), 100_000):
             part = slice(i, i + 100_000)
             yield pa.record_batch([pa.array(c[part][~twin[part]]) for c in cols], [f.split()[0] for f in RUN.split(", ")])
@@ -105,7 +107,7 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(runs, RUN)
 
 
-MET = "did long, hh int, start int, many int, lead int, anchor long, whole boolean"
+MET = "did long, hh int, h2 long, start int, many int, lead int, anchor long, whole boolean"
 
 
 def _met(runs: DataFrame) -> DataFrame:
@@ -125,9 +127,9 @@ def _met(runs: DataFrame) -> DataFrame:
                 new_a[0] = c["anchor"][0] != last[0]
                 new_s[0] = new_a[0] or c["snippet"][0] != last[1]
             twin = np.zeros(n, bool)  # the same row once more
-            twin[1:] = ~new_s[1:] & (c["did"][1:] == c["did"][:-1]) & (c["hh"][1:] == c["hh"][:-1]) & (c["start"][1:] == c["start"][:-1])
+            twin[1:] = ~new_s[1:] & np.all([c[x][1:] == c[x][:-1] for x in (*ROW, "start")], axis=0)
             if last is not None and not new_s[0]:
-                twin[0] = (c["did"][0], c["hh"][0], c["start"][0]) == last[2:]
+                twin[0] = tuple(c[x][0] for x in (*ROW, "start")) == last[2:]
             known = c["known"]
             first = np.flatnonzero(new_s & ~known)
             more = np.zeros(n, bool)  # the anchor has another snippet
@@ -142,16 +144,16 @@ def _met(runs: DataFrame) -> DataFrame:
             elif new_a.any():
                 waiting = None
             out = pa.record_batch(
-                [pa.array(c[x][keep | more]) for x in ("did", "hh", "start", "many", "lead", "anchor")] + [pa.array(keep[keep | more])],
+                [pa.array(c[x][keep | more]) for x in (*ROW, "start", "many", "lead", "anchor")] + [pa.array(keep[keep | more])],
                 [f.split()[0] for f in MET.split(", ")],
             )
             yield out
             if len(first) and not more[first[-1]] and not new_a[first[-1] + 1 :].any():
                 i = slice(first[-1], first[-1] + 1)
-                waiting = pa.record_batch([pa.array(c[x][i]) for x in ("did", "hh", "start", "many", "lead", "anchor")] + [pa.array([False])], out.schema.names)
-            last = tuple(c[x][-1] for x in ("anchor", "snippet", "did", "hh", "start"))
+                waiting = pa.record_batch([pa.array(c[x][i]) for x in (*ROW, "start", "many", "lead", "anchor")] + [pa.array([False])], out.schema.names)
+            last = tuple(c[x][-1] for x in ("anchor", "snippet", *ROW, "start"))
 
-    return runs.repartition("anchor").sortWithinPartitions("anchor", "snippet", "did", "hh", "start").mapInArrow(meet, MET)
+    return runs.repartition("anchor").sortWithinPartitions("anchor", "snippet", *ROW, "start").mapInArrow(meet, MET)
 
 
 class SuffixOrder:
@@ -252,8 +254,8 @@ def repeated_windows(data: np.ndarray, at: np.ndarray, size: np.ndarray, many: n
         yield i[sort[late[ok]]], t[sort[late[ok]]]
 
 
-SNIPPET = "anchor long, did long, hh int, start int, many int, lead int, body binary"
-HIT = "did long, hh int, start int, many int"
+SNIPPET = "anchor long, did long, hh int, h2 long, start int, many int, lead int, body binary"
+HIT = "did long, hh int, h2 long, start int, many int"
 
 
 def _bodies(texts: DataFrame, length: int) -> DataFrame:
@@ -270,8 +272,8 @@ def _bodies(texts: DataFrame, length: int) -> DataFrame:
             for k in range(0, len(row), 50_000):
                 w = slice(k, k + 50_000)
                 data = [raw[x : x + m + length - 1].tobytes() for x, m in zip(a[w].tolist(), c["many"][w].tolist())]
-                did, hh = (b.column(x).take(pa.array(row[w])) for x in ("did", "hh"))
-                yield pa.record_batch([pa.array(c["anchor"][w]), did, hh, *(pa.array(c[x][w]) for x in ("start", "many", "lead")), pa.array(data, pa.binary())], [f.split()[0] for f in SNIPPET.split(", ")])
+                whose = (b.column(x).take(pa.array(row[w])) for x in ROW)
+                yield pa.record_batch([pa.array(c["anchor"][w]), *whose, *(pa.array(c[x][w]) for x in ("start", "many", "lead")), pa.array(data, pa.binary())], [f.split()[0] for f in SNIPPET.split(", ")])
 
     return texts.mapInArrow(read, SNIPPET)
 
@@ -281,18 +283,18 @@ def _closer(bodies: DataFrame, length: int, chunk: int = 30_000) -> DataFrame:
 
     def solve(tables: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(tables)
-        c = {n: t.column(n).to_numpy() for n in ("anchor", "did", "hh", "start", "many", "lead")}
+        c = {n: t.column(n).to_numpy() for n in ("anchor", *ROW, "start", "many", "lead")}
         # equal rows sent the same snippet: one is enough
-        order = np.lexsort((c["start"], c["hh"], c["did"], c["anchor"]))
+        order = np.lexsort((c["start"], c["h2"], c["hh"], c["did"], c["anchor"]))
         once = np.ones(len(order), bool)
-        once[1:] = np.any([c[n][order][1:] != c[n][order][:-1] for n in ("anchor", "did", "hh", "start")], axis=0)
+        once[1:] = np.any([c[n][order][1:] != c[n][order][:-1] for n in ("anchor", *ROW, "start")], axis=0)
         pick = order[once]
         c = {n: x[pick].astype(np.int64) for n, x in c.items()}
         data = np.frombuffer(b"".join(t.column("body").combine_chunks().take(pa.array(pick)).to_pylist()), np.uint8)
         size = c["many"] + length - 1
         at = np.cumsum(size) - size
         _, group = np.unique(c["anchor"], return_inverse=True)
-        _, rank = np.unique(np.stack([c["did"], c["hh"]], 1), axis=0, return_inverse=True)
+        _, rank = np.unique(np.stack([c[n] for n in ROW], 1), axis=0, return_inverse=True)
         found = list(repeated_windows(data, at, size, c["many"], c["lead"], group, rank.ravel(), c["start"], length))
         if not found:
             return
@@ -302,7 +304,7 @@ def _closer(bodies: DataFrame, length: int, chunk: int = 30_000) -> DataFrame:
         opens = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (w[1:] != w[:-1] + 1)]))
         many = np.diff(np.append(opens, len(i)))  # windows side by side are one run
         i, w = i[opens], w[opens]
-        cols = [pa.array(c["did"][i]), *(pa.array(x.astype(np.int32)) for x in (c["hh"][i], c["start"][i] + w, many))]
+        cols = [pa.array(c["did"][i]), pa.array(c["hh"][i].astype(np.int32)), pa.array(c["h2"][i]), *(pa.array(x.astype(np.int32)) for x in (c["start"][i] + w, many))]
         yield pa.record_batch(cols, [f.split()[0] for f in HIT.split(", ")])
 
     def closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,16 +336,16 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", leng
         raise ValueError("strings of at most 1000 bytes")
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("did"),
-        F.hash(whole_text(text)).alias("hh"), whole_text(text).alias("text"),
+        F.hash(whole_text(text)).alias("hh"), F.xxhash64(whole_text(text)).alias("h2"), whole_text(text).alias("text"),
     )
-    met = written(_met(_runs(rows.select("did", "hh", "text").where(F.octet_length("text") >= length), length)), "snippets")
-    firsts = met.where("NOT whole").groupBy("did", "hh").agg(F.collect_list(F.struct("anchor", "start", "many", "lead")).alias("firsts"))
-    hits = _closer(_bodies(rows.select("did", "hh", "text").join(firsts, ["did", "hh"]), length), length)
-    both = met.where("whole").select("did", "hh", "start", "many").unionByName(hits)
-    cuts = both.groupBy("did", "hh").agg(F.collect_list(F.struct("start", "many")).alias("hits"))
+    met = written(_met(_runs(rows.select(*ROW, "text").where(F.octet_length("text") >= length), length)), "snippets")
+    firsts = met.where("NOT whole").groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "start", "many", "lead")).alias("firsts"))
+    hits = _closer(_bodies(rows.select(*ROW, "text").join(firsts, [*ROW]), length), length)
+    both = met.where("whole").select(*ROW, "start", "many").unionByName(hits)
+    cuts = both.groupBy(*ROW).agg(F.collect_list(F.struct("start", "many")).alias("hits"))
     # of equal rows the first is judged, the others are copies of it
-    turn = F.row_number().over(Window.partitionBy("did", "hh").orderBy("did"))
-    out = rows.join(cuts, ["did", "hh"], "left").withColumn("turn", turn)
+    turn = F.row_number().over(Window.partitionBy(*ROW).orderBy("did"))
+    out = rows.join(cuts, [*ROW], "left").withColumn("turn", turn)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -6,6 +6,7 @@ import random
 import numpy as np
 from obslake.llm import suffix_dedup
 from obslake.llm.registered import op10_suffix_sort_dedup
+from pyspark.sql import functions as F
 
 
 def brute(rows, length):
@@ -62,6 +63,15 @@ def test_odd_rows(odd_docs, no_docs):
     assert suffix_dedup.removed(no_docs).count() == 0
 
 
+def test_null_ids_whose_hashes_agree(spark):
+    """Texts of one id that agree in 32 bits of hash are different rows all the same."""
+    many = spark.range(300_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "repeat(sha2(CAST(id AS STRING), 256), 1 + CAST(id % 4 AS INT)) AS text")
+    agree = many.groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).where(F.size("t") > 1)
+    rows = [(None, t) for r in agree.collect() for t in r["t"]]
+    assert len(rows) > 4
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+
+
 def test_mergesort_orders_suffixes():
     rng = random.Random(1)
     data = np.frombuffer("".join(rng.choices("ab", k=4000)).encode(), np.uint8)
