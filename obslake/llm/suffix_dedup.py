@@ -12,25 +12,31 @@ id, or further left in the same one. Strings are judged on the input and never c
    found by binary search over prefix polynomial hashes: a logarithmic number of steps. Runs of the order that agree to
    a depth, together with the hash of what stands left of the anchor, are the equal windows; their bytes are compared,
    and where hashes have collided they are parted by the bytes.
+4. An anchor with very many snippets, as at the edges of a passage that many documents share, is split: each of its
+   windows travels by a 128-bit digest of its bytes (BLAKE2), of equal windows the first and no others from each part
+   of a task, and the first of all parts stays.
 
 Ids order documents, null last; rows with equal ids are ordered by their text's hashes. Rows equal in id and in two
 hashes of the text, 96 bits together, count as copies of one that comes first. Null and empty texts, and texts shorter than the length, keep all bytes. An empty table gives an
-empty result. A task holds the anchors of its own input or the snippets of one anchor at a time.
+empty result. A task holds the anchors of its own input, or a bounded number of snippets at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import INVERSE, powers, prefix_hash, range_hash, scramble, slices, text_buffers, whole_text, written
+from .common import INVERSE, kept, powers, prefix_hash, range_hash, scramble, slices, text_buffers, whole_text, written
 
 GRAM = 40
 _AT = np.uint64((1 << 28) - 1)
+#: An anchor with more differing snippets is split by its windows.
+HOT = 30_000
 NO_ID = (1 << 63) - 1
 #: What tells rows apart: the id and two hashes of the text.
 ROW = ("did", "hh", "h2")
@@ -330,7 +336,63 @@ def _closer(bodies: DataFrame, length: int, chunk: int = 30_000) -> DataFrame:
     return bodies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(closer, HIT)
 
 
-def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
+def _compared(texts: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of the other anchors."""
+    return _closer(_bodies(texts, length), length)
+
+
+SPLIT = "high long, low long, did long, hh int, h2 long, start int, known boolean"
+
+
+def _split(texts: DataFrame, length: int, most: int = 1_000_000) -> DataFrame:
+    """Repeated windows of the anchors that have very many snippets; windows meet by their digests, not by anchor."""
+    names = [f.split()[0] for f in SPLIT.split(", ")]
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        n = 0
+        for b in batches:
+            raw, off = text_buffers(b.column("text"))
+            lists = b.column("firsts")
+            flat, many = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            size = flat.field("many").to_numpy(zero_copy_only=False).astype(np.int64)
+            whose, row = (b.column(x).to_numpy(zero_copy_only=False) for x in ROW), np.repeat(np.arange(len(many)), many)
+            whose, begin = tuple(whose), flat.field("start").to_numpy(zero_copy_only=False).astype(np.int64)
+            x = 0
+            while x < len(size):  # a part of the batch's snippets, however many they are
+                y = max(x + 1, x + int(np.searchsorted(np.cumsum(size[x : x + most]), most - n, "right")))
+                part = np.repeat(np.arange(x, y), size[x:y])
+                start = begin[part] + np.arange(len(part)) - np.repeat(np.cumsum(size[x:y]) - size[x:y], size[x:y])
+                at = off[row[part]] + start
+                digest = np.frombuffer(b"".join([blake2b(raw[a : a + length], digest_size=16).digest() for a in at.tolist()]), np.int64).reshape(-1, 2)
+                held.append((digest[:, 0], digest[:, 1], *(c[row[part]] for c in whose), start.astype(np.int32)))
+                n, x = n + len(part), y
+                if n >= most:
+                    yield from _first(held)
+                    held, n = [], 0
+        if held:
+            yield from _first(held)
+
+    def _first(held: list) -> Iterator[pa.RecordBatch]:
+        cols = [np.concatenate(x) for x in zip(*held)]
+        order = np.lexsort(cols[::-1])
+        cols = [c[order] for c in cols]
+        equal = [np.concatenate([[False], c[1:] == c[:-1]]) for c in cols]
+        known = equal[0] & equal[1]
+        once = ~np.all(equal, axis=0)  # equal rows stand for one
+        # a repeat is known; it travels under a key of its own
+        own = scramble(scramble(cols[2].view(np.uint64) ^ cols[4].view(np.uint64)) + cols[5].astype(np.uint64)).view(np.int64)
+        cols[0], cols[1] = np.where(known, own, cols[0]), np.where(known, ~own, cols[1])
+        for i in range(0, len(order), 100_000):
+            part = slice(i, i + 100_000)
+            yield pa.record_batch([pa.array(c[part][once[part]]) for c in (*cols, known)], names)
+
+    met = texts.mapInArrow(windows, SPLIT)
+    place = F.rank().over(Window.partitionBy("high", "low").orderBy(*ROW, "start"))
+    return met.withColumn("place", place).where("known OR place > 1").select(*ROW, "start", F.lit(1).alias("many"))
+
+
+def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = 100, hot: int = HOT) -> DataFrame:
     """One row a document: doc_id, n_bytes, `cut` (array of start, end of the removed runs, in bytes), kept bytes."""
     if length > 1000:
         raise ValueError("strings of at most 1000 bytes")
@@ -339,9 +401,14 @@ def removed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", leng
         F.hash(whole_text(text)).alias("hh"), F.xxhash64(whole_text(text)).alias("h2"), whole_text(text).alias("text"),
     )
     met = written(_met(_runs(rows.select(*ROW, "text").where(F.octet_length("text") >= length), length)), "snippets")
-    firsts = met.where("NOT whole").groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "start", "many", "lead")).alias("firsts"))
-    hits = _closer(_bodies(rows.select(*ROW, "text").join(firsts, [*ROW]), length), length)
-    both = met.where("whole").select(*ROW, "start", "many").unionByName(hits)
+    single = met.where("NOT whole")
+    crowded = kept(single.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"))  # at most a row per `hot` snippets
+    both = met.where("whole").select(*ROW, "start", "many")
+    parts = [("left_anti", _compared)] if crowded.isEmpty() else [("left_anti", _compared), ("left_semi", _split)]
+    for how, solve in parts:
+        mine = single.join(F.broadcast(crowded), "anchor", how)
+        firsts = mine.groupBy(*ROW).agg(F.collect_list(F.struct("anchor", "start", "many", "lead")).alias("firsts"))
+        both = both.unionByName(solve(rows.select(*ROW, "text").join(firsts, [*ROW]), length))
     cuts = both.groupBy(*ROW).agg(F.collect_list(F.struct("start", "many")).alias("hits"))
     # of equal rows the first is judged, the others are copies of it
     turn = F.row_number().over(Window.partitionBy(*ROW).orderBy("did"))

@@ -72,6 +72,37 @@ def test_null_ids_whose_hashes_agree(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
 
 
+def crowd(n, seed=3):
+    """Rows around one passage, each with bytes of its own on both sides; some share a part of them."""
+    rng = random.Random(seed)
+    passage = "".join(rng.choices("abcdefgh ", k=300))
+    near = ["".join(rng.choices("pqrst ", k=40)) for _ in range(9)]
+    own = lambda: "".join(rng.choices("uvwxyz ", k=80))
+    rows = [(rng.choice([None, 7, i]), own() + rng.choice(["", rng.choice(near)]) + passage + rng.choice(["", rng.choice(near)]) + own()) for i in range(n)]
+    return rows + rows[:3]
+
+
+def test_crowded_anchors_are_split(spark, monkeypatch):
+    """No task is handed all snippets of an anchor, and the result is that of the whole."""
+    closer, met = suffix_dedup._closer, []
+
+    def watched(bodies, length):
+        met.append(bodies.groupBy("anchor").count().agg(F.max("count")).first()[0] or 0)
+        return closer(bodies, length)
+
+    monkeypatch.setattr(suffix_dedup, "_closer", watched)
+    df = spark.createDataFrame(crowd(150), "doc_id long, text string").repartition(4)
+    df = df.dropDuplicates().unionByName(df.limit(5))
+    same = lambda hot: sorted((repr(r) for r in suffix_dedup.removed(df, hot=hot).collect()))
+    whole = same(10**6)
+    assert met.pop() > 50
+    assert same(5) == same(0) == whole
+    assert max(met) <= 5
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(crowd(120, 4))], "doc_id long, text string").repartition(4)
+    check(df)
+    assert same(5) == same(10**6)
+
+
 def test_mergesort_orders_suffixes():
     rng = random.Random(1)
     data = np.frombuffer("".join(rng.choices("ab", k=4000)).encode(), np.uint8)
