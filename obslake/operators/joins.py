@@ -42,18 +42,29 @@ def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key:
 
 
 def compare_channels(
-    a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float
+    a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float, arrival: str | None = None
 ) -> DataFrame:
     """Full outer comparison of one measure in two channels, one row per key in each.
 
+    With an `arrival` column a key may hold several rows in a channel: the first
+    value to arrive is compared, and `n_set_aside` counts the key's other values.
+
     Stacked and grouped instead of joined: keys match null-safe and each side
     is shuffled once.
     """
     none = F.lit(None)
-    both_sides = a.select(*keys, F.col(value).alias("a"), none.alias("b")).unionByName(
-        b.select(*keys, none.alias("a"), F.col(value).alias("b"))
+    at = [] if arrival is None else [F.col(arrival).alias("_at")]
+    both_sides = a.select(*keys, F.col(value).alias("a"), none.alias("b"), *at).unionByName(
+        b.select(*keys, none.alias("a"), F.col(value).alias("b"), *at)
     )
-    g = both_sides.groupBy(*keys).agg(F.max("a").alias("value_a"), F.max("b").alias("value_b"))
+    if arrival is None:
+        picked = [F.max("a").alias("value_a"), F.max("b").alias("value_b")]
+    else:
+        # null arrivals come last, of equal ones the smaller value first
+        first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(F.col("_at").isNull(), "_at", F.col(c).alias("v"))))["v"]
+        extra = F.greatest(F.count("a") - 1, F.lit(0)) + F.greatest(F.count("b") - 1, F.lit(0))
+        picked = [first("a").alias("value_a"), first("b").alias("value_b"), extra.alias("n_set_aside")]
+    g = both_sides.groupBy(*keys).agg(*picked)
     rel = rel_error(F.col("value_a").cast("double"), F.col("value_b").cast("double"))
     return g.withColumn("difference", F.col("value_a") - F.col("value_b")).withColumn("agrees", rel <= tolerance)
 

@@ -29,15 +29,26 @@ def asof_vintage(
     return latest_vintage(df.filter(F.col(vintage) <= known_on), keys, vintage, tie_break)
 
 
+def set_aside(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that hold more than one row, and how many rows a reader of one row per key sets aside."""
+    counted = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n_set_aside"))
+    return counted.filter("n_set_aside > 0")
+
+
 def revisions(
-    df: DataFrame, keys: Sequence[str], vintage: str, value: str, tie_break: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], vintage: str, value: str, tie_break: Sequence[str] = (), arrival: str | None = None
 ) -> DataFrame:
     """Change between successive vintages of one key.
 
     (key, vintage) is unique in a vintaged store; reducing to it first bounds a
     key's history by the number of publication dates, whatever the row count.
+    Of several rows the first to arrive stays; without an `arrival` column the
+    largest value does. `set_aside` over (key, vintage) counts the others.
     """
-    one = first_per_key(df, [*keys, vintage], [F.col(c).desc_nulls_last() for c in (value, *tie_break)])
+    order = [F.col(c).desc_nulls_last() for c in (value, *tie_break)]
+    if arrival is not None:
+        order = [F.col(arrival).asc_nulls_last(), *order]
+    one = first_per_key(df, [*keys, vintage], order)
     w = W.partitionBy(*keys).orderBy(vintage)
     prev = F.lag(value).over(w)
     return one.select(
@@ -82,7 +93,8 @@ def basis_segments(
     """Number the runs of equal basis along a series and flag each break.
 
     The series has one observation per (key, period); reducing to it first
-    bounds a key's history by the number of periods.
+    bounds a key's history by the number of periods. `tie_break` orders rows by
+    arrival; `set_aside` over (key, period) counts those that do not stay.
     """
     one = first_per_key(df, [*keys, period], [F.col(c).asc_nulls_last() for c in (*tie_break, basis)])
     w = W.partitionBy(*keys).orderBy(period)

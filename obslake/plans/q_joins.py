@@ -187,6 +187,17 @@ def cross_market(t):
     return wide.select("obs_month", *[F.col(x).cast("double").alias(x.lower().replace(" ", "_")) for x in MARKETS])
 
 
+@query(
+    "cross_market_rows",
+    f"""WITH {monthly_sql('region')}
+SELECT obs_month, entity AS market, CAST(sum(value) AS DOUBLE) AS value FROM monthly GROUP BY 1, 2""",
+)
+def cross_market_rows(t):
+    """A row per month and region, whatever the regions are called."""
+    by_market = monthly_by(t, "region").groupBy("obs_month", F.col("entity").alias("market")).agg(F.sum("value").alias("value"))
+    return by_market.withColumn("value", F.col("value").cast("double"))
+
+
 @query(
     "common_schema",
     f"""WITH {monthly_sql('region')}

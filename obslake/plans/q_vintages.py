@@ -49,6 +49,15 @@ def revisions(t):
     return r.withColumn("revision", F.round("revision", 2))
 
 
+@query(
+    "revisions_set_aside",
+    f"""WITH {VINTAGES_SQL}
+SELECT l_orderkey, vintage, count(*) - 1 AS n_set_aside FROM vintages GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def revisions_set_aside(t):
+    return vt.set_aside(vintages(t), ["l_orderkey", "vintage"])
+
+
 @query(
     "channel_pick",
     f"""WITH {CHANNELS_SQL}
@@ -194,6 +203,16 @@ def basis_segments(t):
     return vt.basis_segments(series, ["o_custkey"], "obs_date", "basis", ["o_orderkey"])
 
 
+@query(
+    "basis_segments_set_aside",
+    """SELECT o_custkey, CAST(o_orderdate AS DATE) AS obs_date, count(*) - 1 AS n_set_aside FROM orders
+GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def basis_segments_set_aside(t):
+    series = t.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("obs_date"))
+    return vt.set_aside(series, ["o_custkey", "obs_date"])
+
+
 @query(
     "rank_entities",
     f"""WITH {monthly_sql('nation')}

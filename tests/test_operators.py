@@ -75,6 +75,26 @@ def test_basis_segments(spark):
     assert [x[2] for x in got] == [0, 0, 1, 0, 1, 1]
 
 
+def test_rows_set_aside_are_counted(spark):
+    again = store(spark).withColumn("arrived", F.lit(1)).unionByName(
+        store(spark).filter("v = 627700").withColumn("v", F.col("v") + 100).withColumn("arrived", F.lit(2))
+    )
+    r = vt.revisions(again, ["m", "channel"], "vintage", "v", arrival="arrived").filter("revision_no = 2").collect()
+    assert [(x["v"], x["revision"]) for x in r] == [(627700.0, 1800.0)]
+    left = vt.set_aside(again, ["m", "channel", "vintage"])
+    assert rows(left, *left.columns) == [(d("2026-02-01"), "release", d("2026-04-28"), 1)]
+
+
+def test_channels_compare_first_arrivals(spark):
+    kinds = "k string, v double, arrived int"
+    a = spark.createDataFrame([("x", 1.0, 1), ("x", 9.0, 2), ("x", 4.0, None), ("y", None, 1), ("y", 5.0, 2)], kinds)
+    b = spark.createDataFrame([("x", 1.0, 3), (None, 2.0, 1)], kinds)
+    got = joins.compare_channels(a, b, ["k"], "v", 0.01, arrival="arrived")
+    assert rows(got, "k", "value_a", "value_b", "n_set_aside", "agrees") == [
+        ("x", 1.0, 1.0, 2, True), ("y", 5.0, None, 0, None), (None, None, 2.0, 0, None)
+    ]
+
+
 # ------------------------------------------------------------- appends
 
 

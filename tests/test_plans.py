@@ -325,3 +325,22 @@ def test_published_table_is_partitioned(spark, tmp_path):
     sinks.write_published(df, str(tmp_path / "pub"))
     back = spark.read.parquet(str(tmp_path / "pub")).filter("series_id = 1")
     assert back.count() == 2 and "series_id=1" in "".join(x.name for x in (tmp_path / "pub").iterdir())
+
+
+def test_cross_market_rows_hold_every_region(spark, tmp_path):
+    """A region with a new name, or none, keeps its rows."""
+    import shutil
+
+    for name in ("region", "nation", "customer", "orders", "lineitem", "supplier"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path)
+    region = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    renamed = F.when(F.col("r_name") == "ASIA", "OCEANIA").when(F.col("r_name") != "EUROPE", F.col("r_name"))
+    region.withColumn("r_name", renamed).write.mode("overwrite").parquet(str(tmp_path / "region2"))
+    (tmp_path / "region.parquet").unlink()
+    (tmp_path / "region2").rename(tmp_path / "region.parquet")
+    import __spark_entry__
+
+    query = __spark_entry__.queries()["cross_market_rows"]
+    total = lambda sf: query(spark, str(sf)).agg(F.round(F.sum("value"), 2)).first()[0]
+    assert {"OCEANIA", None} <= {r["market"] for r in query(spark, str(tmp_path)).select("market").distinct().collect()}
+    assert total(tmp_path) == total("/root/testdata/sf0.001")
