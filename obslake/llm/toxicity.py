@@ -1,8 +1,8 @@
 """Toxicity from subword bags: n-gram embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the bag of its character n-grams, hashed into a fixed table of embeddings, and of itself; a stretch of words
-is the mean of its words' embeddings; a linear softmax tells the two classes apart. A text is cut into stretches of a
-few words, and both in training and in scoring its most toxic stretch speaks for it, so that a long text is not judged
+is the mean of its words' embeddings; a linear softmax tells the two classes apart. A text has a stretch of a few words
+from each of its words on, and both in training and in scoring its most toxic stretch speaks for it, so that a long text is not judged
 by its mean. Embeddings and the softmax are trained together by stochastic gradient descent. A misspelt or unseen word
 shares n-grams with those that were seen.
 
@@ -52,11 +52,21 @@ def subwords(raw: np.ndarray, offsets: np.ndarray, table: int) -> tuple[np.ndarr
 
 
 def stretch_starts(n_words: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word of every stretch of `length` words, none across texts, and the number of stretches of each text."""
-    many = -(-n_words // length)
-    first = np.cumsum(n_words) - n_words
-    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    return np.repeat(first, many) + within * length, many
+    """First word of every stretch, none across texts, and the number of stretches of each text.
+
+    All `length` neighbours are a stretch; a shorter text is one.
+    """
+    many = np.minimum(n_words, np.maximum(n_words - length + 1, 1))
+    return np.repeat(np.cumsum(n_words) - n_words, many) + _within(many), many
+
+
+def stretch_means(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mean of the words' values in every stretch."""
+    out = words[starts].astype(float)
+    for j in range(1, int(sizes.max(initial=1))):
+        has = np.flatnonzero(sizes > j)
+        out[has] += words[starts[has] + j]
+    return out / sizes
 
 
 class SubwordBags:
@@ -135,7 +145,7 @@ class SubwordBags:
                 continue
             words = np.bincount(whose, value[cells], n_all) / np.bincount(whose, minlength=n_all)
             starts, many = stretch_starts(n_words, self.length)
-            logit = np.add.reduceat(words, starts) / np.diff(np.append(starts, n_all))
+            logit = stretch_means(words, starts, np.repeat(np.minimum(n_words, self.length), many))
             has = np.flatnonzero(many)
             top = np.maximum.reduceat(logit, (np.cumsum(many) - many)[has])
             out[a + has] = 1 / (1 + np.exp(-np.clip(self.slope * top + self.shift, -30, 30)))
@@ -154,14 +164,14 @@ class _Block:
         self.per_word = np.bincount(whose, minlength=self.n_words)
         self.begin = np.cumsum(self.per_word) - self.per_word
         self.starts, self.many = stretch_starts(counts, model.length)
-        self.sizes = np.diff(np.append(self.starts, self.n_words))
+        self.sizes = np.repeat(np.minimum(counts, model.length), self.many)
         self.doc_of = np.repeat(np.arange(len(self.many)), self.many)
         self.with_words = np.flatnonzero(self.many)
 
     def logits(self, model: SubwordBags) -> np.ndarray:
         """Of each stretch, up to the bias."""
         value = (model.embed @ (model.out[1] - model.out[0]))[self.cells]
-        return np.add.reduceat(np.add.reduceat(value, self.begin) / self.per_word, self.starts) / self.sizes
+        return stretch_means(np.add.reduceat(value, self.begin) / self.per_word, self.starts, self.sizes)
 
     def first_by(self, rank: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """The first stretch of each text by rank, ties at random."""

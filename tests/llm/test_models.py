@@ -42,6 +42,18 @@ def test_misspelt_words_share_subwords():
     assert a < 0.5 < b and empty == none == pytest.approx(0.25)
 
 
+def test_word_in_front_takes_no_stretch_away(labels, docs):
+    """All neighbours are looked at, at even and at odd places alike."""
+    rows = docs.select("doc_id", "text").join(labels, "doc_id").where("toxic IS NOT NULL").orderBy("doc_id", "text").limit(300).collect()
+    texts = [r["text"] or "" for r in rows]
+    bags = toxicity.SubwordBags().fit(pa.array(texts, pa.string()), np.array([r["toxic"] for r in rows]))
+    some = [" ".join(t.split()[:30]) for t in texts if len(t.split()) > 4]
+    alone, behind = bags.scores(pa.array(some)), bags.scores(pa.array(["the " + t for t in some]))
+    assert (behind >= alone - 1e-9).all()
+    starts, many = toxicity.stretch_starts(np.array([3, 0, 1, 2]), 2)
+    assert starts.tolist() == [0, 1, 3, 4] and many.tolist() == [2, 0, 1, 1]
+
+
 def test_toxicity_odd_rows(odd_docs, no_docs, labels):
     clash = odd_docs.withColumn("told", F.lit(1)).withColumn("score", F.lit(1)).withColumn("toxic", F.lit(1))
     assert toxicity.score(clash, labels).count() == odd_docs.count()
