@@ -196,7 +196,10 @@ def _within(n: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, *, key: str, text: str, label: str, most: int) -> list:
-    """At most `most` labelled texts of the rows to learn from, in a fixed order; the bound is on rows and characters."""
+    """At most `most` labelled texts of the rows to learn from, in a fixed order.
+
+    The bound is on rows alone: the driver's memory grows with their characters.
+    """
     told = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("told")).agg(F.max(label).cast("int").alias("toxic"))
     chosen = told.where(learn_from).orderBy(F.xxhash64("told"), "told").limit(most)
     rows = docs.select(F.col(key).alias("told"), whole_text(text).alias("text")).join(F.broadcast(chosen), "told")  # `most` rows
