@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, lm_scoring, mixing, packing, pii, quality, suffix_dedup, token_output, topk, toxicity
+from . import jaccard_join, lm_scoring, mixing, packing, pii, quality, suffix_dedup, token_output, topk, toxicity, weighted_sampling
 from .common import documents, fold_of
 
 
@@ -64,6 +64,12 @@ def op10_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weighted_sampling.fingerprints(documents(spark, sf_dir))
+    printed = [weighted_sampling.printed(F.col(c)).alias(n) for c, n in (("sample", "fingerprint"), ("edited_sample", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", "edited_sha256", *printed, "near_edited", "near_next")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)
 }
