@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, lm_scoring, mixing, packing, pii, quality, suffix_dedup, token_output, topk, toxicity, weighted_sampling
+from . import jaccard_join, lm_scoring, mixing, packing, phrases, pii, quality, suffix_dedup, token_output, topk, toxicity, weighted_sampling
 from .common import documents, fold_of
 
 
@@ -70,6 +70,10 @@ def op11_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", "edited_sha256", *printed, "near_edited", "near_next")
 
 
+def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), least=30, share=80, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)
 }
@@ -119,5 +123,30 @@ WITH v AS (
     WHERE q.vec_id % 50 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
+""",
+    "op12_phrase_index": r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+    FROM documents
+), p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d
+), g AS (
+    SELECT lang, unnest(list_transform(range(1, len(w) - size + 2), lambda i: w[i:i + size - 1])) AS ws
+    FROM (SELECT lang, w, unnest(range(1, least(len(w), 4) + 1)) AS size FROM p)
+), f AS (SELECT lang, ws, len(ws) AS size, count(*) AS a FROM g GROUP BY lang, ws
+), t AS (SELECT lang, sum(a) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (SELECT * FROM f WHERE size > 1 AND a >= 30
+), e AS (SELECT lang, ws, a, k, ws[1:k] AS head, ws[k + 1:] AS tail FROM (SELECT *, unnest(range(1, size)) AS k FROM c)
+), h AS (SELECT lang, ws, a FROM f WHERE a >= 30
+), k AS (
+    SELECT e.lang, e.ws, e.a, k, x.a AS l, y.a AS r, CAST((2000000::HUGEINT * e.a) // (x.a::HUGEINT + y.a) AS BIGINT) AS score
+    FROM e JOIN h x ON x.lang = e.lang AND x.ws = e.head JOIN h y ON y.lang = e.lang AND y.ws = e.tail
+), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) AS turn FROM k) WHERE turn = 1
+), z AS (SELECT lang, ws, a, size, z, unnest(range(1, size - z + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS z FROM c)
+), s AS (SELECT lang, ws[i:i + z - 1] AS ws, max(a) AS most FROM z GROUP BY ALL
+), o AS (
+    SELECT b.*, array_to_string(b.ws, ' ') AS phrase FROM b LEFT JOIN s ON b.lang = s.lang AND b.ws = s.ws
+    WHERE s.most IS NULL OR 100::HUGEINT * s.most < 80::HUGEINT * b.a
+), m AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank FROM o)
+SELECT m.lang, rank, phrase, a, l, r, CAST(t.n AS BIGINT) AS n, score FROM m JOIN t ON m.lang = t.lang WHERE rank <= 2000
 """,
 }
