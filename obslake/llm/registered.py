@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, lm_scoring, mixing, packing, phrases, pii, quality, suffix_dedup, token_output, topk, toxicity, weighted_sampling
+from . import jaccard_join, lm_scoring, mixing, packing, phrases, pii, quality, suffix_dedup, token_output, topk, toxicity, turn_repair, weighted_sampling
 from .common import documents, fold_of
 
 
@@ -74,6 +74,10 @@ def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir), least=30, share=80, top=2000)
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)
 }
