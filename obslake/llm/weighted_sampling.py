@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import whole_text, words
+from .common import kept, whole_text, words
 
 #: Bits of a key that hold its value; the others hold the word, so that equal values cannot mix words up.
 VALUE_SCALE = float(1 << 24)
@@ -119,7 +119,8 @@ def in_order(docs: DataFrame, *, doc_id: str, text: str, n_ranges: int) -> DataF
     closing = keyed.join(
         F.broadcast(heads), (F.col("range") == F.col("from")) & F.col("id").eqNullSafe(F.col("head_id")) & (F.col("h") == F.col("head_h"))
     )
-    closing = closing.groupBy("to").agg(*[F.first(c).alias(c) for c in ("id", "text", "h")])
+    # one row a range; stored, so that what reads the ordered rows twice finds one and the same shuffle
+    closing = kept(closing.groupBy("to").agg(*[F.first(c).alias(c) for c in ("id", "text", "h")]))
     both = keyed.select("range", "id", "text", "h", F.lit(0).alias("extra")).unionByName(
         closing.select(F.col("to").alias("range"), "id", "text", "h", F.lit(1).alias("extra"))
     )
