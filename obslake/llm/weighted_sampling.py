@@ -134,7 +134,7 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - quarter), F.substring(next_text, F.lit(1), quarter))
 
 
-def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 32, n_ranges: int | None = None) -> DataFrame:
+def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 64, n_ranges: int | None = None) -> DataFrame:
     """One row a document: id, n_chars, edited_sha256, sample, edited_sample, near_edited, near_next."""
     n_ranges = n_ranges or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = in_order(docs, doc_id=doc_id, text=text, n_ranges=n_ranges)
