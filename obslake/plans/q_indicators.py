@@ -333,7 +333,7 @@ RESERVE_SQL = f"""{monthly_sql('nation')}, m AS (
     (month(obs_month) - 6.5) / 1000 AS cost_diff, row_number() OVER (PARTITION BY entity ORDER BY obs_month) AS i FROM monthly),
 d AS (
   SELECT entity, obs_month, i, exposure, CASE WHEN cls = '50' THEN 0.0005 ELSE 0.001 END::DOUBLE AS rate,
-    coalesce(gain, 0.0) * CASE WHEN cls = '50' THEN 0.5 ELSE 1.0 END
+    gain * CASE WHEN cls = '50' THEN 0.5 ELSE 1.0 END
       + CASE WHEN cls = '50' THEN -exposure * CAST(cost_diff AS DOUBLE) / 12.0 * 0.25 ELSE 0.0 END AS delta FROM m)"""
 
 
@@ -361,9 +361,9 @@ def reserve_inputs(t):
 s AS (
   SELECT entity, CAST(0 AS BIGINT) AS i, CAST(0 AS DOUBLE) AS vol, CAST(0 AS DOUBLE) AS fix, CAST(0 AS DOUBLE) AS unc FROM (SELECT DISTINCT entity FROM d)
   UNION ALL
-  SELECT d.entity, d.i, greatest(vol + delta, 0.0),
-    least(greatest(fix + greatest(exposure, 0.0) * rate - greatest(-(vol + delta), 0.0), 0.0), greatest(exposure, 0.0) * 0.1),
-    greatest(greatest(-(vol + delta), 0.0) - (fix + greatest(exposure, 0.0) * rate), 0.0)
+  SELECT d.entity, d.i, greatest(vol + coalesce(delta, 0.0), 0.0),
+    least(greatest(fix + greatest(exposure, 0.0) * rate - greatest(-(vol + coalesce(delta, 0.0)), 0.0), 0.0), greatest(exposure, 0.0) * 0.1),
+    greatest(greatest(-(vol + coalesce(delta, 0.0)), 0.0) - (fix + greatest(exposure, 0.0) * rate), 0.0)
   FROM s JOIN d ON d.entity = s.entity AND d.i = s.i + 1)
 SELECT d.entity, d.obs_month, round(vol, 2) AS volatility, round(fix, 2) AS fixed, round(unc, 2) AS uncovered
 FROM s JOIN d ON d.entity = s.entity AND d.i = s.i""",
