@@ -35,6 +35,8 @@ from .common import kept, lower_bytes, slices, text_buffers, written
 #: Words that no language is given for.
 NO_LANGUAGE = "und"
 MOST = 4
+#: Shard numbers that a task may give.
+TASK_SHARDS = 1 << 12
 SHARD = "shard long, local int, lang string, word string, n long, codes binary"
 
 # What parts words within a piece, and what parts pieces.
@@ -77,13 +79,18 @@ def shards(docs: DataFrame, *, text: str, lang: str, size: int = 16 << 20) -> Da
         pair, code, n = np.unique(
             words.indices.to_numpy().astype(np.int64) * many + langs.indices.to_numpy(), return_inverse=True, return_counts=True
         )
+        # frequent words first
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        pair, n = pair[order], n[order]
         # a 0 in front of every piece and one at the end
         stream = np.zeros(len(code) + int(first.sum()) + 1, np.int32)
-        stream[np.arange(len(code)) + np.cumsum(first)] = code + 1
+        stream[np.arange(len(code)) + np.cumsum(first)] = rank[code] + 1
         one = pa.record_batch(
             {
                 "shard": pa.array([number], pa.int64()), "local": pa.nulls(1, pa.int32()), "lang": pa.nulls(1, pa.string()),
-                "word": pa.nulls(1, pa.string()), "n": pa.nulls(1, pa.int64()), "codes": pa.array([stream.tobytes()], pa.binary()),
+                "word": pa.nulls(1, pa.string()), "n": pa.array([len(stream)], pa.int64()), "codes": pa.array([packed(stream)], pa.binary()),
             }
         )
         yield one
@@ -99,7 +106,8 @@ def shards(docs: DataFrame, *, text: str, lang: str, size: int = 16 << 20) -> Da
             )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, full = TaskContext.get().partitionId() << 32, [], 0
+        begin = TaskContext.get().partitionId() * TASK_SHARDS
+        number, held, full = begin, [], 0
         for batch in batches:
             raw, offsets = text_buffers(batch.column(0))
             names = batch.column(1).fill_null(NO_LANGUAGE)
@@ -111,12 +119,24 @@ def shards(docs: DataFrame, *, text: str, lang: str, size: int = 16 << 20) -> Da
                 if full >= size and held:
                     yield from shard(number, held)
                     number, held, full = number + 1, [], 0
+                    if number == begin + TASK_SHARDS:
+                        raise ValueError("a task has more shards than numbers: take larger shards")
         if held:
             yield from shard(number, held)
 
     return docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).mapInArrow(cut, SHARD)
 
 
+def packed(stream: np.ndarray) -> bytes:
+    """Numbers of four bytes as four planes of bytes, compressed: frequent words have small numbers, so most are zero."""
+    return pa.compress(np.ascontiguousarray(stream.astype(np.int32).view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
 class Index:
     """FM-index of a stream of numbers, 0 between pieces, for patterns of up to four numbers without 0.
 
@@ -128,13 +148,19 @@ class Index:
         pad = np.concatenate([stream, np.zeros(MOST, stream.dtype)]).astype(np.int64)
         # ranks of pairs, then the order of pairs of pairs
         pairs = pad[: n + 2] * (top + 1) + pad[1 : n + 3]
-        ranks = np.unique(pairs, return_inverse=True)[1]
-        order = np.argsort(ranks[:n] * (int(ranks.max()) + 1) + ranks[2 : n + 2], kind="stable")
+        del pad
+        order = np.argsort(pairs)
+        new = np.ones(n + 2, np.int64)
+        new[1:] = pairs[order[1:]] != pairs[order[:-1]]
+        pairs[order] = np.cumsum(new)
+        del new, order
+        order = np.argsort(pairs[:n] * int(n + 3) + pairs[2:])
+        del pairs
         self.bwt = stream[order - 1]  # before the first stands the last, and both are 0
-        counts = np.bincount(stream, minlength=top + 1)
-        self.first = np.concatenate([[0], np.cumsum(counts)])
-        self.lf = np.empty(n, np.int64)
-        self.lf[np.argsort(self.bwt, kind="stable")] = np.arange(n)
+        del order
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(stream, minlength=top + 1))])
+        self.lf = np.empty(n, np.int32)
+        self.lf[np.argsort(self.bwt, kind="stable")] = np.arange(n, dtype=np.int32)
 
     def extend(self, low: np.ndarray, high: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
         """All one-number extensions of some intervals: (which, number, low, high, other).
@@ -149,7 +175,7 @@ class Index:
         which, number = key >> 32, key & 0xFFFFFFFF
         before = np.cumsum(n) - n
         inside = before - (np.cumsum(size) - size)[which]
-        begin = self.lf[at[seen]]
+        begin = self.lf[at[seen]].astype(np.int64)
         real = number > 0
         return tuple(x[real] for x in (which, number, begin, begin + n, other[which] + inside))
 
@@ -157,15 +183,14 @@ class Index:
 class Shard:
     """The two indexes of a shard and its pairs."""
 
-    def __init__(self, codes: bytes, local: np.ndarray, ids: np.ndarray):
-        stream = np.frombuffer(codes, np.int32)
+    def __init__(self, stream: np.ndarray, local: np.ndarray, ids: np.ndarray):
         order = np.argsort(local)
         self.ids = np.concatenate([[-1], ids[order]])
         number = np.zeros(max(int(stream.max(initial=0)), int(local.max(initial=0))) + 1, np.int32)
         number[local[order]] = np.arange(1, len(local) + 1)
         stream = number[stream]
         top = len(local)
-        self.left, self.right = Index(stream, top), Index(stream[::-1].copy(), top)
+        self.stream, self.left = stream, Index(stream, top)
         words = np.arange(1, top + 1)
         low, high = self.left.first[words], self.left.first[words + 1]
         # word by word the intervals are alike in both indexes
@@ -179,7 +204,8 @@ class Shard:
         known = lambda a, b: good[np.minimum(np.searchsorted(good, key := (a << 32) + b), len(good) - 1)] == key
         low, high, other = self.low[nodes], self.high[nodes], self.other[nodes]
         # to the right: intervals of the reversed index, in step with those of the other
-        which, z, rlow, rhigh, begin = self.right.extend(other, other + high - low, low)
+        right = Index(self.stream[::-1].copy(), len(self.ids) - 1)
+        which, z, rlow, rhigh, begin = right.extend(other, other + high - low, low)
         keep = known(y[which], z)
         which, z, begin, n = which[keep], z[keep], begin[keep], (rhigh - rlow)[keep]
         triples = np.stack([x[which], y[which], z])
@@ -218,13 +244,14 @@ def _over_shards(table: DataFrame, marks: DataFrame, solve, schema: str) -> Data
         nodes = t.column("node").drop_null().to_numpy()
         if not len(codes) or not len(words):
             return
-        shard = Shard(codes[0].as_buffer(), words.column("local").to_numpy(), words.column("id").to_numpy())
+        stream = unpacked(codes[0].as_buffer(), t.column("length").drop_null()[0].as_py())
+        shard = Shard(stream, words.column("local").to_numpy(), words.column("id").to_numpy())
         yield from solve(int(number), shard, np.sort(nodes).astype(np.int64))
 
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    streams = table.where("codes IS NOT NULL").select("shard", none("int", "local"), none("long", "id"), none("int", "node"), "codes")
-    rows = streams.unionByName(marks.withColumn("codes", none("binary", "codes")), allowMissingColumns=True)
-    return rows.select("shard", "local", "id", "node", "codes").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    streams = table.where("codes IS NOT NULL").select("shard", none("int", "local"), none("long", "id"), none("int", "node"), F.col("n").alias("length"), "codes")
+    rows = streams.unionByName(marks, allowMissingColumns=True)
+    return rows.select("shard", "local", "id", "node", "length", "codes").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
 def _batches(columns: dict[str, np.ndarray], step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
@@ -236,7 +263,8 @@ def _batches(columns: dict[str, np.ndarray], step: int = 1 << 16) -> Iterator[pa
 def _pairs(number: int, shard: Shard, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
     x, y = shard.ids[shard.pairs]
     n = shard.high - shard.low
-    yield from _batches({"shard": np.full(len(n), number), "node": np.arange(len(n), dtype=np.int32), "w1": x, "w2": y, "n": n})
+    # the number of the shard and of the pair in it as one
+    yield from _batches({"at": (number << 32) + np.arange(len(n)), "w1": x, "w2": y, "n": n})
 
 
 def _longer(number: int, shard: Shard, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -251,15 +279,19 @@ def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", le
     table = written(shards(docs, text=text, lang=lang, size=size), "phrase-shards")
     dictionary = table.where("local IS NOT NULL").select("shard", "local", "lang", "word", "n")
     totals = dictionary.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = dictionary.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    words = kept(words.withColumn("id", F.monotonically_increasing_id()))
-    known = dictionary.select("shard", "local", "lang", "word").join(words.drop("n"), ["lang", "word"]).select("shard", "local", "id")
-    known = kept(known)
-
-    pairs = _over_shards(table, known, _pairs, "shard long, node int, w1 long, w2 long, n long")
+    # a word is known by its first shard and its number there
+    same = Window.partitionBy("lang", "word")
+    first = F.min(F.shiftleft("shard", 32) + F.col("local")).over(same)
+    known = dictionary.select("*", F.sum("n").over(same).alias("a"), first.alias("id")).where(F.col("a") >= least)
+    known = written(known.select("shard", "local", "lang", "word", "a", "id"), "phrase-words")
+    words = known.where(F.col("id") == F.shiftleft("shard", 32) + F.col("local")).select("id", "lang", "word", F.col("a").alias("n"))
+    known = known.select("shard", "local", "id")
+
+    pairs = _over_shards(table, known, _pairs, "at long, w1 long, w2 long, n long")
     # shards have added up already, so a window only brings their sums together and needs no second shuffle to go back
     total = F.sum("n").over(Window.partitionBy("w1", "w2"))
-    pairs = kept(pairs.withColumn("a", total).where(F.col("a") >= least).select("shard", "node", "w1", "w2", "a"))
+    pairs = pairs.withColumn("a", total).where(F.col("a") >= least)
+    pairs = kept(pairs.select(F.shiftright("at", 32).alias("shard"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int").alias("node"), "w1", "w2", "a"))
     marks = known.unionByName(pairs.select("shard", "node"), allowMissingColumns=True)
     longer = _over_shards(table, marks, _longer, "w1 long, w2 long, w3 long, w4 long, n long")
     longer = longer.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("a")).where(F.col("a") >= least)

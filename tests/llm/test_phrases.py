@@ -68,7 +68,7 @@ def test_counts_are_exact_beyond_64_bits(spark):
 @given(st.lists(st.lists(st.integers(1, 4), max_size=12), max_size=6))
 def test_index_enumerates_all_phrases(pieces):
     stream = np.array([0] + [x for p in pieces for x in (*p, 0)], np.int32)
-    shard = phrases.Shard(stream.tobytes(), np.arange(1, 5, dtype=np.int32), np.arange(1, 5))
+    shard = phrases.Shard(phrases.unpacked(phrases.packed(stream), len(stream)), np.arange(1, 5, dtype=np.int32), np.arange(1, 5))
     want = {n: Counter(tuple(p[i : i + n]) for p in pieces for i in range(len(p) - n + 1)) for n in (2, 3, 4)}
     assert dict(zip(map(tuple, shard.pairs.T), shard.high - shard.low, strict=True)) == want[2]
     if want[2]:
