@@ -45,6 +45,36 @@ def printed_core(printed: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, "元$", ""), "-", "")
 
 
+#: Stands for a found value; a private-use character, which texts have no use for.
+_FOUND = "\ue000"
+
+
+def _stands_alone(hay: Column, needle: Column) -> Column:
+    """Does the value occur with no digit or point in front and no digit behind?
+
+    Occurrences are marked by a literal replacement, and constant patterns look at the characters around a mark: nothing
+    in the value is ever read as a pattern. Where values touch, a mark's neighbour is the value's own end or beginning.
+    """
+    clean = lambda c: F.replace(c, F.lit(_FOUND), F.lit("\ue001"))
+    value = clean(needle)
+    marked = F.replace(clean(hay), value, F.lit(_FOUND))
+    digit_first, digit_last = value.rlike("^[0-9]"), value.rlike("[0-9.]$")
+    test = lambda before, behind: marked.rlike(f"(?<![0-9.{before}]){_FOUND}(?![0-9{behind}])")
+    alone = (
+        F.when(digit_first & digit_last, test(_FOUND, _FOUND)).when(digit_first, test("", _FOUND))
+        .when(digit_last, test(_FOUND, "")).otherwise(test("", ""))
+    )
+    n = F.length(value)
+    # a value that can overlap itself may stand alone inside a run of its own: these few are looked at place by place
+    folds = (n > 1) & F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda p: F.right(value, n - p) == F.left(value, n - p))
+    near = lambda i: F.substring(clean(hay), i - 1, F.lit(1))
+    everywhere = F.exists(
+        F.sequence(F.lit(1), F.greatest(F.length(hay), F.lit(1))),
+        lambda i: (F.substring(clean(hay), i, n) == value) & ~((i > 1) & near(i).rlike("[0-9.]")) & ~F.substring(clean(hay), i + n, F.lit(1)).rlike("[0-9]"),
+    )
+    return F.when(n == 0, F.lit(True)).when(~F.contains(hay, needle), F.lit(False)).when(alone, F.lit(True)).when(folds, everywhere).otherwise(F.lit(False))
+
+
 def literal_in_text(
     printed: Column, text: Column, boundary: bool = False, normalised: Column | None = None
 ) -> Column:
@@ -58,10 +88,7 @@ def literal_in_text(
     hay = text_norm(text) if normalised is None else normalised
 
     def found(needle: Column) -> Column:
-        if not boundary:
-            return F.contains(hay, needle)
-        pattern = F.concat(F.lit(r"(?<![0-9.])\Q"), needle, F.lit(r"\E(?![0-9])"))
-        return F.call_function("rlike", hay, pattern)
+        return _stands_alone(hay, needle) if boundary else F.contains(hay, needle)
 
     without_unit = core.contains("億") & found(text_norm(F.replace(core, F.lit("億"), F.lit(""))))
     return F.when(core == "0", F.contains(text, F.lit("0"))).otherwise(found(text_norm(core)) | without_unit)

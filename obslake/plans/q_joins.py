@@ -268,8 +268,8 @@ j AS (
   SELECT c.*, d.text, {norm_sql("d.text")} AS t, {norm_sql(CORE_SQL)} AS v, {CORE_SQL} AS core
   FROM c LEFT JOIN documents d ON d.doc_id = c.cited),
 r AS (
-  SELECT label_id, printed, CASE WHEN text IS NULL THEN 'article not fetched' WHEN is_note THEN NULL
-    WHEN NOT (CASE WHEN core = '0' THEN contains(text, '0') ELSE contains(t, v) OR contains(t, replace(v, '億', '')) END) THEN 'value not found' END AS reason FROM j)
+  SELECT label_id, printed, CASE WHEN text IS NULL THEN 'text_absent' WHEN is_note THEN NULL
+    WHEN NOT (CASE WHEN core = '0' THEN contains(text, '0') ELSE contains(t, v) OR contains(t, replace(v, '億', '')) END) THEN 'value_absent' END AS reason FROM j)
 SELECT label_id, printed, reason, reason IS NULL AS ok FROM r""",
 )
 def verify_citations(t):

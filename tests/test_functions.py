@@ -140,3 +140,18 @@ def test_references_are_decoded_once(spark):
 def test_chrome_closes_with_its_own_name(spark):
     html = "<header><nav><p>menu</p></nav><p>Masthead</p></header><p>one</p><aside><p>x</p></aside ><footer><script>'</footer>'</script><p>end</p></footer><p>two"
     assert one(spark, html, tx.page_paragraphs) == ["one", "two"]
+
+
+def test_boundary_equals_a_pattern_per_value(spark):
+    """Values with pattern characters, values that touch and values that overlap themselves."""
+    import random
+    import re
+
+    rnd = random.Random(1)
+    pick = lambda n: "".join(rnd.choice("1.2aa\\E[") for _ in range(rnd.randint(0, n)))
+    pairs = [(pick(4), pick(14)) for _ in range(1500)] + [("\\E", "x\\Ey"), ("a.a", "1a.a.a1"), ("1a1", "51a1a1 "), ("47", "4747"), ("", "x")]
+    pairs = [(p, t) for p, t in pairs if p != "0"]
+    df = spark.createDataFrame(pairs, "p string, t string")
+    got = [r["y"] for r in df.select(tx._stands_alone(F.col("t"), F.col("p")).alias("y")).collect()]
+    want = [bool(re.search("(?<![0-9.])" + re.escape(p) + "(?![0-9])", t)) if p else True for p, t in pairs]
+    assert [x for x in zip(pairs, got, want) if x[1] != x[2]] == []

@@ -278,6 +278,38 @@ def test_containment_equals_brute_force(spark):
     assert got.count() == 7
 
 
+def test_containment_of_values_of_all_lengths(spark):
+    rnd = __import__("random").Random(5)
+    alphabet = "外匯價格變動準備金餘額ab12"
+    texts = [(i, "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 200)))) for i in range(40)]
+    values = [(i, t[1][p : p + n]) for i, (t, p, n) in enumerate((rnd.choice(texts), rnd.randint(0, 100), rnd.randint(1, 40)) for _ in range(150))]
+    values += [(1000 + i, "".join(rnd.choice(alphabet) for _ in range(n))) for i, n in enumerate(range(1, 30))]
+    got = containment.containment_pairs(spark.createDataFrame(texts, "doc int, t string"), "doc", "t", spark.createDataFrame(values, "item int, v string"), "item", "v")
+    assert set(rows(got, "doc", "item")) == {(d_, i) for d_, t in texts for i, v in values if v and v in t} and got.count() == len(set(rows(got, "doc", "item")))
+
+
+def test_values_with_one_head_propose_about_as_many_pairs_as_they_have_hits(spark):
+    rnd = __import__("random").Random(8)
+    han = [chr(0x4E00 + i) for i in range(2000)]
+    head = "外匯價格變動準備金之提存方式"
+    values = [(i, head + "".join(rnd.choice(han) for _ in range(16))) for i in range(1000)]
+    texts = [(i, "".join(rnd.choice(han) for _ in range(50)) + values[i * 7 % 1000][1] + "".join(rnd.choice(han) for _ in range(50))) for i in range(300)]
+    docs, items = spark.createDataFrame(texts, "doc int, t string"), spark.createDataFrame(values, "item int, v string")
+    pairs = containment.candidate_pairs(docs, items)
+    assert pairs.count() <= 2 * 300
+    assert rows(containment.containment_pairs(docs, "doc", "t", items, "item", "v"), "doc", "item") == sorted(((i, i * 7 % 1000) for i in range(300)), key=str)
+    # a text and a value choose the same fragments
+    same = containment.fingerprints(docs, "doc", "t", 8, 8).filter("doc = 0").select("gram")
+    own = containment.fingerprints(items, "item", "v", 8, 8).filter("item = 0").select("gram")
+    assert own.subtract(same).count() == 0 and own.count() > 1
+
+
+def test_no_values_and_no_texts(spark):
+    docs, items = spark.createDataFrame([(1, "abc")], "doc int, t string"), spark.createDataFrame([(1, "b")], "item int, v string")
+    assert containment.containment_pairs(docs, "doc", "t", items.filter("false"), "item", "v").count() == 0
+    assert containment.containment_pairs(docs.filter("false"), "doc", "t", items, "item", "v").count() == 0
+
+
 # ------------------------------------------------------------- reconcile
 
 

@@ -240,7 +240,7 @@ def test_briefing_rows(spark, config_and_articles):
     mar = r["2026-03-01"]
     assert mar["net_fx_exposure"] == D(8607300) and mar["hedge_ratio_regulatory"] == D("0.4515")
     assert mar["source_quote"] == "q6 ‖ r6" and mar["source_doc"] == "paper: T6" and mar["source_id"] == "9006"
-    assert mar["source_note"] == "n Also: https://press.example/story/6/9006b (2026-09-02)"
+    assert mar["source_note"] == "n also=https://press.example/story/6/9006b (2026-09-02)"
     assert mar["hedge_cs_share_note"] == ">75%" and mar["vintage"] == d("2026-09-01")
     assert r["2026-01-01"]["source_note"] == "n" and len(r) == 11
 
@@ -250,9 +250,9 @@ def test_briefing_reports_missing_and_wrong(spark, config_and_articles):
     broken = [(u, h.replace("45.15%", "44%")) for u, h in arts if not u.endswith("9010")]
     run = briefing.run_briefing(config, spark.createDataFrame(broken, "url string, html string"))
     bad = {(r["obs_month"].isoformat(), r["field"]): r["reason"] for r in run["verification"].filter("NOT ok").collect()}
-    assert bad[("2026-03-01", "hedge_ratio_regulatory")] == "value not found"
-    assert bad[("2026-07-01", "hedge_ratio_regulatory")] == "article not fetched"
-    assert bad[("2026-07-01", "hedge_cs_share_note")] == "article not fetched"
+    assert bad[("2026-03-01", "hedge_ratio_regulatory")] == "value_absent"
+    assert bad[("2026-07-01", "hedge_ratio_regulatory")] == "text_absent"
+    assert bad[("2026-07-01", "hedge_cs_share_note")] == "text_absent"
     assert len(bad) == 3 and run["gate"].first()["status"] == "fail"
 
 
