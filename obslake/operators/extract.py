@@ -39,6 +39,40 @@ def carry_header(
     return b.withColumn("kind", F.when(between < reach, F.col("_h.kind"))).drop("_h", "_end")
 
 
+def tag_levels(pages: DataFrame, key: str, html: str, name: str) -> DataFrame:
+    """Pages cut at the tags of one element: (key, no, piece, level, element_no, is_open).
+
+    A running sum of opening less closing tags is the depth, so equal names close rightly however deep they are nested;
+    a closing tag without an opening one counts for nothing, an element that never closes runs to the end. `level` is
+    the depth a piece lies at, 0 outside; `element_no` counts the outermost elements from 1 and is null outside. The
+    window holds the pieces of one page.
+    """
+    cuts = rf"(?i)(?=<{name}\b)|(?<=</{name}\s{{0,8}}>)"
+    p = pages.select(key, F.posexplode(F.split(html, cuts)).alias("no", "piece"))
+    opens, closes = F.col("piece").rlike(rf"(?i)^<{name}\b"), F.col("piece").rlike(rf"(?i)</{name}\s*>$")
+    w = W.partitionBy(key).orderBy("no")
+    here = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    p = p.withColumn("is_open", opens).withColumn("_net", F.sum(opens.cast("int") - closes.cast("int")).over(here))
+    # never below nothing: what was closed too often is given back
+    p = p.withColumn("_after", F.col("_net") - F.least(F.lit(0), F.min("_net").over(here)))
+    p = p.withColumn("_before", F.lag("_after", 1, 0).over(w))
+    p = p.withColumn("level", F.col("_before") + F.col("is_open").cast("int"))
+    number = F.sum((F.col("is_open") & (F.col("_before") == 0)).cast("int")).over(here)
+    return p.select(key, "no", "piece", "level", F.when(F.col("level") > 0, number).alias("element_no"), "is_open")
+
+
+def outer_elements(pages: DataFrame, key: str, html: str, name: str) -> DataFrame:
+    """Outermost elements of a name: (key, element_no, at, html, layers), `at` being the piece each begins with.
+
+    `layers` has the element's own content without the elements inside it, then that of those inside it, and so on.
+    """
+    pieces = tag_levels(pages, key, html, name).filter("level > 0")
+    joined = lambda c: F.array_join(F.transform(F.array_sort(c), lambda x: x["piece"]), "")
+    layers = pieces.groupBy(key, "element_no", "level").agg(F.collect_list(F.struct("no", "piece")).alias("pieces"))
+    whole = layers.groupBy(key, "element_no").agg(F.flatten(F.collect_list("pieces")).alias("all"), F.array_sort(F.collect_list(F.struct("level", joined("pieces").alias("piece")))).alias("layers"))
+    return whole.select(key, "element_no", F.array_min("all")["no"].alias("at"), joined("all").alias("html"), F.col("layers.piece").alias("layers"))
+
+
 def first_yielding(
     df: DataFrame, keep: Sequence[str], lines: Column, kinds: Sequence[tuple[str, str]], default: str
 ) -> DataFrame:

@@ -155,3 +155,11 @@ def test_boundary_equals_a_pattern_per_value(spark):
     got = [r["y"] for r in df.select(tx._stands_alone(F.col("t"), F.col("p")).alias("y")).collect()]
     want = [bool(re.search("(?<![0-9.])" + re.escape(p) + "(?![0-9])", t)) if p else True for p, t in pairs]
     assert [x for x in zip(pairs, got, want) if x[1] != x[2]] == []
+
+
+def test_full_width_figures_keep_their_column(spark):
+    from obslake.functions import numbers as nb
+
+    df = spark.createDataFrame([(["項目", "１２３", "－４，５６７．８", "-", "9"],)], "r array<string>")
+    got = df.select(nb.numeric_cells(F.col("r")).alias("n")).head()["n"]
+    assert [None if x is None else float(x) for x in got] == [123.0, -4567.8, None, 9.0]

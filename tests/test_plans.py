@@ -99,6 +99,34 @@ def test_release_fallbacks_and_warnings(parsed):
     ]
 
 
+def one(spark, body):
+    good, _ = releases.parse_releases(spark.createDataFrame([("202004280001", page(TITLE, body))], "doc_id string, html string"))
+    return good.head()
+
+
+def test_release_figures_behind_references_and_in_full_width(spark):
+    wide = "".join(chr(0xFF10 + int(c)) if c.isdigit() else c for c in "-3,000")
+    body = "<p>&#19977;、匯兌&nbsp;</p>" + table(("兌換損益", "&nbsp;-3,000", "-3,100"), ("避險損益", wide, "１２．５"), ("合計數&#40;1&#41;", "&#45;600", "10&nbsp;"))
+    r = one(spark, body)
+    assert (r["fx_gain_loss"], r["hedging_gain_loss"], r["fx_combined_effect"]) == (D(-300000), D(-300000), D(-60000))
+    assert "fx_row_without_figures" not in r["warnings"]
+
+
+def test_release_tables_inside_tables(spark):
+    inner = table(("避險損益", "5", "6"))
+    outer = "<table><tr><td>三、兌換損益</td></tr><tr><td>" + inner + table(("準備淨變動", "7", "8")) + "</td></tr><tr><td>兌換損益</td><td>-1</td><td>-2</td></tr></table>"
+    story = "<table><tr><td>合計數</td><td>9</td><td>9</td></tr></table>"
+    r = one(spark, "</table>" + PRETAX + outer + story)
+    assert (r["fx_gain_loss"], r["hedging_gain_loss"], r["fx_reserve_net_change"]) == (D(-100), D(500), D(700))
+    assert r["fx_combined_effect"] is None  # another table; the first that yields stands
+    assert r["pretax_profit_life"] == D(100000)
+
+
+def test_release_row_without_figures_is_told(spark):
+    r = one(spark, table(("兌換損益", "-3,000元", "-3,1oo"), ("合計數", "-600", "10")))
+    assert r["fx_gain_loss"] is None and "fx_row_without_figures" in r["warnings"]
+
+
 def test_release_checks_and_projection(spark, parsed):
     checks = reconcile(parsed[2], releases.edition_checks(), ["doc_id"])
     got = {(r["doc_id"], r["check_name"]): r["passed"] for r in checks.collect()}
