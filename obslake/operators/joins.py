@@ -86,6 +86,78 @@ def validity_join(
     return fact.join(d, cond, "inner").drop(f"_{key}")
 
 
+def validity_sweep(
+    fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: str, valid_to: str, bucket_days: int = 90
+) -> DataFrame:
+    """`validity_join` for keys with very many facts and versions.
+
+    Time is cut into buckets: a version stands in every bucket it is valid in, within the time that facts cover, a fact
+    in its own. They meet on (key, bucket), so an entity is spread over its buckets, and dates are compared inside one.
+    Versions may overlap, a fact then meets each; a missing start or end is open. Facts without a date meet none.
+    """
+    number = lambda c: F.floor(F.unix_date(c.cast("date")) / bucket_days)
+    ends = fact.agg(number(F.min(at)).alias("low"), number(F.max(at)).alias("high")).head()
+    low, high = (0 if ends[i] is None else ends[i] for i in (0, 1))
+    first = F.greatest(F.coalesce(number(F.col(valid_from)), F.lit(low)), F.lit(low))
+    last = F.least(F.coalesce(number(F.col(valid_to)), F.lit(high)), F.lit(high))
+    spread = dim.withColumn("_bucket", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
+    d = spread.withColumnRenamed(key, f"_{key}").withColumnRenamed("_bucket", "_b")
+    f = fact.withColumn("_bucket", number(F.col(at)))
+    cond = (
+        (F.col(key) == F.col(f"_{key}")) & (F.col("_bucket") == F.col("_b"))
+        & (F.col(valid_from).isNull() | (F.col(valid_from) <= F.col(at))) & (F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to)))
+    )
+    return f.join(d, cond, "inner").drop(f"_{key}", "_bucket", "_b")
+
+
+def successor_breaks(dim: DataFrame, key: str, successor: str, valid_from: str, valid_to: str) -> DataFrame:
+    """One row for every entity whose series breaks: (key, successor, break_date, kind, days).
+
+    kind: `succession` (the successor begins as the entity ends), `gap` and `overlap` (by `days`), `ended` (no
+    successor), `undated` (a successor but no end), `unknown_successor`.
+    """
+    nxt = dim.select(F.col(key).alias("_s"), F.col(valid_from).alias("_begins"), F.lit(True).alias("_known"))
+    j = dim.join(nxt, F.col(successor) == F.col("_s"), "left")
+    days = F.date_diff("_begins", valid_to)
+    kind = (
+        F.when(F.col(successor).isNull(), F.when(F.col(valid_to).isNotNull(), "ended")).when(F.col("_known").isNull(), "unknown_successor")
+        .when(F.col(valid_to).isNull(), "undated").when(days > 0, "gap").when(days < 0, "overlap").otherwise("succession")
+    )
+    return j.select(key, successor, F.col(valid_to).alias("break_date"), kind.alias("kind"), F.coalesce(days, F.lit(0)).alias("days")).filter("kind IS NOT NULL")
+
+
+def survivors_asof(dim: DataFrame, facts: DataFrame, key: str, at: str, successor: str, valid_to: str) -> DataFrame:
+    """Facts (key, at) with `survivor`, the entity that carries the key's series on that date, and the `hops` to it.
+
+    A series passes on from the day its entity ends. Links are composed by doubling, each with the day from which the
+    whole of it holds; a fact then takes the longest link that holds on its day, and shorter ones after it, so a chain
+    of n mergers costs log2(n) joins and no list of intervals. Chains stop at an entity without an end, without or
+    with an unknown successor. In a cycle that goes round on the fact's day there is no survivor.
+    """
+    ensure_checkpoint_dir(dim.sparkSession)
+    known = dim.select(F.col(key).alias("_k"))
+    link = dim.filter(F.col(successor).isNotNull() & F.col(valid_to).isNotNull()).join(known, F.col(successor) == F.col("_k"), "left_semi")
+    link = link.select(F.col(key).alias("_e"), F.col(successor).alias("_s"), F.col(valid_to).alias("_holds")).checkpoint()
+    links, reach, most = [link], 1, link.count()
+    while reach <= most:
+        a = links[-1]
+        b = a.select(F.col("_e").alias("_s"), F.col("_s").alias("_s2"), F.col("_holds").alias("_h2"))
+        longer = a.join(b, "_s").select("_e", F.col("_s2").alias("_s"), F.greatest("_holds", "_h2").alias("_holds")).checkpoint()
+        if longer.isEmpty():
+            break
+        links.append(longer)
+        reach *= 2
+    out = facts.withColumns({"survivor": F.col(key), "hops": F.lit(0)})
+    for i, step in reversed(list(enumerate(links))):
+        taken = F.col("_e").isNotNull()
+        out = out.join(step, (F.col("survivor") == F.col("_e")) & (F.col("_holds") <= F.col(at)), "left")
+        out = out.withColumns({
+            "survivor": F.coalesce("_s", "survivor"), "hops": F.col("hops") + F.when(taken, 1 << i).otherwise(0)
+        }).drop("_e", "_s", "_holds")
+    # more hops than there are links: the chain goes round
+    return out.withColumns({"survivor": F.when(F.col("hops") <= most, F.col("survivor")), "hops": F.when(F.col("hops") <= most, F.col("hops"))})
+
+
 def resolve_successors(dim: DataFrame, key: str, successor: str) -> DataFrame:
     """Surviving entity of every entity, following successor links to the end.
 

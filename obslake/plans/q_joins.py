@@ -140,6 +140,79 @@ def successor_chain(t):
     )
 
 
+# Entities with dated ends: four of five are taken over by the next, on the day, later or earlier; some ends are missing.
+DATED_SQL = """WITH RECURSIVE d AS (
+  SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 5 < 4 THEN s_suppkey + 1 END AS successor,
+    CASE WHEN s_suppkey % 5 > 0 THEN DATE '1995-06-01' + CAST(400 * (s_suppkey % 5 - 1) + (s_suppkey % 3 - 1) * 20 AS INTEGER) END AS valid_from,
+    CASE WHEN s_suppkey % 11 <> 10 THEN DATE '1995-06-01' + CAST(400 * (s_suppkey % 5) AS INTEGER) END AS valid_to FROM supplier)"""
+
+
+def dated_entities(t):
+    k = F.col("s_suppkey")
+    day = F.lit("1995-06-01").cast("date")
+    after = lambda n: F.date_add(day, n.cast("int"))
+    return t.supplier.select(
+        k.alias("entity"), F.when(k % 5 < 4, k + 1).alias("successor"),
+        F.when(k % 5 > 0, after(400 * (k % 5 - 1) + (k % 3 - 1) * 20)).alias("valid_from"), F.when(k % 11 != 10, after(400 * (k % 5))).alias("valid_to"),
+    )
+
+
+@query(
+    "successor_breaks",
+    DATED_SQL + """
+SELECT d.entity, d.successor, d.valid_to AS break_date,
+  CASE WHEN d.successor IS NULL THEN 'ended' WHEN n.entity IS NULL THEN 'unknown_successor' WHEN d.valid_to IS NULL THEN 'undated'
+    WHEN n.valid_from > d.valid_to THEN 'gap' WHEN n.valid_from < d.valid_to THEN 'overlap' ELSE 'succession' END AS kind,
+  CAST(coalesce(n.valid_from - d.valid_to, 0) AS INTEGER) AS days
+FROM d LEFT JOIN d n ON n.entity = d.successor WHERE d.successor IS NOT NULL OR d.valid_to IS NOT NULL""",
+)
+def successor_breaks(t):
+    return joins.successor_breaks(dated_entities(t), "entity", "successor", "valid_from", "valid_to")
+
+
+@query(
+    "successor_asof",
+    DATED_SQL + """, f AS (
+  SELECT l_suppkey AS entity, CAST(date_trunc('month', l_shipdate) AS DATE) AS m, sum(CAST(l_extendedprice AS DECIMAL(20,4))) AS v FROM lineitem GROUP BY 1, 2),
+walk AS (
+  SELECT entity, m, v, entity AS pos, 0 AS hops FROM f
+  UNION ALL
+  SELECT w.entity, w.m, w.v, d.successor, hops + 1 FROM walk w JOIN d ON d.entity = w.pos JOIN d k ON k.entity = d.successor WHERE d.valid_to <= w.m),
+last AS (SELECT entity, m, any_value(v) AS v, arg_max(pos, hops) AS survivor, max(hops) AS hops FROM walk GROUP BY 1, 2)
+SELECT survivor, CAST(year(m) AS INTEGER) AS year, CAST(sum(v) AS DOUBLE) AS value, CAST(max(hops) AS INTEGER) AS most_hops FROM last GROUP BY 1, 2""",
+)
+def successor_asof(t):
+    """Figures of every entity under the one that carried its series at the time."""
+    facts = t.lineitem.groupBy(F.col("l_suppkey").alias("entity"), month_start(F.col("l_shipdate")).alias("m")).agg(
+        F.sum(money(F.col("l_extendedprice"))).cast(MONEY).alias("v")
+    )
+    found = joins.survivors_asof(dated_entities(t), facts, "entity", "m", "successor", "valid_to")
+    return found.groupBy("survivor", F.year("m").alias("year")).agg(F.sum("v").cast("double").alias("value"), F.max("hops").alias("most_hops"))
+
+
+@query(
+    "validity_sweep",
+    """WITH v AS (
+  SELECT c_nationkey AS entity, i AS version, DATE '1995-01-01' + CAST(i * 200 + c_nationkey * 3 AS INTEGER) AS valid_from,
+    CASE WHEN i < 11 THEN DATE '1995-01-01' + CAST(i * 200 + c_nationkey * 3 + 300 AS INTEGER) END AS valid_to
+  FROM (SELECT DISTINCT c_nationkey FROM customer), range(12) AS r(i))
+SELECT v.entity, CAST(v.version AS INTEGER) AS version, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(20,4))) AS DOUBLE) AS value
+FROM orders JOIN customer ON o_custkey = c_custkey
+JOIN v ON v.entity = c_nationkey AND v.valid_from <= CAST(o_orderdate AS DATE) AND (v.valid_to IS NULL OR CAST(o_orderdate AS DATE) < v.valid_to)
+GROUP BY 1, 2""",
+)
+def validity_sweep(t):
+    """Few entities with many facts each, and versions that overlap."""
+    fact = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("c_nationkey").alias("entity"), F.col("o_orderdate").cast("date").alias("d"), money(F.col("o_totalprice")).alias("v")
+    )
+    n = t.customer.select(F.col("c_nationkey").alias("entity")).distinct().withColumn("version", F.explode(F.array(*map(F.lit, range(12)))))
+    starts = F.date_add(F.lit("1995-01-01").cast("date"), F.col("version") * 200 + F.col("entity") * 3)
+    versions = n.select("entity", "version", starts.alias("valid_from"), F.when(F.col("version") < 11, F.date_add(starts, 300)).alias("valid_to"))
+    j = joins.validity_sweep(fact, versions, "entity", "d", "valid_from", "valid_to")
+    return j.groupBy("entity", "version").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("v").cast("double").alias("value"))
+
+
 PANEL_TOTAL_SQL = f"""{CHANNELS_SQL},
 t AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS obs_month,

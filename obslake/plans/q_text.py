@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import facts, numbers as num, text as tx
-from ..operators.extract import carry_header, first_yielding as first_of_kind, quarantine as route
+from ..operators.extract import carry_header, first_yielding as first_of_kind, quarantine as route, outer_elements
 from ..operators.ordered import carry_last, first_per_key
 from ..sources import landed
 from .q_joins import WS_SQL, norm_sql
@@ -476,3 +476,30 @@ def literal_boundary(t):
         tx.literal_in_text(*args, normalised=F.col("norm")).alias("plain"),
         tx.literal_in_text(*args, boundary=True, normalised=F.col("norm")).alias("bounded"),
     )
+
+
+_NESTED = ("nav", "ul", "article", "div")
+
+
+@query(
+    "outer_tables",
+    r"""WITH h AS (SELECT page_id, regexp_replace(html, '<(/?)(nav|ul|article|div)\b', '<\1table', 'g') AS html FROM pages),
+m AS (SELECT page_id, string_split(regexp_replace(regexp_replace(html, '(<table\b)', chr(1) || '\1', 'g'), '(</table>)', '\1' || chr(1), 'g'), chr(1)) AS ps FROM h),
+p AS (SELECT page_id, unnest(range(len(ps))) AS no, unnest(ps) AS piece FROM m),
+t AS (SELECT *, CASE WHEN piece LIKE '<table%' THEN 1 ELSE 0 END AS o, CASE WHEN piece LIKE '%</table>' THEN 1 ELSE 0 END AS c FROM p),
+n AS (SELECT *, sum(o - c) OVER w AS net FROM t WINDOW w AS (PARTITION BY page_id ORDER BY no)),
+a AS (SELECT *, net - least(0, min(net) OVER (PARTITION BY page_id ORDER BY no)) AS after FROM n),
+b AS (SELECT *, coalesce(lag(after) OVER (PARTITION BY page_id ORDER BY no), 0) AS before FROM a),
+e AS (SELECT *, before + o AS level, sum(CASE WHEN o = 1 AND before = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY no) AS element_no FROM b)
+SELECT page_id, CAST(element_no AS BIGINT) AS element_no, CAST(count(DISTINCT level) AS INTEGER) AS n_layers, sha256(string_agg(piece, '' ORDER BY no)) AS html_sha256,
+  CAST(sum(length(piece)) FILTER (level = 1) AS INTEGER) AS own_chars
+FROM e WHERE level > 0 GROUP BY 1, 2""",
+)
+def outer_tables(t):
+    """Outermost elements of pages whose containers are read as tables, and what lies in them besides inner ones."""
+    named = F.regexp_replace("html", rf"<(/?)({'|'.join(_NESTED)})\b", "<$1table")
+    found = outer_elements(t.pages.select("page_id", named.alias("html")), "page_id", "html", "table")
+    return found.select(
+        "page_id", "element_no", F.size("layers").alias("n_layers"), F.sha2(F.col("html").cast("binary"), 256).alias("html_sha256"),
+        F.length(F.element_at("layers", 1)).alias("own_chars"),
+    )

@@ -1,7 +1,7 @@
-import pytest
 import datetime as dt
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from obslake.functions.numbers import MONEY
@@ -253,6 +253,31 @@ def test_compare_channels_full_outer(spark):
     assert rows(joins.compare_channels(a, b, ["m"], "v", 0.03), "m", "agrees") == [(1, True), (2, None), (3, None)]
 
 
+def test_survivors_as_of_a_date_and_in_a_cycle(spark):
+    s = "e string, s string, f date, t date"
+    chain = [(f"c{i:02}", f"c{i + 1:02}" if i < 20 else None, None, d(f"20{i:02}-01-01")) for i in range(21)]
+    dim = spark.createDataFrame([*chain, ("x", "y", None, d("2001-01-01")), ("y", "x", None, d("2003-01-01")), ("u", "nobody", None, d("2001-01-01"))], s)
+    facts = spark.createDataFrame([("c00", d("1999-05-01")), ("c00", d("2007-01-01")), ("c03", d("2050-01-01")), ("x", d("2002-01-01")), ("x", d("2004-01-01")), ("u", d("2004-01-01")), (None, d("2004-01-01")), ("new", d("2004-01-01"))], "e string, at date")
+    got = {(r["e"], str(r["at"])): (r["survivor"], r["hops"]) for r in joins.survivors_asof(dim, facts, "e", "at", "s", "t").collect()}
+    assert got == {
+        ("c00", "1999-05-01"): ("c00", 0), ("c00", "2007-01-01"): ("c08", 8), ("c03", "2050-01-01"): ("c20", 17), ("x", "2002-01-01"): ("y", 1),
+        ("x", "2004-01-01"): (None, None), ("u", "2004-01-01"): ("u", 0), (None, "2004-01-01"): (None, 0), ("new", "2004-01-01"): ("new", 0),
+    }
+    kinds = {r["e"]: r["kind"] for r in joins.successor_breaks(dim, "e", "s", "f", "t").collect()}
+    assert kinds["c20"] == "ended" and kinds["u"] == "unknown_successor" and kinds["c00"] == "succession"
+
+
+def test_validity_sweep_equals_the_join_for_a_hot_entity(spark):
+    rnd = __import__("random").Random(4)
+    day = lambda n: d("2020-01-01") + dt.timedelta(days=n)
+    fact = spark.createDataFrame([("hot" if i % 10 else f"k{i % 7}", day(rnd.randint(0, 900)), i) for i in range(2000)] + [("hot", None, -1), (None, day(3), -2)], "k string, at date, i int")
+    dim = spark.createDataFrame([("hot" if i % 3 else f"k{i % 7}", day(a := rnd.randint(-50, 900)), None if i % 9 == 0 else day(a + rnd.randint(0, 400)), i) for i in range(300)], "k string, f date, t date, version int")
+    want = rows(joins.validity_join(fact, dim, "k", F.col("at"), "f", "t"), "i", "version")
+    swept = joins.validity_sweep(fact, dim, "k", "at", "f", "t", bucket_days=30)
+    assert rows(swept, "i", "version") == want and len(want) > 1000
+    assert joins.validity_sweep(fact.filter("false"), dim, "k", "at", "f", "t").count() == 0
+
+
 def test_merge_sources_earliest_wins(spark):
     a = spark.createDataFrame([("1", "t1")], "id string, title string")
     b = spark.createDataFrame([("1", "other"), ("2", "t2")], "id string, title string")
