@@ -1,5 +1,6 @@
 """Queries on reconciliation, gates and expectations."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from ..functions.numbers import MONEY, money
 from ..operators import quality as q
 from ..operators.reconcile import Check, reconcile as run_checks, run_gate as gate_of
 from ..operators.vintages import latest_vintage
+from ..session import ensure_checkpoint_dir
 from ..sources import sinks
+from ..sources.append import log_run, read_bucketed, run_log_frames, source_status
 from .proxies import CHANNELS_SQL, channel_a, channel_b
 from .q_joins import PANEL_TOTAL_SQL, panel_and_total
 from .registry import query
@@ -293,3 +296,25 @@ def panel_checks(t):
     )
     out = run_checks(m, [Check("panel = total", F.col("panel"), F.col("total"), unit="amount")], ["entity", "obs_month"])
     return out.select("entity", "obs_month", "lhs", "rhs", "rel_error", "passed")
+
+
+@query(
+    "run_log_append",
+    f"""WITH {PANEL_TOTAL_SQL}
+SELECT CASE WHEN year(obs_month) < 1998 THEN 'run-1' ELSE 'run-2' END AS run_id, 'panel = total' AS check_name, obs_month, panel AS lhs, total AS rhs,
+  abs(panel - total) / total <= 0.05 AS passed
+FROM t WHERE panel IS NOT NULL AND total IS NOT NULL""",
+)
+def run_log_append(t):
+    """Two runs log one check for many months, each run twice; the log holds every month once."""
+    spark, prefix = t._spark, f"log_{uuid.uuid4().hex}"
+    check = Check("panel = total", F.col("panel"), F.col("total"), tolerance=0.05, unit="amount")
+    ensure_checkpoint_dir(spark)
+    checks = run_checks(panel_and_total(t), [check], ["obs_month"]).checkpoint()
+    early = F.year("obs_month") < 1998
+    seen = checks.select(F.concat(F.lit("month:"), "obs_month").alias("url"), F.lit("panel").alias("doc"), F.lit(1).alias("attempt"), "passed")
+    sources = source_status(seen, "url", "doc", F.col("passed"), F.lit("check failed"), "attempt")
+    for run_id, part in (("run-1", early), ("run-2", ~early), ("run-1", early), ("run-2", ~early)):
+        mine = checks.filter(part)
+        log_run(spark, run_log_frames(run_id, "panel", gate_of(mine), sources, mine), prefix, 8)
+    return read_bucketed(spark, f"{prefix}_run_reconciliation").select("run_id", "check_name", "obs_month", "lhs", "rhs", "passed")

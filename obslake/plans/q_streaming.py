@@ -1,13 +1,17 @@
 """Queries that run a table through Structured Streaming and read back what was written."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators.reconcile import Check
+from ..operators.reconcile import Check, reconcile
 from ..session import scratch_dir
+from ..sources.append import read_bucketed
 from ..streaming import incremental as inc
 from .registry import query
 
 BATCHES = 4
+BUCKETS = 8
 
 
 def _paths(t, name, *parts):
@@ -22,25 +26,30 @@ def _events(t):
     return inc.read_table_stream(t._spark, landed, "events", max_files=1)
 
 
+def _table(name):
+    """A name of its own for each run's store."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 @query(
     "stream_insert_ignore",
     """SELECT user_id, event_type, CAST(ts AS DATE) AS day, CAST(1 AS BIGINT) AS n_stored FROM events GROUP BY 1, 2, 3""",
 )
 def stream_insert_ignore(t):
     """Each key is stored once, whichever batch brings it first."""
-    out, ck = _paths(t, "insert-ignore", "out")
+    (ck,), store = _paths(t, "insert-ignore"), _table("insert_ignore")
     s = _events(t).select("user_id", "event_type", "day", "event_id")
-    inc.stream_insert_ignore(s, out, ck, ["user_id", "event_type", "day"], ["event_id"], "day").awaitTermination()
-    return t._spark.read.parquet(out).groupBy("user_id", "event_type", "day").agg(F.count(F.lit(1)).alias("n_stored"))
+    inc.stream_append(s, store, ck, ["user_id", "event_type", "day"], ["event_id"], BUCKETS).awaitTermination()
+    return read_bucketed(t._spark, store).groupBy("user_id", "event_type", "day").agg(F.count(F.lit(1)).alias("n_stored"))
 
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(t):
     """Every event arrives twice; the repeat is dropped by its key, however late it comes."""
-    out, ck = _paths(t, "dedup", "out")
+    (ck,), store = _paths(t, "dedup"), _table("dedup")
     s = _events(t).select("event_id", "user_id", "event_type", "day")
-    inc.stream_insert_ignore(s.unionByName(s), out, ck, ["event_id", "day"], ["event_id"], "day").awaitTermination()
-    return t._spark.read.parquet(out).select("event_id", "user_id", "event_type")
+    inc.stream_append(s.unionByName(s), store, ck, ["event_id", "day"], ["event_id"], BUCKETS).awaitTermination()
+    return read_bucketed(t._spark, store).select("event_id", "user_id", "event_type")
 
 
 @query(
@@ -48,12 +57,11 @@ def stream_dedup(t):
     """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2""",
 )
 def stream_tumbling(t):
-    store, out, ck = _paths(t, "tumbling", "store", "out")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("total")]
-    compute = inc.tumbling("1 day", "ts", ["event_type"], aggs)
-    inc.stream_restate(_events(t), store, out, ck, ["event_id", "day"], ["event_id"], "day", compute).awaitTermination()
-    last = inc.latest_of(t._spark, out, ["period_start", "event_type"])
-    return last.select(F.col("period_start").cast("date").alias("day"), "event_type", "n", "total")
+    """Sums per day from deltas; a day that is not known is a group too."""
+    out, ck = _paths(t, "tumbling", "out")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total")]
+    inc.stream_deltas(_events(t), _table("tumbling"), out, ck, ["event_id"], ["ts"], [F.col("day"), F.col("event_type")], sums, BUCKETS).awaitTermination()
+    return inc.merged(t._spark, out, ["day", "event_type"]).withColumn("total", F.col("total").cast("double"))
 
 
 @query(
@@ -64,16 +72,10 @@ def stream_tumbling(t):
 SELECT day, lhs, rhs, round(abs(lhs - rhs) / rhs, 6) AS rel_error, abs(lhs - rhs) / rhs <= 0.1 AS passed FROM d WHERE lhs IS NOT NULL AND rhs IS NOT NULL""",
 )
 def stream_reconcile(t):
-    store, out, ck = _paths(t, "reconcile", "store", "out")
-
-    def prepare(rows):
-        v = F.col("value").cast("decimal(12,2)")
-        return rows.groupBy("day").agg(
-            F.sum(F.when(F.col("event_type") == "purchase", v)).alias("a"),
-            F.sum(F.when(F.col("event_type") == "click", v)).alias("b"),
-        )
-
+    """Checks on whole periods, from the deltas of all batches so far."""
+    out, ck = _paths(t, "reconcile", "out")
+    v = F.col("value").cast("decimal(12,2)")
+    sums = [F.sum(F.when(F.col("event_type") == kind, v)).alias(side) for kind, side in (("purchase", "a"), ("click", "b"))]
+    inc.stream_deltas(_events(t), _table("reconcile"), out, ck, ["event_id"], ["ts"], [F.col("day")], sums, BUCKETS).awaitTermination()
     check = Check("purchases = clicks", F.col("a"), F.col("b"), tolerance=0.1, unit="amount")
-    compute = inc.checked(prepare, [check], ["day"])
-    inc.stream_restate(_events(t), store, out, ck, ["event_id", "day"], ["event_id"], "day", compute).awaitTermination()
-    return inc.latest_of(t._spark, out, ["day", "check_name"]).select("day", "lhs", "rhs", "rel_error", "passed")
+    return reconcile(inc.merged(t._spark, out, ["day"]), [check], ["day"]).select("day", "lhs", "rhs", "rel_error", "passed")

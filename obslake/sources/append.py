@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import first_per_key, key_struct
@@ -61,6 +61,67 @@ def append_new(
     (w.partitionBy(partition) if partition else w).parquet(path)
 
 
+#: The bucketing column of a bucketed store: a hash of the key, never null.
+KEY_HASH = "_key_hash"
+
+
+def _hashed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn(KEY_HASH, F.xxhash64(*[F.col(k) for k in keys], *[F.col(k).isNull() for k in keys]))
+
+
+def _buckets(spark: SparkSession, table: str) -> int | None:
+    """Number of buckets of a stored table; None if there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return int(told["Num Buckets"])
+
+
+def bucketed_new_rows(
+    batch: DataFrame, table: str, keys: Sequence[str], arrival: Sequence[str], buckets: int, held: Column | None = None
+) -> DataFrame:
+    """Rows of the batch whose key the bucketed store does not hold, dealt out as its buckets are.
+
+    The batch alone is shuffled, once: buckets of the store meet the partition of the same number where they lie. Keys
+    compare null-safe; the first arrival of a key wins. `held`, on the store's columns, says which stored rows count.
+    """
+    spark = batch.sparkSession
+    have = _buckets(spark, table)
+    dealt = _hashed(batch, keys).repartition(have or buckets, KEY_HASH).withColumn("_key", key_struct(keys))
+    first = first_per_key(dealt, [KEY_HASH, "_key"], [F.col(c).asc_nulls_first() for c in arrival])
+    if have is None:
+        return first.drop("_key")
+    store = spark.table(table)
+    store = store.filter(held) if held is not None else store
+    old = store.select(F.col(KEY_HASH).alias("_h"), key_struct(keys).alias("_old"))
+    # the keys themselves are compared in a form that is no join key, as buckets know the hash alone
+    same = (F.col(KEY_HASH) == F.col("_h")) & F.array_contains(F.array("_old"), F.col("_key"))
+    return first.join(old.hint("merge"), same, "left_anti").drop("_key")
+
+
+def append_bucketed(batch: DataFrame, table: str, keys: Sequence[str], arrival: Sequence[str], buckets: int = 16) -> None:
+    """Add the batch's new keys to a store bucketed by its natural key, which is made if it is not there.
+
+    Every bucket gets one file more; nothing that is stored is moved or written again. An existing store keeps its
+    number of buckets. The same batch again, with the same or other boundaries, adds nothing.
+    """
+    fresh = bucketed_new_rows(batch, table, keys, arrival, buckets)
+    have = _buckets(batch.sparkSession, table) or buckets
+    if batch.sparkSession.catalog.tableExists(table):
+        fresh = fresh.select(*batch.sparkSession.table(table).columns)
+    fresh.write.mode("append").bucketBy(have, KEY_HASH).sortBy(KEY_HASH).saveAsTable(table)
+
+
+def read_bucketed(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).drop(KEY_HASH)
+
+
+def log_run(spark: SparkSession, frames: dict[str, DataFrame], prefix: str, buckets: int = 16) -> None:
+    """Append the frames of `run_log_frames` to the bucketed stores `<prefix>_<name>`; a run logged twice is there once."""
+    for name, frame in frames.items():
+        append_bucketed(frame, f"{prefix}_{name}", RUN_KEYS[name], [c for c in frame.columns if c not in RUN_KEYS[name]][:1], buckets)
+
+
 def save_store(df: DataFrame, table: str, keys: Sequence[str], vintage: str, buckets: int) -> None:
     """Save a vintaged store bucketed by its natural key and sorted by vintage.
 

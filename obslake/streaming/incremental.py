@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.reconcile import Check, reconcile
-from ..sources.append import new_rows
+from ..sources.append import append_bucketed, bucketed_new_rows, new_rows
 
 
 def read_table_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
@@ -85,6 +85,39 @@ def stream_restate(
     return _start(stream, checkpoint, each)
 
 
+def stream_append(stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], arrival: Sequence[str], buckets: int = 16) -> StreamingQuery:
+    """`stream_insert_ignore` into a bucketed store: a batch is shuffled once and the store not at all."""
+    return _start(stream, checkpoint, lambda batch, epoch: append_bucketed(batch, table, keys, arrival, buckets))
+
+
+def stream_deltas(
+    stream: DataFrame, table: str, path: str, checkpoint: str, keys: Sequence[str], arrival: Sequence[str], group: Sequence[Column],
+    sums: Sequence[Column], buckets: int = 16,
+) -> StreamingQuery:
+    """Per-group sums as one delta a batch; late rows and repeats may come at any time.
+
+    A batch adds the sums of the keys it is the first to bring to `path`, under its epoch. Of what is stored only keys
+    are read (`table`, bucketed), never a row or a sum, so a batch costs the same however old the store is. Groups may be
+    null. A batch that is run again counts the keys of earlier epochs as known and its own as new, and so overwrites its
+    delta with the same one.
+    """
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        marked = batch.withColumn("_epoch", F.lit(epoch).cast("long"))
+        fresh = bucketed_new_rows(marked, table, keys, arrival, buckets, F.col("_epoch") < epoch)
+        delta = fresh.groupBy(*group).agg(*sums)
+        delta.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        append_bucketed(marked.select(*keys, "_epoch"), table, keys, ["_epoch"], buckets)
+
+    return _start(stream, checkpoint, each)
+
+
+def merged(spark: SparkSession, path: str, group: Sequence[str]) -> DataFrame:
+    """The current sums of every group, from all deltas."""
+    log = spark.read.parquet(path).drop("epoch")
+    return log.groupBy(*group).agg(*[F.sum(c).alias(c) for c in log.columns if c not in group])
+
+
 def latest_of(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The last vintage of every row; rows written twice by a replay count once."""
     log = spark.read.parquet(path)
