@@ -7,9 +7,9 @@ shard, a dictionary of its (language, word) pairs with counts and the stream of
 2. Every shard builds an FM-index of its stream and one of the reversed stream. All words are extended to the left by
    every word that their intervals of the Burrows-Wheeler transform hold: these are the pairs, with counts. Sums over the
    shards tell each shard which of its pairs reach the threshold.
-3. Only those are extended further, to the right in the reversed index and to the left in the other, the interval of
-   each index being kept in step with the other's: triples and quadruples all of whose pairs reach the threshold. Their
-   counts are summed too.
+3. Only those are extended further, to the right in the reversed index, the interval of each index being kept in step
+   with the other's: triples both of whose pairs reach the threshold. Their sums go back to the shards as well.
+4. Those that reach it are extended to the left in the other index: quadruples both of whose triples do.
 
 So all phrases of two to four words with at least `least` occurrences are found, with exact counts, and with every phrase
 all its parts. No task holds more than a shard; shards are as long as tasks give, so their number follows the input.
@@ -119,6 +119,7 @@ def shards(docs: DataFrame, *, text: str, lang: str, size: int = 16 << 20) -> Da
                 if full >= size and held:
                     yield from shard(number, held)
                     number, held, full = number + 1, [], 0
+                    pa.default_memory_pool().release_unused()
                     if number == begin + TASK_SHARDS:
                         raise ValueError("a task has more shards than numbers: take larger shards")
         if held:
@@ -197,28 +198,34 @@ class Shard:
         which, number, self.low, self.high, self.other = self.left.extend(low, high, low)
         self.pairs = np.stack([number, words[which]]) if top else np.zeros((2, 0), np.int64)
 
-    def longer(self, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Triples and quadruples, and their counts, all of whose pairs are among `nodes`."""
+    def triples(self, nodes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Triples both of whose pairs are among `nodes`: the words, and where they begin in either index, and how many."""
         x, y = self.pairs[:, nodes]
         good = np.sort((x << 32) + y)
-        known = lambda a, b: good[np.minimum(np.searchsorted(good, key := (a << 32) + b), len(good) - 1)] == key
         low, high, other = self.low[nodes], self.high[nodes], self.other[nodes]
         # to the right: intervals of the reversed index, in step with those of the other
         right = Index(self.stream[::-1].copy(), len(self.ids) - 1)
         which, z, rlow, rhigh, begin = right.extend(other, other + high - low, low)
-        keep = known(y[which], z)
-        which, z, begin, n = which[keep], z[keep], begin[keep], (rhigh - rlow)[keep]
-        triples = np.stack([x[which], y[which], z])
-        yield triples, n
-        which, w, low, high, _ = self.left.extend(begin, begin + n, rlow[keep])
-        keep = known(w, triples[0, which])
-        yield np.concatenate([w[None, keep], triples[:, which[keep]]]), (high - low)[keep]
+        key = (y[which] << 32) + z
+        keep = good[np.minimum(np.searchsorted(good, key), len(good) - 1)] == key
+        which, z = which[keep], z[keep]
+        return np.stack([x[which], y[which], z]), begin[keep], rlow[keep], (rhigh - rlow)[keep]
+
+    def quadruples(self, nodes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Quadruples both of whose triples are among the `chosen` ones of `triples(nodes)`, and their counts."""
+        words, begin, rlow, n = (v[..., chosen] for v in self.triples(nodes))
+        which, w, low, high, _ = self.left.extend(begin, begin + n, rlow)
+        # triples as pairs of numbers: the place of their first pair, and the third word
+        pair = np.unique((self.pairs[0] << 32) + self.pairs[1])
+        key = lambda a, b, c: np.searchsorted(pair, (a << 32) + b) * np.int64(len(self.ids)) + c
+        keep = np.isin(key(w, words[0, which], words[1, which]), key(*words))
+        return np.concatenate([w[None, keep], words[:, which[keep]]]), (high - low)[keep]
 
 
 def _over_shards(table: DataFrame, marks: DataFrame, solve, schema: str) -> DataFrame:
-    """`solve(shard, Shard, nodes)` for every shard, from the written streams and what is known about each.
+    """`solve(shard, Shard, nodes, triples)` for every shard, from the written streams and what is known about each.
 
-    `marks` has (shard, local, id) for frequent words and (shard, node) for frequent pairs. One shard is held at a time.
+    `marks` has (shard, local, id) for frequent words, (shard, node) for frequent pairs and (shard, triple) for triples. One shard is held at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,17 +248,20 @@ def _over_shards(table: DataFrame, marks: DataFrame, solve, schema: str) -> Data
         t = pa.Table.from_batches(parts)
         codes = t.column("codes").drop_null()
         words = t.filter(pc.is_valid(t.column("local")))
-        nodes = t.column("node").drop_null().to_numpy()
         if not len(codes) or not len(words):
             return
         stream = unpacked(codes[0].as_buffer(), t.column("length").drop_null()[0].as_py())
         shard = Shard(stream, words.column("local").to_numpy(), words.column("id").to_numpy())
-        yield from solve(int(number), shard, np.sort(nodes).astype(np.int64))
+        nodes, triples = (np.sort(t.column(c).drop_null().to_numpy()).astype(np.int64) for c in ("node", "triple"))
+        del t, codes, words, stream, parts[:]
+        yield from solve(int(number), shard, nodes, triples)
+        del shard
+        pa.default_memory_pool().release_unused()
 
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    streams = table.where("codes IS NOT NULL").select("shard", none("int", "local"), none("long", "id"), none("int", "node"), F.col("n").alias("length"), "codes")
+    streams = table.where("codes IS NOT NULL").select("shard", none("int", "local"), none("long", "id"), none("int", "node"), none("int", "triple"), F.col("n").alias("length"), "codes")
     rows = streams.unionByName(marks, allowMissingColumns=True)
-    return rows.select("shard", "local", "id", "node", "length", "codes").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    return rows.select("shard", "local", "id", "node", "triple", "length", "codes").repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
 def _batches(columns: dict[str, np.ndarray], step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
@@ -260,18 +270,32 @@ def _batches(columns: dict[str, np.ndarray], step: int = 1 << 16) -> Iterator[pa
         yield pa.record_batch({k: pa.array(v[a : a + step]) for k, v in columns.items()})
 
 
-def _pairs(number: int, shard: Shard, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _pairs(number: int, shard: Shard, nodes: np.ndarray, triples: np.ndarray) -> Iterator[pa.RecordBatch]:
     x, y = shard.ids[shard.pairs]
     n = shard.high - shard.low
     # the number of the shard and of the pair in it as one
     yield from _batches({"at": (number << 32) + np.arange(len(n)), "w1": x, "w2": y, "n": n})
 
 
-def _longer(number: int, shard: Shard, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _triples(number: int, shard: Shard, nodes: np.ndarray, triples: np.ndarray) -> Iterator[pa.RecordBatch]:
     if len(nodes):
-        for words, n in shard.longer(nodes):
-            ids = list(shard.ids[words]) + [np.full(len(n), -1)] * (MOST - len(words))
-            yield from _batches(dict(zip(("w1", "w2", "w3", "w4", "n"), (*ids, n), strict=True)))
+        words, _, _, n = shard.triples(nodes)
+        w1, w2, w3 = shard.ids[words]
+        yield from _batches({"at": (number << 32) + np.arange(len(n)), "w1": w1, "w2": w2, "w3": w3, "n": n})
+
+
+def _quadruples(number: int, shard: Shard, nodes: np.ndarray, triples: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(triples):
+        words, n = shard.quadruples(nodes, triples)
+        yield from _batches(dict(zip(("w1", "w2", "w3", "w4", "n"), (*shard.ids[words], n), strict=True)))
+
+
+def _reaching(rows: DataFrame, words: list[str], least: int, name: str) -> DataFrame:
+    """(shard, <name>, words, a) of the phrases whose sums over the shards reach the threshold."""
+    # shards have added up already, so a window only brings their sums together and needs no second shuffle to go back
+    rows = rows.withColumn("a", F.sum("n").over(Window.partitionBy(*words))).where(F.col("a") >= least)
+    place = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int")
+    return kept(rows.select(F.shiftright("at", 32).alias("shard"), place.alias(name), *words, "a"))
 
 
 def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, size: int = 16 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -287,19 +311,18 @@ def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", le
     words = known.where(F.col("id") == F.shiftleft("shard", 32) + F.col("local")).select("id", "lang", "word", F.col("a").alias("n"))
     known = known.select("shard", "local", "id")
 
-    pairs = _over_shards(table, known, _pairs, "at long, w1 long, w2 long, n long")
-    # shards have added up already, so a window only brings their sums together and needs no second shuffle to go back
-    total = F.sum("n").over(Window.partitionBy("w1", "w2"))
-    pairs = pairs.withColumn("a", total).where(F.col("a") >= least)
-    pairs = kept(pairs.select(F.shiftright("at", 32).alias("shard"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int").alias("node"), "w1", "w2", "a"))
+    two, three, four = (["w1", "w2", "w3", "w4"][:n] for n in (2, 3, 4))
+    pairs = _reaching(_over_shards(table, known, _pairs, "at long, w1 long, w2 long, n long"), two, least, "node")
     marks = known.unionByName(pairs.select("shard", "node"), allowMissingColumns=True)
-    longer = _over_shards(table, marks, _longer, "w1 long, w2 long, w3 long, w4 long, n long")
-    longer = longer.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    triples = _reaching(_over_shards(table, marks, _triples, "at long, w1 long, w2 long, w3 long, n long"), three, least, "triple")
+    marks = marks.unionByName(triples.select("shard", "triple"), allowMissingColumns=True)
+    quads = _over_shards(table, marks, _quadruples, "w1 long, w2 long, w3 long, w4 long, n long")
+    quads = quads.groupBy(*four).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
 
-    ids = F.filter(F.array("w1", "w2", "w3", "w4"), lambda w: w >= 0)
     phrases = words.select(F.array("id").alias("ids"), F.col("n").alias("a"))
-    phrases = phrases.unionByName(pairs.groupBy("w1", "w2").agg(F.first("a").alias("a")).select(F.array("w1", "w2").alias("ids"), "a"))
-    return words, kept(phrases.unionByName(longer.select(ids.alias("ids"), "a"))), totals
+    for found, names in ((pairs, two), (triples, three)):
+        phrases = phrases.unionByName(found.groupBy(*names).agg(F.first("a").alias("a")).select(F.array(*names).alias("ids"), "a"))
+    return words, kept(phrases.unionByName(quads.select(F.array(*four).alias("ids"), "a"))), totals
 
 
 def _wide(c: str | Column) -> Column:

@@ -72,6 +72,7 @@ def test_index_enumerates_all_phrases(pieces):
     want = {n: Counter(tuple(p[i : i + n]) for p in pieces for i in range(len(p) - n + 1)) for n in (2, 3, 4)}
     assert dict(zip(map(tuple, shard.pairs.T), shard.high - shard.low, strict=True)) == want[2]
     if want[2]:
-        found = list(shard.longer(np.arange(shard.pairs.shape[1])))
-        for n, (words, counts) in zip((3, 4), found, strict=True):
-            assert dict(zip(map(tuple, words.T), counts, strict=True)) == want[n]
+        words, _, _, counts = shard.triples(np.arange(shard.pairs.shape[1]))
+        assert dict(zip(map(tuple, words.T), counts, strict=True)) == want[3]
+        words, counts = shard.quadruples(np.arange(shard.pairs.shape[1]), np.arange(words.shape[1]))
+        assert dict(zip(map(tuple, words.T), counts, strict=True)) == want[4]
