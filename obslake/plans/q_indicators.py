@@ -1,13 +1,16 @@
 """Queries on indicators, reserves and publication."""
 
+import uuid
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.numbers import MONEY
-from ..operators import flows, indicators as ind, reserves as rs
+from ..operators import flows, indicators as ind, provenance as prov, reserves as rs
 from ..operators.aggregates import percentile_benchmark, year_mean_of
 from ..sources import sinks
+from ..sources.append import read_bucketed
 from .proxies import AMOUNT, PANEL_SQL, monthly_by, monthly_sql, panel
 from .registry import query
 
@@ -203,16 +206,15 @@ def ind_cost_spread(t):
 @query(
     "ind_residual",
     f"""WITH {PANEL_SQL}
-SELECT entity, obs_month, CAST(hedges - policy - reserve AS DOUBLE) AS value,
-  CASE WHEN obs_month < DATE '1997-01-01' OR basis = 'estimated' THEN 'estimated' ELSE 'disclosed' END AS basis FROM panel""",
+SELECT entity, obs_month, CAST(hedges - policy - reserve AS DOUBLE) AS value, vintage, retrieved_at,
+  CASE WHEN obs_month < DATE '1997-01-01' OR basis = 'estimated' THEN 'estimated' ELSE 'disclosed' END AS basis,
+  array_to_string(list_sort(list_distinct(list_append(string_split(sources, '; '), 'swap book'))), '; ') AS sources FROM panel""",
 )
 def ind_residual(t):
     v = ind.residual(F.col("hedges"), F.col("policy"), F.col("reserve"))
     swap_book = F.when(F.col("obs_month") < F.to_date(F.lit("1997-01-01")), "estimated").otherwise("disclosed")
-    return panel(t).select(
-        "entity", "obs_month", v.cast("double").alias("value"),
-        ind.weakest_basis(F.col("basis"), swap_book).alias("basis"),
-    )
+    legs = prov.merge(prov.of_columns(), prov.leg(basis=swap_book, sources=F.lit("swap book")))
+    return panel(t).select("entity", "obs_month", v.cast("double").alias("value"), *prov.told(legs))
 
 
 @query(
@@ -280,11 +282,16 @@ def ind_stressed(t):
 
 RATIO_SQL = f"""{PANEL_SQL}, r AS (
   SELECT entity, obs_month, CAST(assets - policy - unhedged_equity AS DECIMAL(24,6)) AS den,
-    CAST(hedges AS DOUBLE) / nullif(CAST(assets - policy - unhedged_equity AS DOUBLE), 0) AS ratio FROM panel),
-b AS (SELECT entity, quantile_cont(ratio, 0.9) AS benchmark FROM r WHERE obs_month BETWEEN DATE '1996-01-01' AND DATE '1998-12-01' GROUP BY 1),
+    CAST(hedges AS DOUBLE) / nullif(CAST(assets - policy - unhedged_equity AS DOUBLE), 0) AS ratio, vintage AS v, retrieved_at AS ra, basis AS ba,
+    string_split(sources, '; ') AS so FROM panel),
+b AS (SELECT entity, quantile_cont(ratio, 0.9) AS benchmark, max(v) AS bv, max(ra) AS bra, bool_or(ba = 'estimated') AS be, flatten(list(so)) AS bso FROM r WHERE obs_month BETWEEN DATE '1996-01-01' AND DATE '1998-12-01' GROUP BY 1),
 y AS (
   SELECT entity, CAST(year(obs_month) AS INTEGER) AS year, CAST(sum(CAST(ratio AS DECIMAL(20,12))) AS DOUBLE) / count(ratio) AS current_ratio,
-    CAST(sum(den) AS DOUBLE) / count(den) AS mean_denominator FROM r GROUP BY 1, 2)"""
+    CAST(sum(den) AS DOUBLE) / count(den) AS mean_denominator, max(v) AS yv, max(ra) AS yra, bool_or(ba = 'estimated') AS ye, flatten(list(so)) AS yso
+  FROM r GROUP BY 1, 2)"""
+RATIO_PROV_SQL = """greatest(yv, bv) AS vintage, greatest(yra, bra) AS retrieved_at,
+  CASE WHEN ye OR coalesce(be, false) THEN 'estimated' ELSE 'disclosed' END AS basis,
+  array_to_string(list_sort(list_distinct(list_concat(yso, coalesce(bso, [])))), '; ') AS sources"""
 
 
 def _ratio_years(t):
@@ -293,38 +300,43 @@ def _ratio_years(t):
     r = p.select(
         "entity", "obs_month", den.alias("den"),
         ind.regulatory_hedge_ratio(F.col("hedges"), F.col("assets"), F.col("policy"), F.col("unhedged_equity")).alias("ratio"),
+        prov.of_columns().alias("prov"),
     ).withColumn("ratio_d", F.col("ratio").cast("decimal(20,12)"))
     bench = percentile_benchmark(r, ["entity"], "obs_month", "ratio", "1996-01-01", "1998-12-01").drop("n_months")
     years = r.groupBy("entity", F.year("obs_month").alias("year")).agg(
-        year_mean_of("ratio_d").alias("current_ratio"), year_mean_of("den").alias("mean_denominator")
+        year_mean_of("ratio_d").alias("current_ratio"), year_mean_of("den").alias("mean_denominator"), prov.merge_rows("prov").alias("prov")
     )
-    return years.join(bench, "entity", "left")
+    base = r.filter(F.col("obs_month").between("1996-01-01", "1998-12-01")).groupBy("entity").agg(prov.merge_rows("prov").alias("bench_prov"))
+    both = years.join(bench, "entity", "left").join(base, "entity", "left")
+    return both.withColumn("prov", prov.merge(F.col("prov"), F.col("bench_prov"))).drop("bench_prov")
 
 
 @query(
     "ind_ratio_differential",
     f"""WITH {RATIO_SQL}
-SELECT entity, year, round(benchmark, 6) AS benchmark, round(current_ratio, 6) AS current_ratio, round(benchmark - current_ratio, 6) AS differential
+SELECT entity, year, round(benchmark, 6) AS benchmark, round(current_ratio, 6) AS current_ratio, CASE WHEN benchmark - current_ratio IS NOT NULL
+  THEN round(greatest(benchmark - current_ratio, 0.0), 6) END AS differential, {RATIO_PROV_SQL}
 FROM y LEFT JOIN b USING (entity)""",
 )
 def ind_ratio_differential(t):
+    gap = F.col("benchmark") - F.col("current_ratio")
     return _ratio_years(t).select(
         "entity", "year", r6(F.col("benchmark"), "benchmark"), r6(F.col("current_ratio"), "current_ratio"),
-        r6(F.col("benchmark") - F.col("current_ratio"), "differential"),
+        r6(F.when(gap.isNotNull(), F.greatest(gap, F.lit(0.0))), "differential"), *prov.told("prov"),
     )
 
 
 @query(
     "ind_strengthening_reserve",
     f"""WITH {RATIO_SQL}
-SELECT entity, year, round(greatest(mean_denominator * greatest(benchmark - current_ratio, 0.0) * 0.025 - 1000.0, 0.0), 4) AS due
+SELECT entity, year, round(greatest(mean_denominator * greatest(benchmark - current_ratio, 0.0) * 0.025 - 1000.0, 0.0), 4) AS due, {RATIO_PROV_SQL}
 FROM y LEFT JOIN b USING (entity)""",
 )
 def ind_strengthening_reserve(t):
     due = rs.strengthening_reserve(
         F.col("mean_denominator"), F.col("benchmark"), F.col("current_ratio"), F.lit(1000.0), F.lit(0.0)
     )
-    return _ratio_years(t).select("entity", "year", F.round(due, 4).alias("due"))
+    return _ratio_years(t).select("entity", "year", F.round(due, 4).alias("due"), *prov.told("prov"))
 
 
 RESERVE_SQL = f"""{monthly_sql('nation')}, m AS (
@@ -413,3 +425,46 @@ SELECT entity, count(*) AS n_points, '{{"index":[' || string_agg('"' || obs_mont
 )
 def frame_export(t):
     return sinks.frame_export(monthly_by(t, "nation"), "entity", F.col("obs_month"), F.col("value"))
+
+
+@query(
+    "derived_series",
+    f"""WITH {PANEL_SQL}, e AS (
+  SELECT 'ratio.economic' AS series_key, entity AS entity_id, obs_month AS obs_date, round(CAST(hedges + policy AS DOUBLE) / CAST(assets AS DOUBLE), 6) AS value,
+    'ratio' AS unit, basis, sources AS source_doc, retrieved_at, vintage FROM panel
+  UNION ALL
+  SELECT 'residual', entity, obs_month, round(CAST(hedges - policy - reserve AS DOUBLE), 6), 'amount',
+    CASE WHEN obs_month < DATE '1997-01-01' OR basis = 'estimated' THEN 'estimated' ELSE 'disclosed' END,
+    array_to_string(list_sort(list_distinct(list_append(string_split(sources, '; '), 'swap book'))), '; '), retrieved_at, vintage FROM panel
+  UNION ALL
+  SELECT 'ratio.sector', NULL, obs_month, round(CAST(sum(hedges + policy) AS DOUBLE) / CAST(sum(assets) AS DOUBLE), 6), 'ratio',
+    CASE WHEN bool_or(basis = 'estimated') THEN 'estimated' ELSE 'disclosed' END,
+    array_to_string(list_sort(list_distinct(flatten(list(string_split(sources, '; '))))), '; '), max(retrieved_at), max(vintage) FROM panel GROUP BY obs_month)
+SELECT series_key, entity_id, obs_date, value, unit, 'v1' AS definition_version, basis, source_doc, CAST(retrieved_at AS DATE) AS retrieved_at, vintage, 'run-1' AS run_id FROM e""",
+)
+def derived_series(t):
+    """Three series with the provenance of all their legs, published by two runs; the second adds no row."""
+    p = panel(t).withColumn("prov", prov.of_columns())
+    early = F.when(F.col("obs_month") < F.to_date(F.lit("1997-01-01")), "estimated").otherwise("disclosed")
+    entity = p.select(
+        F.lit("ratio.economic").alias("series_key"), F.col("entity").alias("entity_id"), "obs_month", F.lit("ratio").alias("unit"), "prov",
+        ind.economic_hedge_ratio(F.col("hedges"), F.col("policy"), F.col("assets")).alias("value"),
+    )
+    rest = p.select(
+        F.lit("residual").alias("series_key"), F.col("entity").alias("entity_id"), "obs_month", F.lit("amount").alias("unit"),
+        prov.merge(F.col("prov"), prov.leg(basis=early, sources=F.lit("swap book"))).alias("prov"),
+        ind.residual(F.col("hedges"), F.col("policy"), F.col("reserve")).cast("double").alias("value"),
+    )
+    sums = p.groupBy("obs_month").agg(*[F.sum(c).alias(c) for c in ("hedges", "policy", "assets")], prov.merge_rows("prov").alias("prov"))
+    sector = sums.select(
+        F.lit("ratio.sector").alias("series_key"), F.lit(None).cast("string").alias("entity_id"), "obs_month", F.lit("ratio").alias("unit"), "prov",
+        ind.economic_hedge_ratio(F.col("hedges"), F.col("policy"), F.col("assets")).alias("value"),
+    )
+    every = entity.unionByName(rest).unionByName(sector)
+    rows = every.select("series_key", "entity_id", F.col("obs_month").alias("obs_date"), "unit", r6(F.col("value"), "value"), *prov.told("prov"))
+    table = f"derived_{uuid.uuid4().hex}"
+    for run in ("run-1", "run-2"):
+        out = sinks.common_schema(rows.withColumnRenamed("sources", "source_doc"), freq="M", definition_version="v1", run_id=run)
+        sinks.publish(out, table, 8)
+    told = read_bucketed(t._spark, table).withColumn("retrieved_at", F.col("retrieved_at").cast("date"))
+    return told.select("series_key", "entity_id", "obs_date", "value", "unit", "definition_version", "basis", "source_doc", "retrieved_at", "vintage", "run_id")

@@ -276,8 +276,8 @@ def cross_market_rows(t):
     f"""WITH {monthly_sql('region')}
 SELECT '2' AS series_id, 'net_open.ntd_mn' AS series_key, entity AS entity_id, obs_month AS obs_date, 'M' AS freq,
   CAST(value AS DOUBLE) AS value, 'ntd_mn' AS unit, 'v1' AS definition_version, NULL::VARCHAR AS basis,
-  NULL::VARCHAR AS basis_note, 'orders' AS source_url, NULL::VARCHAR AS source_doc, NULL::VARCHAR AS retrieved_at,
-  NULL::VARCHAR AS vintage, NULL::VARCHAR AS run_id, 'first' AS market FROM monthly""",
+  NULL::VARCHAR AS basis_note, 'orders' AS source_url, NULL::VARCHAR AS source_doc, NULL::TIMESTAMP AS retrieved_at,
+  NULL::DATE AS vintage, NULL::VARCHAR AS run_id, 'first' AS market FROM monthly""",
 )
 def common_schema(t):
     m = monthly_by(t, "region").select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import decimal_text
 from ..operators.reconcile import one_row, summarise_checks
+from .append import append_bucketed
 
 
 def write_csv(df: DataFrame, path: str) -> list[str]:
@@ -79,23 +80,33 @@ def frame_export(df: DataFrame, series: str, index: Column, value: Column) -> Da
     return pts.select(series, F.size("pts").cast("bigint").alias("n_points"), F.to_json(payload).alias("frame"))
 
 
-DERIVED_COLUMNS = (
-    "series_id", "series_key", "entity_id", "obs_date", "freq", "value", "unit", "definition_version",
-    "basis", "basis_note", "source_url", "source_doc", "retrieved_at", "vintage", "run_id",
-)
+#: Columns of the publication and their types, the same for every series and market.
+DERIVED_TYPES = {
+    "series_id": "string", "series_key": "string", "entity_id": "string", "obs_date": "date", "freq": "string", "value": "double",
+    "unit": "string", "definition_version": "string", "basis": "string", "basis_note": "string", "source_url": "string",
+    "source_doc": "string", "retrieved_at": "timestamp", "vintage": "date", "run_id": "string",
+}
+DERIVED_COLUMNS = tuple(DERIVED_TYPES)
+#: What tells published figures apart; a correction is a new vintage.
+DERIVED_KEY = ("series_key", "entity_id", "obs_date", "definition_version", "vintage")
 
 
 def common_schema(df: DataFrame, market: str | None = None, **constants: str) -> DataFrame:
-    """Project to the publication schema; absent columns are null, constants fill in."""
+    """Project to the publication schema; absent columns are nulls of their type, constants fill in."""
     have = set(df.columns)
     cols = [
-        F.lit(constants[c]).alias(c) if c in constants else (F.col(c) if c in have else F.lit(None).cast("string").alias(c))
-        for c in DERIVED_COLUMNS
+        (F.lit(constants[c]) if c in constants else F.col(c) if c in have else F.lit(None)).cast(kind).alias(c)
+        for c, kind in DERIVED_TYPES.items()
     ]
     out = df.select(*cols)
     return out.withColumn("market", F.lit(market)) if market else out
 
 
+def publish(df: DataFrame, table: str, buckets: int = 16) -> None:
+    """Add figures to a published store; one that is there under its natural key stays, so a second run adds nothing."""
+    append_bucketed(df, table, DERIVED_KEY, ["retrieved_at"], buckets)
+
+
 def write_published(df: DataFrame, path: str) -> None:
     """Publication table: one folder per series, sorted for look-ups by entity and date."""
     (

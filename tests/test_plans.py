@@ -355,6 +355,27 @@ def test_published_table_is_partitioned(spark, tmp_path):
     assert back.count() == 2 and "series_id=1" in "".join(x.name for x in (tmp_path / "pub").iterdir())
 
 
+def test_every_indicator_has_a_vintage(spark, sf_dir):
+    import __spark_entry__
+
+    names = [n for n in __spark_entry__.queries() if n in ("ind_residual", "ind_ratio_differential", "ind_strengthening_reserve", "derived_series")]
+    for n in names:
+        df = __spark_entry__.queries()[n](spark, sf_dir)
+        assert df.filter("vintage IS NULL OR basis IS NULL").count() == 0, n
+
+
+def test_merged_provenance_does_not_depend_on_the_order(spark):
+    from obslake.operators import provenance as pv
+
+    rows = [(d("2025-01-01"), d("2025-03-01"), "disclosed", "a; b"), (d("2025-02-01"), None, "estimated", "c"), (None, d("2025-02-01"), None, None)]
+    df = spark.createDataFrame(rows, "vintage date, retrieved_at date, basis string, sources string").withColumn("p", pv.of_columns())
+    want = (d("2025-02-01"), d("2025-03-01"), "estimated", "a; b; c")
+    assert tuple(df.agg(pv.merge_rows("p").alias("p")).select(*pv.told("p")).head()) == want
+    one = spark.createDataFrame([(*rows[0], *rows[1])], "a date, b date, c string, d string, e date, f date, g string, h string")
+    x, y = pv.leg(*[F.col(c) for c in "abcd"]), pv.leg(*[F.col(c) for c in "efgh"])
+    assert all(tuple(one.select(*pv.told(pv.merge(*legs))).head()) == want for legs in ((x, y), (y, x), (x, pv.leg(), y)))
+
+
 def test_cross_market_rows_hold_every_region(spark, tmp_path):
     """A region with a new name, or none, keeps its rows."""
     import shutil
