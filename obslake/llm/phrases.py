@@ -68,7 +68,7 @@ def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray,
     return words, doc, first
 
 
-def shards(docs: DataFrame, *, text: str, lang: str, size: int = 16 << 20) -> DataFrame:
+def shards(docs: DataFrame, *, text: str, lang: str, size: int = 32 << 20) -> DataFrame:
     """(shard, local, lang, word, n) for every word of a shard, and (shard, codes) once a shard; `size` in bytes."""
 
     def shard(number: int, held: list) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def _reaching(rows: DataFrame, words: list[str], least: int, name: str) -> DataF
     return kept(rows.select(F.shiftright("at", 32).alias("shard"), place.alias(name), *words, "a"))
 
 
-def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, size: int = 16 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, size: int = 32 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(id, lang, word, n) of frequent words, (ids, a) of all frequent phrases of 1 to 4 words, (lang, n) of all words."""
     table = written(shards(docs, text=text, lang=lang, size=size), "phrase-shards")
     dictionary = table.where("local IS NOT NULL").select("shard", "local", "lang", "word", "n")
@@ -352,7 +352,7 @@ def swallowed(phrases: DataFrame) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, share: int = 80, top: int = 2000, size: int = 16 << 20,
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = 30, share: int = 80, top: int = 2000, size: int = 32 << 20,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's best phrases of two to four words."""
     words, phrases, totals = phrase_counts(docs, text=text, lang=lang, least=least, size=size)
