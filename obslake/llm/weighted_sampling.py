@@ -20,8 +20,6 @@ empty result. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,16 +87,23 @@ def printed(samples_: Column) -> Column:
     return F.array_join(F.transform(samples_, lambda s: F.lpad(F.hex(s), 8, "0")), "")
 
 
+def _below(cuts: list, c: Column) -> Column:
+    """How many of some ascending constants are below a value: a search by halves, as there are as many as ranges."""
+    if not cuts:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    at = F.array(*map(F.lit, cuts))
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= len(cuts)) & (F.get(at, n + s - 1) < c), n + s).otherwise(n))
+
+
 def _ranges(keyed: DataFrame, n: int) -> Column:
     """A non-decreasing number for (id, hash): ranges of ids; ids that fill one are dealt out by the hash."""
     cuts = keyed.agg(F.percentile_approx("id", [(i + 1) / n for i in range(n - 1)], 10 * n).alias("q")).head()["q"] or []
     at = sorted(set(cuts))
     full = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
-    below = lambda vs, c: reduce(lambda s, v: s + (c > v).cast("int"), vs, F.lit(0)) if len(vs) < 8 else F.size(
-        F.filter(F.array(*map(F.lit, vs)), lambda v: v < c))
     alone = F.col("id").isin(full) if full else F.lit(False)
     # a full id is a range of its own, behind the smaller ids and before the larger ones
-    number = F.when(F.col("id").isNull(), F.lit(2 * n + 2)).otherwise(2 * below(at, F.col("id")) + below(full, F.col("id")))
+    number = F.when(F.col("id").isNull(), F.lit(2 * n + 2)).otherwise(2 * _below(at, F.col("id")) + _below(full, F.col("id")))
     part = F.when(alone | F.col("id").isNull(), F.shiftrightunsigned("h", 56).bitwiseXOR(F.lit(128).cast("long"))).otherwise(F.lit(0).cast("long"))
     return number.cast("long") * 256 + part
 
