@@ -16,6 +16,7 @@ rows and null ids are scored like others. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -195,15 +196,30 @@ def _within(n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, *, key: str, text: str, label: str, most: int) -> list:
-    """At most `most` labelled texts of the rows to learn from, in a fixed order.
-
-    The bound is on rows alone: the driver's memory grows with their characters.
-    """
+def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, *, key: str, text: str, label: str, most: int) -> DataFrame:
+    """At most `most` labelled texts (text, toxic) of the rows to learn from, in a fixed order."""
     told = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("told")).agg(F.max(label).cast("int").alias("toxic"))
     chosen = told.where(learn_from).orderBy(F.xxhash64("told"), "told").limit(most)
     rows = docs.select(F.col(key).alias("told"), whole_text(text).alias("text")).join(F.broadcast(chosen), "told")  # `most` rows
-    return rows.orderBy(F.xxhash64("told"), "told", "text").limit(most).collect()
+    return rows.orderBy(F.xxhash64("told"), "told", "text").limit(most).select("text", "toxic")
+
+
+def trained(rows: DataFrame, **model) -> SubwordBags:
+    """The model of the rows (text, toxic), in their order, fitted in one task; no text comes to the driver.
+
+    The bound is on rows alone: the task's memory grows with their characters.
+    """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if parts:
+            all_ = pa.Table.from_batches(parts)
+            texts, toxic = all_.column(0).cast(pa.large_string()).combine_chunks(), all_.column(1).to_numpy()
+            bags = SubwordBags(**model).fit(texts, toxic)
+            yield pa.record_batch([pa.array([pickle.dumps(bags)], pa.binary())], ["model"])
+
+    found = rows.coalesce(1).mapInArrow(fit, "model binary").collect()  # one row of a fixed size, or none without labelled rows
+    return pickle.loads(bytes(found[0]["model"])) if found else SubwordBags(**model)
 
 
 def score(
@@ -212,8 +228,7 @@ def score(
 ) -> DataFrame:
     """The documents with `score` and `predicted`. `learn_from` is a condition on `told`, the labelled id."""
     rows = training_rows(docs, labels, learn_from if learn_from is not None else F.lit(True), key=key, text=text, label=label, most=most)
-    bags = SubwordBags(**model).fit(pa.array([r["text"] for r in rows], pa.string()), np.array([r["toxic"] for r in rows], int))
-    shared = docs.sparkSession.sparkContext.broadcast(bags)  # a fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(trained(rows, **model))  # a fixed size
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     place = names.index(text)
 
