@@ -18,7 +18,7 @@ ids only has a null id. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -181,8 +181,8 @@ def _parities(percent: int) -> str:
     return f"{100 + percent} * ({apart}) <= {100 - percent} * (a_n + b_n)"
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that reach the similarity."""
+def verified(pairs: DataFrame, reps: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that reach the similarity; `sets` gives the whole sets (k1, k2, grams) of those wanted."""
     side = lambda s: reps.select(F.col("u").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("k1", "k2")])
     known = pairs.join(side("a"), "a").join(side("b"), "b")
     known = kept(known.select("a", "b", "a_k1", "a_k2", "b_k1", "b_k2"))
@@ -193,7 +193,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, n: i
     # each pair asks for its two sets, so that the sets travel once
     end = lambda s: F.struct(F.col(f"{s}_k1").alias("k1"), F.col(f"{s}_k2").alias("k2"), F.lit(s).alias("side"))
     ends = known.select("a", "b", F.explode(F.array(end("a"), end("b"))).alias("e")).select("a", "b", "e.*")
-    told = ends.join(whole_sets(docs, text, n, wanted), ["k1", "k2"])
+    told = ends.join(sets(wanted), ["k1", "k2"])
     of = lambda s: F.max(F.when(F.col("side") == s, F.col("grams"))).alias(f"{s}_grams")
     both = told.groupBy("a", "b").agg(of("a"), of("b"))
 
@@ -226,6 +226,38 @@ def classes(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """(u, n, at, g): the first grams of the sets (u, n, grams), rare first by their exact counts over these sets.
+
+    A gram of one set alone stands first and meets nothing; a set whose prefix holds no other gram is gone.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for u, n, data in zip(b.column(0), b.column(1), b.column(2)):
+                g = pa.array(np.frombuffer(data.as_buffer(), np.int64))
+                yield pa.record_batch([pa.repeat(u, len(g)), pa.repeat(n, len(g)), g], ["u", "n", "g"])
+
+    grams = sets.select("u", "n", "grams").mapInArrow(each, "u long, n int, g long")
+    common = grams.withColumn("many", F.count("*").over(Window.partitionBy("g"))).where("many > 1")
+    whole = Window.partitionBy("u")
+    placed = common.withColumn("alone", F.col("n") - F.count("*").over(whole))
+    at = F.col("alone") + F.row_number().over(whole.orderBy("many", "g")) - 1
+    lead = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    return placed.withColumn("at", at.cast("int")).where(F.col("at") < lead).select("u", "n", "at", "g")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members (g, c, ..) of lists that hold more than one class."""
+    return members.join(members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g"), "g")
+
+
+def _with_class(listed: DataFrame, label: DataFrame | None) -> DataFrame:
+    if label is None:
+        return listed.withColumn("c", F.col("u"))
+    return listed.join(label, "u", "left").withColumn("c", F.coalesce("root", "u")).drop("root")
+
+
 def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, stars: int) -> tuple[DataFrame, DataFrame]:
     """The rows' profiles, and per set (k1, k2): `root` of its class, smallest id and number of copies."""
     rows = written(profiles(docs, doc_id, text, n, percent, gram_counts(docs, text, n)).withColumn("u", F.monotonically_increasing_id()), "profiles")
@@ -235,27 +267,41 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
     shared = listed.groupBy("g").agg(F.count("*").alias("many")).where("many > 1").select("g")
     listed = kept(listed.join(shared, "g"))
     filters = f"{_reaches('a_n', 'b_n', percent)} AND {_positions(percent)} AND {_parities(percent)}"
-    edges, label = None, None
-    for turn in range(stars + 1):
-        members = listed.withColumn("c", F.col("u")) if label is None else listed.join(label, "u", "left").withColumn("c", F.coalesce("root", "u")).drop("root")
-        if turn < stars:
-            # the pivots are the smallest set, then one by hash
-            first = F.struct("n", "u", "at", "c", *PARITY) if not turn else F.struct(F.xxhash64("u"), "n", "u", "at", "c", *PARITY)
-            pivot = members.groupBy("g").agg(F.min(first).alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-            met = members.join(pivot.select("g", "p"), "g").where("c <> p.c").select(
-                F.least("u", "p.u").alias("a"), F.greatest("u", "p.u").alias("b"), F.col("n").alias("a_n"), F.col("at").alias("a_at"),
-                F.col("p.n").alias("b_n"), F.col("p.at").alias("b_at"), *[F.col(f"{f}{x}").alias(f"{t}_{x}") for f, t in (("", "a"), ("p.", "b")) for x in PARITY],
-            )
-        else:
-            open_ = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
-            left = kept(members.join(open_, "g"))
-            x, y = (left.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
-            near = F.expr(f"a_u < b_u AND a_c <> b_c AND {filters}")
-            met = x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b"))
-        pairs = (met.where(filters) if turn < stars else met).select("a", "b").distinct()
-        found = verified(pairs, reps, docs, text, n, percent)
-        edges = kept(found if edges is None else edges.unionByName(found))
-        label = kept(classes(edges))
+    from_texts = lambda wanted: whole_sets(docs, text, n, wanted)
+    label = None
+
+    def linked(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+        """(u, root) by the links so far, as stars, and by those of the pairs that hold."""
+        found = kept(verified(pairs.select("a", "b").distinct(), reps, sets, percent))
+        if found.isEmpty():
+            return label
+        return kept(classes(found if label is None else found.unionByName(label.select(F.col("u").alias("a"), F.col("root").alias("b")))))
+
+    for turn in range(stars):
+        members = _with_class(listed, label)
+        # the pivots are the smallest set, then one by hash
+        first = F.struct("n", "u", "at", "c", *PARITY) if not turn else F.struct(F.xxhash64("u"), "n", "u", "at", "c", *PARITY)
+        pivot = members.groupBy("g").agg(F.min(first).alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+        met = members.join(pivot.select("g", "p"), "g").where("c <> p.c").select(
+            F.least("u", "p.u").alias("a"), F.greatest("u", "p.u").alias("b"), F.col("n").alias("a_n"), F.col("at").alias("a_at"),
+            F.col("p.n").alias("b_n"), F.col("p.at").alias("b_at"), *[F.col(f"{f}{x}").alias(f"{t}_{x}") for f, t in (("", "a"), ("p.", "b")) for x in PARITY],
+        )
+        label = linked(met.where(filters), from_texts)
+
+    # Sets that still share a listed gram with another class are counted anew, exactly and each set once: sets that
+    # differ by more than the similarity allows hold enough grams of their own to list no other, in groups of any size.
+    still = _open(_with_class(listed, label)).select("u").distinct()
+    wanted = kept(reps.select("u", "n", "k1", "k2", *PARITY).join(still, "u", "left_semi"))
+    if not wanted.isEmpty():
+        sets = written(from_texts(wanted.select("k1", "k2")).join(wanted, ["k1", "k2"]).select("k1", "k2", "u", "n", "grams"), "sets")
+        again = rare_first(sets, percent).join(wanted.select("u", *PARITY), "u")
+        left = kept(_open(_with_class(again, label)))
+        x, y = (left.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
+        near = F.expr(f"a_u < b_u AND a_c <> b_c AND {filters}")
+        met = x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b"))
+        label = linked(met, lambda wanted: sets.select("k1", "k2", "grams").join(wanted, ["k1", "k2"], "left_semi"))
+    if label is None:
+        return rows, kept(same.withColumn("root", F.col("u")))
     return rows, kept(same.join(label, "u", "left").withColumn("root", F.coalesce("root", "u")))
 
 

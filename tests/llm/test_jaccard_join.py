@@ -1,8 +1,12 @@
 """The join against all pairs of sets."""
 
 import random
+from collections import Counter
 
-from obslake.llm.jaccard_join import join_classes
+import numpy as np
+import pytest
+from obslake.llm import jaccard_join
+from obslake.llm.jaccard_join import join_classes, rare_first
 
 
 def shingles(text, n):
@@ -67,3 +71,39 @@ def test_documents(docs):
 def test_odd_rows(odd_docs, no_docs):
     check(odd_docs.withColumn("u", odd_docs.doc_id).withColumn("k1", odd_docs.lang), 4, 85)
     assert join_classes(no_docs).count() == 0
+
+
+def test_rare_first(spark):
+    """Exact counts, each set once; grams of one set alone push the others back and are not listed."""
+    rng = random.Random(5)
+    sets = {u: sorted(rng.sample(range(-40, 60), rng.randrange(1, 30))) for u in range(30)}
+    df = spark.createDataFrame([(u, len(s), np.array(s, np.int64).tobytes()) for u, s in sets.items()], "u long, n int, grams binary")
+    got = {(r["u"], r["at"], r["g"]) for r in rare_first(df, 80).collect()}
+    many = Counter(g for s in sets.values() for g in s)
+    want = set()
+    for u, s in sets.items():
+        lead = len(s) - -(-80 * len(s) // 100) + 1
+        want |= {(u, at, g) for at, g in enumerate(sorted(s, key=lambda g: (many[g] > 1, many[g], g))[:lead]) if many[g] > 1}
+    assert got == want
+
+
+@pytest.mark.parametrize("size", [40, 160])
+def test_group_below_the_similarity(spark, size):
+    """Texts of one source that differ by too much list none of each other's grams, whatever the group's size."""
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base = [word() for _ in range(300)]
+    texts = [[word() if rng.random() < 0.07 else w for w in base] for _ in range(size)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    check(df, 4, 85)
+    grams = [sorted(hash(g) for g in shingles(" ".join(t), 4)) for t in texts]
+    sets = spark.createDataFrame([(i, len(g), np.array(g, np.int64).tobytes()) for i, g in enumerate(grams)], "u long, n int, grams binary")
+    assert rare_first(sets, 85).groupBy("g").count().selectExpr("coalesce(sum(count * (count - 1)), 0)").first()[0] <= 4 * size
+
+
+def test_overloaded_counters(spark, docs, monkeypatch):
+    """With so few counters that each holds thousands of grams the classes are the same."""
+    monkeypatch.setattr(jaccard_join, "COUNTERS", 64)
+    monkeypatch.setattr(jaccard_join, "COUNTER_BLOCK", 8)
+    extra = spark.createDataFrame([(100_000 + i, t) for i, t in near_copies()], "doc_id long, text string")
+    check(docs.select("doc_id", "text").unionByName(extra), 4, 85)
