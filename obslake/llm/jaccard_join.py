@@ -30,6 +30,8 @@ from .common import kept, scramble, slices, text_buffers, word_hashes, written
 
 ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 12
+#: Lists of up to so many members give all their pairs.
+SHORT = 16
 #: Ranges of the suffix filter, 64 to a number.
 RANGES, PARITY = 256, ["s0", "s1", "s2", "s3"]
 
@@ -248,8 +250,27 @@ def rare_first(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open(members: DataFrame) -> DataFrame:
-    """The members (g, c, ..) of lists that hold more than one class."""
-    return members.join(members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g"), "g")
+    """The members (g, c, ..) of lists that hold more than one class, and how `long` their lists are."""
+    lists = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("long"))
+    return members.join(lists.where("low < high").select("g", "long"), "g")
+
+
+def _pairs(members: DataFrame, filters: str) -> DataFrame:
+    """Pairs (a, b) of members of one list, of different classes, that pass the filters."""
+    x, y = (members.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
+    near = F.expr(f"a_u < b_u AND a_c <> b_c AND {filters}")
+    return x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b")).distinct()
+
+
+def _with_near_size(members: DataFrame, percent: int) -> DataFrame:
+    """Members of a list that has another class among sizes that can reach the similarity.
+
+    Sizes fall into classes as wide as the length filter, so that partners are of one or of neighbouring classes.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) * 1.000001))
+    cells = members.select("g", "u", "c", F.explode(F.array(step, step + 1)).alias("cell"))
+    mixed = cells.groupBy("g", "cell").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    return cells.join(mixed.select("g", "cell"), ["g", "cell"]).select("u").distinct()
 
 
 def _with_class(listed: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -288,17 +309,19 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
         )
         label = linked(met.where(filters), from_texts)
 
-    # Sets that still share a listed gram with another class are counted anew, exactly and each set once: sets that
-    # differ by more than the similarity allows hold enough grams of their own to list no other, in groups of any size.
-    still = _open(_with_class(listed, label)).select("u").distinct()
-    wanted = kept(reps.select("u", "n", "k1", "k2", *PARITY).join(still, "u", "left_semi"))
+    # Short lists give all their pairs, which are a few for each member. Members of longer lists are counted anew,
+    # exactly and each set once: sets that differ by more than the similarity allows hold enough grams of their own to
+    # list no other, in groups of any size.
+    left = kept(_open(_with_class(listed, label)))
+    few = kept(_pairs(left.where(F.col("long") <= SHORT), filters))
+    anew = _with_near_size(left.where(F.col("long") > SHORT), percent).withColumn("anew", F.lit(True))
+    ends = few.select(F.explode(F.array("a", "b")).alias("u")).distinct().withColumn("anew", F.lit(False))
+    asked = anew.unionByName(ends).groupBy("u").agg(F.max("anew").alias("anew"))
+    wanted = kept(reps.select("u", "n", "k1", "k2", *PARITY).join(asked, "u"))
     if not wanted.isEmpty():
-        sets = written(from_texts(wanted.select("k1", "k2")).join(wanted, ["k1", "k2"]).select("k1", "k2", "u", "n", "grams"), "sets")
-        again = rare_first(sets, percent).join(wanted.select("u", *PARITY), "u")
-        left = kept(_open(_with_class(again, label)))
-        x, y = (left.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
-        near = F.expr(f"a_u < b_u AND a_c <> b_c AND {filters}")
-        met = x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b"))
+        sets = written(from_texts(wanted.select("k1", "k2")).join(wanted.drop(*PARITY), ["k1", "k2"]), "sets")
+        again = rare_first(sets.where("anew"), percent).join(wanted.select("u", *PARITY), "u")
+        met = few.unionByName(_pairs(kept(_open(_with_class(again, label))), filters))
         label = linked(met, lambda wanted: sets.select("k1", "k2", "grams").join(wanted, ["k1", "k2"], "left_semi"))
     if label is None:
         return rows, kept(same.withColumn("root", F.col("u")))

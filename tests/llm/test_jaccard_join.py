@@ -102,7 +102,8 @@ def test_group_below_the_similarity(spark, size):
 
 
 def test_overloaded_counters(spark, docs, monkeypatch):
-    """With so few counters that each holds thousands of grams the classes are the same."""
+    """With so few counters that each holds thousands of grams, and with long lists alone, the classes are the same."""
+    monkeypatch.setattr(jaccard_join, "SHORT", 2)
     monkeypatch.setattr(jaccard_join, "COUNTERS", 64)
     monkeypatch.setattr(jaccard_join, "COUNTER_BLOCK", 8)
     extra = spark.createDataFrame([(100_000 + i, t) for i, t in near_copies()], "doc_id long, text string")
