@@ -8,7 +8,8 @@ lower bound of the sets' difference. What remains is verified once per pair on t
 
 Texts with equal sets are one from the start. Links are found in rounds, so that a large group of near copies is never
 expanded into all its pairs: first every text of a gram's list meets one pivot of the list, twice with other pivots;
-in the last round texts that are still in different classes meet. Pairs inside a class need no test: they cannot change
+in the last round texts that are still in different classes meet: all of a short list, and of long lists those that
+still share a prefix once the grams of these texts are counted exactly. Pairs inside a class need no test: they cannot change
 it. So the classes are exact.
 
 Null, empty and blank texts have an empty set and are linked with nothing; with fewer words than a gram, the whole
