@@ -96,16 +96,16 @@ def _below(cuts: list, c: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= len(cuts)) & (F.get(at, n + s - 1) < c), n + s).otherwise(n))
 
 
-def _ranges(keyed: DataFrame, n: int) -> Column:
-    """A non-decreasing number for (id, hash): ranges of ids; ids that fill one are dealt out by the hash."""
-    cuts = keyed.agg(F.percentile_approx("id", [(i + 1) / n for i in range(n - 1)], 10 * n).alias("q")).head()["q"] or []
+def _ranges(docs: DataFrame, key: Column, h: Column, n: int) -> Column:
+    """A non-decreasing number, never null, for (id, hash): ranges of ids; ids that fill one are dealt out by the hash."""
+    cuts = docs.agg(F.percentile_approx(key, [(i + 1) / n for i in range(n - 1)], 10 * n).alias("q")).head()["q"] or []
     at = sorted(set(cuts))
     full = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
-    alone = F.col("id").isin(full) if full else F.lit(False)
+    alone = key.isin(full) if full else F.lit(False)
     # a full id is a range of its own, behind the smaller ids and before the larger ones
-    number = F.when(F.col("id").isNull(), F.lit(2 * n + 2)).otherwise(2 * _below(at, F.col("id")) + _below(full, F.col("id")))
-    part = F.when(alone | F.col("id").isNull(), F.shiftrightunsigned("h", 56).bitwiseXOR(F.lit(128).cast("long"))).otherwise(F.lit(0).cast("long"))
-    return number.cast("long") * 256 + part
+    number = F.when(key.isNull(), F.lit(2 * n + 2)).otherwise(2 * _below(at, key) + _below(full, key))
+    part = F.when(alone | key.isNull(), F.shiftrightunsigned(h, 56).bitwiseXOR(F.lit(128).cast("long"))).otherwise(F.lit(0).cast("long"))
+    return F.coalesce(number.cast("long") * 256 + part, F.lit(0).cast("long"))
 
 
 def in_order(docs: DataFrame, *, doc_id: str, text: str, n_ranges: int) -> DataFrame:
@@ -113,8 +113,11 @@ def in_order(docs: DataFrame, *, doc_id: str, text: str, n_ranges: int) -> DataF
 
     Rows are partitioned by `range` and ordered in it by `at`; the last row of a range is the next range's first again.
     """
-    keyed = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("text")).withColumn("h", F.xxhash64("text"))
-    keyed = keyed.withColumn("range", _ranges(keyed, n_ranges))
+    # one projection, without nulls in the range: the optimizer may merge several, or a test for null and one of them, in
+    # one reader of the ordered rows and not in the other, and then both shuffle the texts
+    whole = whole_text(text)
+    h = F.xxhash64(whole)
+    keyed = docs.select(_ranges(docs, F.col(doc_id), h, n_ranges).alias("range"), F.col(doc_id).alias("id"), whole.alias("text"), h.alias("h"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     heads = keyed.groupBy("range").agg(F.min(order).alias("head"))
     # one narrow row a range

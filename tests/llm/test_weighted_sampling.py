@@ -112,3 +112,10 @@ def test_equal_texts_empty_texts_and_tables(spark, odd_docs, no_docs, sf_dir):
     assert ws.fingerprints(no_docs, n=8).count() == 0
     q = op11_weighted_sampling(spark, sf_dir)
     assert q.columns == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+@pytest.mark.parametrize("n_ranges", [7, 800])
+def test_texts_are_shuffled_once(docs, n_ranges):
+    out = ws.fingerprints(docs, n=4, n_ranges=n_ranges)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
