@@ -6,11 +6,13 @@ those alone. A candidate must then pass the length filter, the positional filter
 suffices) and the suffix filter: grams fall into ranges of the hash, and the ranges whose counts differ in parity are a
 lower bound of the sets' difference. What remains is verified once per pair on the whole sets.
 
-Texts with equal sets are one from the start. Links are found in rounds, so that a large group of near copies is never
-expanded into all its pairs: first every text of a gram's list meets one pivot of the list, twice with other pivots;
-in the last round texts that are still in different classes meet: all of a short list, and of long lists those that
-still share a prefix once the grams of these texts are counted exactly. Pairs inside a class need no test: they cannot change
-it. So the classes are exact.
+Texts with equal sets are one from the start. Of lists with the same members only the first is kept, as it holds the
+first gram that a pair of them shares: near copies share many grams, but stand in few lists. Links are found in rounds,
+so that a large group of near copies is never expanded into all its pairs: first every text of a gram's list meets one
+pivot of the list, then all in a small cell of it, which is the whole of a short list; each list deals its cells anew, so
+that texts with many lists meet many others. In the last round texts of long lists that are still in different classes
+meet if they still share a prefix once the grams of these texts are counted exactly. Pairs inside a class need no test:
+they cannot change it. So the classes are exact.
 
 Null, empty and blank texts have an empty set and are linked with nothing; with fewer words than a gram, the whole
 sequence is one gram. Repeated rows are copies. A null id is no candidate for a class's smallest id; a class with null
@@ -31,7 +33,7 @@ from .common import kept, scramble, slices, text_buffers, word_hashes, written
 
 ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 12
-#: Lists of up to so many members give all their pairs.
+#: Members of a cell: lists of up to so many give all their pairs at once.
 SHORT = 16
 #: Ranges of the suffix filter, 64 to a number.
 RANGES, PARITY = 256, ["s0", "s1", "s2", "s3"]
@@ -250,17 +252,28 @@ def rare_first(sets: DataFrame, percent: int) -> DataFrame:
     return placed.withColumn("at", at.cast("int")).where(F.col("at") < lead).select("u", "n", "at", "g")
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """The members (g, c, ..) of lists that hold more than one class, and how `long` their lists are."""
-    lists = members.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("long"))
-    return members.join(lists.where("low < high").select("g", "long"), "g")
+def once_each(listed: DataFrame) -> DataFrame:
+    """(g, many): of the lists (u, at, g) with the same members, two at least, the first one, and the number of members.
+
+    Grams have one order in all sets, so that of two such lists every member has the one before the other.
+    """
+    lists = listed.groupBy("g").agg(
+        F.count("*").alias("many"), F.min("u").alias("low"), F.max("u").alias("high"), F.bit_xor(F.xxhash64("u")).alias("mark"), F.sum("at").alias("depth")
+    )
+    first = lists.where("many > 1").groupBy("many", "low", "high", "mark").agg(F.min(F.struct("depth", "g")).alias("f"))
+    return first.select(F.col("f.g").alias("g"), "many")
+
+
+def _open(members: DataFrame, by: list[str]) -> DataFrame:
+    """The members (by, c, ..) of lists or cells that hold more than one class."""
+    lists = members.groupBy(*by).agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    return members.join(lists.where("low < high").select(*by), by)
 
 
-def _pairs(members: DataFrame, filters: str) -> DataFrame:
-    """Pairs (a, b) of members of one list, of different classes, that pass the filters."""
-    x, y = (members.select("g", *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
-    near = F.expr(f"a_u < b_u AND a_c <> b_c AND {filters}")
-    return x.join(y, (x["g"] == y["g"]) & near).select(F.col("a_u").alias("a"), F.col("b_u").alias("b")).distinct()
+def _pairs(members: DataFrame, filters: str, by: list[str]) -> DataFrame:
+    """Pairs (a, b) of members of one list or cell, of different classes, that pass the filters."""
+    x, y = (members.select(*by, *[F.col(c).alias(f"{s}_{c}") for c in ("u", "n", "at", "c", *PARITY)]) for s in ("a", "b"))
+    return x.join(y, by).where(f"a_u < b_u AND a_c <> b_c AND {filters}").select(F.col("a_u").alias("a"), F.col("b_u").alias("b")).distinct()
 
 
 def _with_near_size(members: DataFrame, percent: int) -> DataFrame:
@@ -285,9 +298,9 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
     rows = written(profiles(docs, doc_id, text, n, percent, gram_counts(docs, text, n)).withColumn("u", F.monotonically_increasing_id()), "profiles")
     same = kept(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("u").alias("u"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies")))
     reps = rows.join(same.select("u"), "u", "left_semi")
-    listed = reps.select("u", "n", *PARITY, F.posexplode("grams").alias("at", "g"))
-    shared = listed.groupBy("g").agg(F.count("*").alias("many")).where("many > 1").select("g")
-    listed = kept(listed.join(shared, "g"))
+    # narrow rows for all grams; the rest is joined to those that are left
+    listed = reps.select("u", F.posexplode("grams").alias("at", "g"))
+    listed = kept(listed.join(once_each(listed), "g").join(reps.select("u", "n", *PARITY), "u"))
     filters = f"{_reaches('a_n', 'b_n', percent)} AND {_positions(percent)} AND {_parities(percent)}"
     from_texts = lambda wanted: whole_sets(docs, text, n, wanted)
     label = None
@@ -301,8 +314,12 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
 
     for turn in range(stars):
         members = _with_class(listed, label)
-        # the pivots are the smallest set, then one by hash
-        first = F.struct("n", "u", "at", "c", *PARITY) if not turn else F.struct(F.xxhash64("u"), "n", "u", "at", "c", *PARITY)
+        if turn:
+            cell = F.pmod(F.xxhash64("u", "g", F.lit(turn)), F.ceil(F.col("many") / SHORT))
+            label = linked(_pairs(kept(_open(members.withColumn("cell", cell), ["g", "cell"])), filters, ["g", "cell"]), from_texts)
+            continue
+        # the pivot is the smallest set
+        first = F.struct("n", "u", "at", "c", *PARITY)
         pivot = members.groupBy("g").agg(F.min(first).alias("p"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
         met = members.join(pivot.select("g", "p"), "g").where("c <> p.c").select(
             F.least("u", "p.u").alias("a"), F.greatest("u", "p.u").alias("b"), F.col("n").alias("a_n"), F.col("at").alias("a_at"),
@@ -310,19 +327,15 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
         )
         label = linked(met.where(filters), from_texts)
 
-    # Short lists give all their pairs, which are a few for each member. Members of longer lists are counted anew,
-    # exactly and each set once: sets that differ by more than the similarity allows hold enough grams of their own to
-    # list no other, in groups of any size.
-    left = kept(_open(_with_class(listed, label)))
-    few = kept(_pairs(left.where(F.col("long") <= SHORT), filters))
-    anew = _with_near_size(left.where(F.col("long") > SHORT), percent).withColumn("anew", F.lit(True))
-    ends = few.select(F.explode(F.array("a", "b")).alias("u")).distinct().withColumn("anew", F.lit(False))
-    asked = anew.unionByName(ends).groupBy("u").agg(F.max("anew").alias("anew"))
-    wanted = kept(reps.select("u", "n", "k1", "k2", *PARITY).join(asked, "u"))
+    # Short lists have met as a whole. Members of longer lists are counted anew, exactly and each set once: sets that
+    # differ by more than the similarity allows hold enough grams of their own to list no other, in groups of any size.
+    left = kept(_open(_with_class(listed.where(F.col("many") > SHORT) if stars > 1 else listed, label), ["g"]))
+    wanted = kept(reps.select("u", "n", "k1", "k2", *PARITY).join(_with_near_size(left, percent), "u"))
     if not wanted.isEmpty():
         sets = written(from_texts(wanted.select("k1", "k2")).join(wanted.drop(*PARITY), ["k1", "k2"]), "sets")
-        again = rare_first(sets.where("anew"), percent).join(wanted.select("u", *PARITY), "u")
-        met = few.unionByName(_pairs(kept(_open(_with_class(again, label))), filters))
+        again = kept(rare_first(sets, percent))
+        again = again.join(once_each(again), "g").join(wanted.select("u", *PARITY), "u")
+        met = _pairs(kept(_open(_with_class(again, label), ["g"])), filters, ["g"])
         label = linked(met, lambda wanted: sets.select("k1", "k2", "grams").join(wanted, ["k1", "k2"], "left_semi"))
     if label is None:
         return rows, kept(same.withColumn("root", F.col("u")))

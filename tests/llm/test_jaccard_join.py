@@ -108,3 +108,9 @@ def test_overloaded_counters(spark, docs, monkeypatch):
     monkeypatch.setattr(jaccard_join, "COUNTER_BLOCK", 8)
     extra = spark.createDataFrame([(100_000 + i, t) for i, t in near_copies()], "doc_id long, text string")
     check(docs.select("doc_id", "text").unionByName(extra), 4, 85)
+
+
+def test_lists_with_the_same_members_count_once(spark):
+    rows = [(1, 0, 10), (2, 1, 10), (1, 2, 11), (2, 2, 11), (1, 3, 12), (2, 3, 12), (3, 0, 12), (3, 1, 13)]
+    got = jaccard_join.once_each(spark.createDataFrame(rows, "u long, at int, g long")).collect()
+    assert {tuple(r) for r in got} == {(10, 2), (12, 3)}
