@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Unicode white space spelled out, one by one where it is Latin-1: Java's \s is ASCII only,
@@ -39,6 +40,16 @@ def text_norm(c: Column) -> Column:
     return F.replace(F.regexp_replace(c, f"[{WS_CLASS},，]+", ""), F.lit("％"), F.lit("%"))
 
 
+def counted_parts(df: DataFrame, keep: Sequence[str], parts: Column, name: str) -> DataFrame:
+    """One row for each distinct element of a row's array, with `n`, how often it is there: no shuffle, no hash table."""
+    row = df.select(*keep, F.sort_array(parts).alias("_parts"))
+    first = lambda x, i: (i == 0) | (x != F.get("_parts", i - 1))
+    at = F.filter(F.transform("_parts", lambda x, i: F.when(first(x, i), i)), lambda i: i.isNotNull())
+    end = lambda k: F.coalesce(F.get("_at", k + 1), F.size("_parts"))
+    runs = F.transform("_at", lambda i, k: F.struct(F.get("_parts", i).alias(name), (end(k) - i).cast("long").alias("n")))
+    return row.withColumn("_at", at).select(*keep, F.explode(runs).alias("_r")).select(*keep, "_r.*")
+
+
 def printed_core(printed: Column) -> Column:
     """The digits of a printed value: no bound or sign in front, no currency unit behind."""
     s = F.regexp_replace(F.regexp_replace(printed, "–", "-"), r"^[<>≈約\-—]+", "")

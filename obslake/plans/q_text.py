@@ -317,11 +317,14 @@ SELECT doc_id, token, count(*) AS n,
 
 @query("parse_number", PARSE_SQL)
 def parse_number(t):
-    tok = t.documents.select("doc_id", F.explode(F.split("text", " ")).alias("token"))
-    return (
-        tok.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("value", num.parse_number(F.col("token")).cast("double"))
-    )
+    """Words are counted within their row; only rows that share their id meet in a shuffle of words."""
+    docs = t.documents.select("doc_id", "text")
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("doc_id").alias("shared_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("shared_id"))
+    alone = tx.counted_parts(docs.join(shared, same, "left_anti"), ["doc_id"], F.split("text", " "), "token")
+    several = tx.counted_parts(docs.join(shared, same, "left_semi"), ["doc_id"], F.split("text", " "), "token")
+    n = alone.unionByName(several.groupBy("doc_id", "token").agg(F.sum("n").alias("n")))
+    return n.withColumn("value", num.parse_number(F.col("token")).cast("double"))
 
 
 @query(

@@ -163,3 +163,31 @@ def test_full_width_figures_keep_their_column(spark):
     df = spark.createDataFrame([(["項目", "１２３", "－４，５６７．８", "-", "9"],)], "r array<string>")
     got = df.select(nb.numeric_cells(F.col("r")).alias("n")).head()["n"]
     assert [None if x is None else float(x) for x in got] == [123.0, -4567.8, None, 9.0]
+
+
+@pytest.mark.parametrize("cell,expected", [("1e3", 1000), ("(負2.5)", D("-2.5")), ("٣", 3), ("+7", 7), (".5", D("0.5")), ("12x", None), ("e", None), ("1-2", None), (None, None), ("負", None), ("1:2", None)])
+def test_parse_number_of_odd_cells(spark, cell, expected):
+    got = one(spark, cell, num.parse_number)
+    assert got == (None if expected is None else D(expected))
+
+
+def test_words_are_told_before_they_are_cast(spark):
+    df = spark.createDataFrame([("word",)], "x string").select(num.parse_number(F.col("x")).alias("y"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and plan.index("RLIKE") < plan.index("try_cast" if "try_cast" in plan else "cast(")
+
+
+def test_words_counted_within_rows(spark):
+    import types
+    from collections import Counter
+
+    from obslake.plans.q_text import parse_number
+
+    rows = [(1, "b a b  12 "), (2, ""), (3, None), (4, "(1,2) (1,2)"), (4, "x (1,2)"), (None, "7 y"), (None, "y"), (5, "\n x \n")]
+    out = parse_number(types.SimpleNamespace(documents=spark.createDataFrame(rows, "doc_id long, text string")))
+    expected = Counter((i, w) for i, t in rows if t is not None for w in t.split(" "))
+    assert {(r["doc_id"], r["token"]): r["n"] for r in out.collect()} == expected and out.count() == len(expected)
+    assert {r["token"]: r["value"] for r in out.collect() if r["value"] is not None} == {"12": 12.0, "(1,2)": -12.0, "7": 7.0}
+    # words of rows with ids of their own meet in no shuffle
+    counted = tx.counted_parts(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], F.split("text", " "), "token")
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
