@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_dir
+from ..session import ensure_checkpoint_dir, written  # noqa: F401 (operators take it from here)
 
 #: The white space of the word rule `[^\x20\x09-\x0D]+`.
 SPACES = "\t\n\x0b\x0c\r "
@@ -24,13 +24,6 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a compressed table in the shared folder, reread: for what is too wide for a checkpoint."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def whole_text(text: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

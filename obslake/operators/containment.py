@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import literal_in_text, text_norm
+from ..session import written
 
 #: (width, window) of fragments by length of value: from 15 code points, from 7, and shorter ones whole.
 TIERS = ((8, 8), (4, 4))
@@ -95,7 +96,9 @@ def _proposed(grams: DataFrame, anchors: DataFrame) -> DataFrame:
     Only fingerprints of items survive the first join, and each item keeps the one found in the fewest texts, so a
     passage copied into many texts proposes pairs only for items that have nothing rarer.
     """
-    frequency = grams.join(anchors.select("gram").distinct(), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    # every text is read, normalised and fingerprinted once: what it shares with items is written and read twice
+    grams = written(grams.join(anchors.select("gram").distinct(), "gram"), "containment-grams")
+    frequency = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     many = anchors.groupBy("item").agg(F.count(F.lit(1)).alias("of"))
     rarest = (
         anchors.join(frequency, "gram")
@@ -127,11 +130,13 @@ def candidate_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def containment_pairs(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, value: str) -> DataFrame:
     """All (doc_id, item_id) where the normalised value occurs in the normalised text."""
+    raw = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     # never null, so that no null test on the costly normal form is pushed into the scan
-    d = docs.select(F.col(doc_id).alias("doc"), F.coalesce(text_norm(F.col(text)), F.lit("")).alias("t"))
+    d = raw.select("doc", F.coalesce(text_norm(F.col("text")), F.lit("")).alias("t"))
     i = items.select(F.col(item_id).alias("item"), text_norm(F.col(value)).alias("v")).filter("v != ''")
-    both = candidate_pairs(d, i).join(d, "doc").join(i, "item")
-    found = both.filter(F.contains(F.col("t"), F.col("v")))
+    # of the texts only those of a pair travel, as they are: few pairs are sent to the texts, not the texts to them
+    both = written(candidate_pairs(d, i), "containment-pairs").join(raw, "doc").join(i, "item")
+    found = both.filter(F.contains(text_norm(F.col("text")), F.col("v")))
     return found.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id)).distinct()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if not spark.sparkContext.getCheckpointDir():
         base = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(base or scratch_dir(spark, "checkpoint"))
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a compressed table in the shared folder, reread: for what is too wide for a checkpoint or read twice.
+
+    Its true size is known to the plans that read it.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -329,6 +329,24 @@ def test_values_with_one_head_propose_about_as_many_pairs_as_they_have_hits(spar
     assert own.subtract(same).count() == 0 and own.count() > 1
 
 
+def test_texts_are_fingerprinted_once_and_do_not_travel(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(x):
+        seen.add(1)
+        return x
+
+    text = F.udf(watched, "string").asNondeterministic()
+    texts = spark.createDataFrame([(i, f"text number {i} with a passage of its own") for i in range(40)] + [(None, "x"), (50, None)], "doc int, t string")
+    docs = texts.select("doc", text("t").alias("t"))
+    items = spark.createDataFrame([(i, f"text number {i} with a passage") for i in range(10)], "item int, v string")
+    grams = containment.candidate_pairs(docs.select("doc", F.coalesce("t", F.lit("")).alias("t")), items)
+    assert seen.value == 42  # candidates are known, and each text has been read once
+    assert sorted(map(tuple, grams.collect())) == [(i, i) for i in range(10)] and seen.value == 42
+    got = containment.containment_pairs(texts, "doc", "t", items, "item", "v")
+    assert rows(got, "doc", "item") == [(i, i) for i in range(10)]
+
+
 def test_no_values_and_no_texts(spark):
     docs, items = spark.createDataFrame([(1, "abc")], "doc int, t string"), spark.createDataFrame([(1, "b")], "item int, v string")
     assert containment.containment_pairs(docs, "doc", "t", items.filter("false"), "item", "v").count() == 0
