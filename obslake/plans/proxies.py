@@ -1,8 +1,9 @@
 """Period series, channels and panels derived from the sales tables.
 
 Each view comes with the SQL of the same view for the reference queries.
-Facts are aggregated on their own keys before they meet a dimension, so a key
-with very many facts reaches the join as a few rows.
+Facts are aggregated on their own keys before they meet a dimension where a key
+has many facts, so that it reaches the join as a few rows; line items of the
+panel, few to a supplier and month, meet their nation first.
 """
 
 from __future__ import annotations
@@ -144,22 +145,25 @@ def panel(t: Tables) -> DataFrame:
     }
     basis = F.when(filled, F.lit("disclosed")).otherwise(F.lit("estimated"))
     flags = ("A", "N", "R")
-    per_supplier = lines.groupBy("l_suppkey", month_start(shipped).alias("obs_month")).agg(
+    # a month has few lines of a supplier, so sums by supplier would be nearly as many as lines: a nation's are few
+    placed = lines.join(
+        t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
+    ).join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
+    per_nation = placed.groupBy(F.col("n_name").alias("entity"), month_start(shipped).alias("obs_month")).agg(
         *[c.cast(AMOUNT).alias(n) for n, c in measures.items()],
         F.max(shipped).alias("vintage"),
         F.max(F.date_add(shipped, F.col("l_linenumber"))).alias("retrieved_at"),
         F.min(basis_rank(basis)).alias("rank"),
         *[F.max(flag == f).alias(f"from_{f}") for f in flags],
     )
-    placed = per_supplier.join(
-        t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")
-    ).join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return placed.groupBy(F.col("n_name").alias("entity"), "obs_month").agg(
-        *[F.sum(n).cast(AMOUNT).alias(n) for n in measures],
-        F.max("vintage").alias("vintage"),
-        F.max("retrieved_at").alias("retrieved_at"),
-        rank_basis(F.min("rank")).alias("basis"),
-        F.concat_ws("; ", *[F.when(F.max(f"from_{f}"), F.lit(f)) for f in flags]).alias("sources"),
+    return per_nation.select(
+        "entity",
+        "obs_month",
+        *measures,
+        "vintage",
+        "retrieved_at",
+        rank_basis(F.col("rank")).alias("basis"),
+        F.concat_ws("; ", *[F.when(F.col(f"from_{f}"), F.lit(f)) for f in flags]).alias("sources"),
     )
 
 

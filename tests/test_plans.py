@@ -393,3 +393,12 @@ def test_cross_market_rows_hold_every_region(spark, tmp_path):
     total = lambda sf: query(spark, str(sf)).agg(F.round(F.sum("value"), 2)).first()[0]
     assert {"OCEANIA", None} <= {r["market"] for r in query(spark, str(tmp_path)).select("market").distinct().collect()}
     assert total(tmp_path) == total("/root/testdata/sf0.001")
+
+
+def test_panel_sums_by_nation_and_not_by_supplier(spark, sf_dir):
+    from obslake.plans.proxies import panel
+    from obslake.sources.landed import Tables
+
+    plan = panel(Tables(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
+    sums = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert len(sums) == 1 and "n_name" in sums[0] and "l_suppkey" not in sums[0].split("]")[0]
