@@ -101,22 +101,23 @@ def confident_patterns(found: DataFrame, *, rounds: int, least_seeds: int, least
     edges = kept(edges.join(enough.select("pattern").distinct(), "pattern", "left_semi"))
     enough = kept(enough)
     learnt = None
-    for _ in range(rounds):
+    for turn in range(rounds):
         scored = edges if learnt is None else edges.join(learnt, "value", "left")
         score = F.when(F.col("seed").isNotNull(), (F.col("seed") == F.col("kind")).cast("double"))
         score = score if learnt is None else F.coalesce(score, F.when(F.col("learnt") == F.col("kind"), F.col("score")))
         shares = scored.join(enough, "pattern").groupBy("pattern", "kind").agg(
             (F.sum(F.col("n") * F.coalesce(score, F.lit(0.0))) / (F.sum("n") + 1)).alias("confidence")
         )
+        if turn == rounds - 1:
+            break  # what the last round would teach the values is not asked for
         trusted = shares.where(F.col("confidence") >= 0.5)
         voted = edges.where("seed IS NULL").join(trusted, "pattern").groupBy("value", F.col("kind").alias("learnt")).agg(
             (1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score")
         )
         best = voted.groupBy("value").agg(F.max(F.struct("score", "learnt")).alias("b"))
         learnt = kept(best.select("value", "b.learnt", "b.score"))
-        shares = kept(shares)
     top = shares.where(F.col("confidence") >= least_confidence).groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("b"))
-    return top.select("pattern", "b.kind", "b.confidence")
+    return kept(top.select("pattern", "b.kind", "b.confidence"))
 
 
 def find(

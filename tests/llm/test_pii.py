@@ -79,3 +79,18 @@ def test_odd(odd_docs, no_docs):
     clash = odd_docs.withColumn("base", F.lit(1)).withColumn("u", F.lit(2)).drop("base")
     assert pii.find(clash).count() == odd_docs.count()
     assert pii.find(no_docs).count() == 0
+
+
+def test_only_what_is_asked_for_is_computed(spark, monkeypatch):
+    """Two tables to start from, what each round but the last teaches, and the patterns in the end."""
+    made, real = [], pii.kept
+    monkeypatch.setattr(pii, "kept", lambda df: made.append(df.columns) or real(df))
+    rows = [(["L mail"], f"a{i}@b.c", "email") for i in range(6)] + [(["L mail"], "x1", None), (["L mail"], "x2", None)]
+    found = spark.createDataFrame(rows, "contexts array<string>, value string, seed string")
+    got = pii.confident_patterns(found, rounds=3, least_seeds=5, least_confidence=0.6).collect()
+    assert [(r["pattern"], r["kind"]) for r in got] == [("L mail", "email")] and len(made) == 5
+    # first 6 of 9; then the two unknown values count as far as the pattern was trusted
+    share = 6 / 9
+    for _ in range(2):
+        share = (6 + 2 * share) / 9
+    assert abs(got[0]["confidence"] - share) < 1e-12
