@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, written  # noqa: F401 (operators take it from here)
+from ..session import ensure_checkpoint_dir, shuffles_freed, written  # noqa: F401 (operators take it from here)
 
 #: The white space of the word rule `[^\x20\x09-\x0D]+`.
 SPACES = "\t\n\x0b\x0c\r "
@@ -21,7 +21,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder: later jobs reread it, lost executors do not matter."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").checkpoint()  # a frame of its own, whose shuffle files nobody else reads
+
+
+def collected(df: DataFrame) -> list[Row]:
+    """The rows of a small frame, which leaves no shuffle files."""
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").collect()
 
 
 def whole_text(text: str | Column) -> Column:
@@ -89,7 +96,8 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets of a text column; null as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_string())
+    column = column.fill_null("") if column.null_count else column  # which would copy all texts
     _, offsets, data = column.buffers()
     off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

@@ -4,7 +4,8 @@ A text's set are the hashes of its word n-grams. Grams are ordered rare first, b
 rows are counted in; texts that reach the similarity share a gram among the first few of each, so candidates meet on
 those alone. A candidate must then pass the length filter, the positional filter (what is left behind the shared gram
 suffices) and the suffix filter: grams fall into ranges of the hash, and the ranges whose counts differ in parity are a
-lower bound of the sets' difference. What remains is verified once per pair on the whole sets.
+lower bound of the sets' difference. What passes meets the same bound once more, over as many ranges as the sets are
+large, and what remains is verified once per pair on the whole sets.
 
 Texts with equal sets are one from the start. Of lists with the same members only the first is kept, as it holds the
 first gram that a pair of them shares: near copies share many grams, but stand in few lists. Links are found in rounds,
@@ -29,14 +30,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import kept, scramble, slices, text_buffers, word_hashes, written
+from .common import collected, kept, scramble, slices, text_buffers, word_hashes, written
 
 ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 12
+#: Bytes of text that a task looks at at once: hashing takes about sixty times as much.
+SLICE = 1 << 19
 #: Members of a cell: lists of up to so many give all their pairs at once.
 SHORT = 16
 #: Ranges of the suffix filter, 64 to a number.
 RANGES, PARITY = 256, ["s0", "s1", "s2", "s3"]
+#: Bits of the map that spares most rows a shuffle.
+MAP_BITS = 23
 
 
 def gram_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,19 +72,26 @@ def gram_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
 def _sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, text, gram, size of each text's set) for slices of a batch."""
     raw, off = text_buffers(column)
-    for a, b in slices(off):
+    for a, b in slices(off, SLICE):
         docs, grams = gram_sets(raw[off[a] : off[b]], off[a : b + 1] - off[a], n)
         yield a, docs, grams, np.bincount(docs, minlength=b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def gram_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
     """How many texts hold a gram of each counter: a fixed number of counters, over all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total, held, waiting = np.zeros(COUNTERS, np.int64), [], 0
         for b in batches:
             for _, _, grams, _ in _sets(b.column(0), n):
-                total += np.bincount((grams & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+                held.append((grams & np.uint64(COUNTERS - 1)).astype(np.int32))
+                waiting += len(grams)
+                if waiting >= COUNTERS:
+                    total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held, waiting = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=COUNTERS)
         yield from _blocks(dict(enumerate(total.reshape(-1, COUNTER_BLOCK))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,14 +105,14 @@ def gram_counts(docs: DataFrame, text: str, n: int) -> np.ndarray:
         yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"])
 
     parts = docs.select(text).mapInArrow(count, "block int, counts binary")
-    rows = parts.repartition("block").mapInArrow(add, "block int, counts binary").collect()  # COUNTERS numbers
+    rows = collected(parts.repartition("block").mapInArrow(add, "block int, counts binary"))  # COUNTERS numbers
     total = np.zeros((COUNTERS // COUNTER_BLOCK, COUNTER_BLOCK), np.int64)
     for r in rows:
         total[r["block"]] = np.frombuffer(r["counts"], np.int64)
     return np.minimum(total.ravel(), (1 << 32) - 1).astype(np.uint32)
 
 
-PROFILE = "doc_id long, n int, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, grams array<long>"
+PROFILE = "doc_id long, n int, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, sketch binary, grams array<long>"
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -118,6 +130,27 @@ def _identity(docs: np.ndarray, grams: np.ndarray, n_docs: int) -> tuple[np.ndar
     return out[0], out[1]
 
 
+def sketches(docs: np.ndarray, grams: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """Parities of as many ranges as a set is large, at most twice and at least once: a power of two, RANGES or more.
+
+    The ranges are the last bits of a part of the hash, so that a longer sketch folds to a shorter one.
+    """
+    ranges = np.where(sizes > 0, np.maximum(RANGES, 1 << np.int64(np.log2(np.maximum(2 * sizes, 1)))), 0)
+    begin = np.cumsum(ranges) - ranges
+    odd = np.bincount(begin[docs] + ((grams >> np.uint64(28)).astype(np.int64) & (ranges[docs] - 1)), minlength=int(ranges.sum())) & 1
+    data, ends = np.packbits(odd.astype(bool)), np.concatenate([[0], np.cumsum(ranges // 8)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """How many ranges of two sketches (bytes) differ: no more than the sets do."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, counts: np.ndarray) -> DataFrame:
     """Per row: size and identity of its set, parities of its ranges, and its first grams, rare first."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
@@ -136,24 +169,29 @@ def profiles(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, coun
                 yield pa.record_batch(
                     [
                         b.column(0).slice(a, len(sizes)), pa.array(sizes, pa.int32()), pa.array(k1), pa.array(k2),
-                        *(pa.array(np.ascontiguousarray(x)) for x in parity.T), _lists(grams[first].view(np.int64), lead, pa.int64()),
-                    ], ["doc_id", "n", "k1", "k2", *PARITY, "grams"],
+                        *(pa.array(np.ascontiguousarray(x)) for x in parity.T), sketches(whose, grams, sizes), _lists(grams[first].view(np.int64), lead, pa.int64()),
+                    ], ["doc_id", "n", "k1", "k2", *PARITY, "sketch", "grams"],
                 )
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text)).mapInArrow(profile, PROFILE)
 
 
-def whole_sets(docs: DataFrame, text: str, n: int, wanted: DataFrame, bits: int = 23) -> DataFrame:
-    """(k1, k2, set) of the texts in `wanted`, read again; a bitmap of fixed size spares the others the shuffle."""
-    at = F.col("k1").bitwiseAND((1 << bits) - 1)
-    maps = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap")).collect()
-    flags = np.zeros(1 << bits, bool)
+def flags(rows: DataFrame, key: str, bits: int = MAP_BITS) -> np.ndarray:
+    """Bits of a map of fixed size, packed: those at the last bits of the keys are set."""
+    at = F.col(key).bitwiseAND((1 << bits) - 1)
+    maps = collected(rows.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap")))
+    out = np.zeros(1 << bits, bool)
     for r in maps:
         found = np.unpackbits(np.frombuffer(bytes(r["bitmap"]), np.uint8), bitorder="little")
         # bucket b stands for the positions (b - 1) * 32768 + 1 .. b * 32768, 0 with bucket 0
         places = np.flatnonzero(found) + (r["bucket"] - 1) * 32768 + 1 if r["bucket"] else np.zeros(1, int)
-        flags[places[places < len(flags)]] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(flags))
+        out[places[places < len(out)]] = True
+    return np.packbits(out)
+
+
+def whole_sets(docs: DataFrame, text: str, n: int, wanted: DataFrame) -> DataFrame:
+    """(k1, k2, set) of the texts in `wanted`, read again; a map of fixed size spares the others the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(flags(wanted, "k1"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         want = np.unpackbits(shared.value)
@@ -186,21 +224,33 @@ def _parities(percent: int) -> str:
     return f"{100 + percent} * ({apart}) <= {100 - percent} * (a_n + b_n)"
 
 
+def still_open(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(a, b, a_k1, a_k2, b_k1, b_k2) of the pairs whose sketches do not rule the similarity out."""
+    side = lambda s: reps.select(F.col("u").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("k1", "k2", "n", "sketch")])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes = b.column(6).to_numpy() + b.column(7).to_numpy()
+            far = [apart(*(np.frombuffer(s.as_buffer(), np.uint8) for s in two)) for two in zip(b.column(8), b.column(9))]
+            ok = (100 + percent) * np.array(far, np.int64) <= (100 - percent) * sizes.astype(np.int64)
+            yield pa.RecordBatch.from_arrays(b.columns[:6], b.schema.names[:6]).filter(pa.array(ok))
+
+    names = ["a", "b", "a_k1", "a_k2", "b_k1", "b_k2"]
+    known = pairs.join(side("a"), "a").join(side("b"), "b").select(*names, "a_n", "b_n", "a_sketch", "b_sketch")
+    return known.mapInArrow(near, ", ".join(f"{c} long" for c in names))
+
+
 def verified(pairs: DataFrame, reps: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Those of the pairs (a, b) that reach the similarity; `sets` gives the whole sets (k1, k2, grams) of those wanted."""
-    side = lambda s: reps.select(F.col("u").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("k1", "k2")])
-    known = pairs.join(side("a"), "a").join(side("b"), "b")
-    known = kept(known.select("a", "b", "a_k1", "a_k2", "b_k1", "b_k2"))
+    known = kept(still_open(pairs, reps, percent))
     key = lambda s: known.select(F.col(f"{s}_k1").alias("k1"), F.col(f"{s}_k2").alias("k2"))
     wanted = kept(key("a").unionByName(key("b")).distinct())
     if wanted.isEmpty():
         return known.select("a", "b")
-    # each pair asks for its two sets, so that the sets travel once
-    end = lambda s: F.struct(F.col(f"{s}_k1").alias("k1"), F.col(f"{s}_k2").alias("k2"), F.lit(s).alias("side"))
-    ends = known.select("a", "b", F.explode(F.array(end("a"), end("b"))).alias("e")).select("a", "b", "e.*")
-    told = ends.join(sets(wanted), ["k1", "k2"])
-    of = lambda s: F.max(F.when(F.col("side") == s, F.col("grams"))).alias(f"{s}_grams")
-    both = told.groupBy("a", "b").agg(of("a"), of("b"))
+    # each set goes to where its text is asked for, and from there one of a pair to the other
+    told = sets(wanted)
+    end = lambda s: told.select(*[F.col(c).alias(f"{s}_{c}") for c in ("k1", "k2", "grams")])
+    both = known.join(end("a"), ["a_k1", "a_k2"]).select("a", "b", "b_k1", "b_k2", "a_grams").join(end("b"), ["b_k1", "b_k2"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -211,7 +261,7 @@ def verified(pairs: DataFrame, reps: DataFrame, sets: Callable[[DataFrame], Data
                 ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "a_grams", "b_grams").mapInArrow(check, "a long, b long")
 
 
 def classes(edges: DataFrame) -> DataFrame:
@@ -225,7 +275,7 @@ def classes(edges: DataFrame) -> DataFrame:
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         hung = down.join(low, "a")
         e = kept(hung.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct())
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        (state,) = collected(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))))
         if state == before:
             return e.select(F.col("a").alias("u"), F.col("b").alias("root")).unionByName(e.select(F.col("b").alias("u"), F.col("b").alias("root")).distinct())
         before = state
@@ -299,7 +349,8 @@ def _classed(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, star
     same = kept(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("u").alias("u"), F.min("doc_id").alias("least"), F.count("*").alias("n_copies")))
     reps = rows.join(same.select("u"), "u", "left_semi")
     # narrow rows for all grams; the rest is joined to those that are left
-    listed = reps.select("u", F.posexplode("grams").alias("at", "g"))
+    # dealt by gram once, for the lists and for what joins them; a gram has a row a text at most
+    listed = reps.select("u", F.posexplode("grams").alias("at", "g")).where("g IS NOT NULL").repartition("g")
     listed = kept(listed.join(once_each(listed), "g").join(reps.select("u", "n", *PARITY), "u"))
     filters = f"{_reaches('a_n', 'b_n', percent)} AND {_positions(percent)} AND {_parities(percent)}"
     from_texts = lambda wanted: whole_sets(docs, text, n, wanted)

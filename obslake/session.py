@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +45,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(base or scratch_dir(spark, "checkpoint"))
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is started inside gives its shuffle files back when it has run, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame as a compressed table in the shared folder, reread: for what is too wide for a checkpoint or read twice.
 
     Its true size is known to the plans that read it.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

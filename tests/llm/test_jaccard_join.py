@@ -114,3 +114,42 @@ def test_lists_with_the_same_members_count_once(spark):
     rows = [(1, 0, 10), (2, 1, 10), (1, 2, 11), (2, 2, 11), (1, 3, 12), (2, 3, 12), (3, 0, 12), (3, 1, 13)]
     got = jaccard_join.once_each(spark.createDataFrame(rows, "u long, at int, g long")).collect()
     assert {tuple(r) for r in got} == {(10, 2), (12, 3)}
+
+
+def test_sketches_bound_the_difference():
+    """They never count more than sets differ by, whatever their sizes, and rule out long sets, which 256 ranges cannot."""
+    rng = np.random.default_rng(9)
+    pool = rng.integers(0, 1 << 63, 8000).astype(np.uint64) * np.uint64(2)
+    sets = [rng.choice(pool, k, replace=False) for k in (1, 3, 130, 1500, 1500, 1740, 4000)]
+    sizes = np.array([len(s) for s in sets] + [0])
+    told = jaccard_join.sketches(np.repeat(np.arange(len(sizes)), sizes), np.concatenate(sets), sizes)
+    told = [np.frombuffer(s.as_buffer(), np.uint8) for s in told]
+    assert len(told[3]) == 2048 // 8 and len(told[0]) == 256 // 8 and not len(told[-1])
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert jaccard_join.apart(told[i], told[j]) <= len(np.setxor1d(x, y))
+    assert 185 * jaccard_join.apart(told[3], told[4]) > 15 * 3000 > 185 * 128
+
+
+def test_pairs_beyond_the_similarity_ask_for_no_sets(spark):
+    """Long texts with one gram in common: no set is read again, so none is shuffled."""
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(1200)) for _ in range(6)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    profiled = jaccard_join.profiles(rows, "doc_id", "text", 4, 85, jaccard_join.gram_counts(rows, "text", 4)).withColumn("u", jaccard_join.F.col("doc_id"))
+    pairs = spark.createDataFrame([(i, j) for i in range(6) for j in range(i + 1, 6)], "a long, b long")
+    assert jaccard_join.still_open(pairs, profiled, 85).count() == 0
+    copy = spark.createDataFrame([(0, 0)], "a long, b long")
+    assert jaccard_join.still_open(copy, profiled, 85).count() == 1
+
+
+def test_no_shuffle_files_are_left(spark):
+    """Checkpoints and collected rows give their shuffle files back, and the session's setting stays as it was."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    df = spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count()
+    n = tracker.shuffleStatuses().size()
+    out = jaccard_join.kept(df)
+    assert len(jaccard_join.collected(df)) == out.count() == 7
+    assert tracker.shuffleStatuses().size() <= n + 1 and spark.conf.get(key) == before
