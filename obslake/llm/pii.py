@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import kept, whole_text, written
 
 KINDS = ("email", "ip", "card", "phone")
+#: Places of the map that spares texts without discovered spans the shuffle: 1 MB.
+MAP_PLACES = 1 << 23
 
 # The formats asked for. `\G` is the end of the match before; with the look-behind it keeps a search from
 # beginning again inside a run it has already failed on, and what cannot match otherwise is not given back.
@@ -120,6 +122,17 @@ def confident_patterns(found: DataFrame, *, rounds: int, least_seeds: int, least
     return kept(top.select("pattern", "b.kind", "b.confidence"))
 
 
+def maybe_among(rows: DataFrame, hashed: Column, wanted: DataFrame) -> DataFrame:
+    """All rows with `maybe`: false only where the hash is none of those `wanted` (h). A map of fixed size is broadcast."""
+    at = lambda h: F.pmod(h, F.lit(MAP_PLACES))
+    maps = wanted.groupBy(F.bitmap_bucket_number(at(F.col("h"))).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at(F.col("h")))).alias("bitmap"))
+    found = rows.withColumn("bucket", F.bitmap_bucket_number(at(hashed))).withColumn("bit", F.bitmap_bit_position(at(hashed)))
+    found = found.join(F.broadcast(kept(maps)), "bucket", "left")
+    byte = F.expr("CAST(conv(hex(substring(bitmap, CAST(bit div 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    hit = F.expr("CAST(1 AS INT) << CAST(bit % 8 AS INT)").bitwiseAND(byte) != 0
+    return found.withColumn("maybe", F.coalesce(hit, F.lit(False))).drop("bucket", "bit", "bitmap")
+
+
 def find(
     docs: DataFrame, *, text: str = "text", rounds: int = 3, least_seeds: int = 5, least_confidence: float = 0.7,
 ) -> DataFrame:
@@ -135,13 +148,15 @@ def find(
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("b.kind")).cast("int") - 1
     fresh = fresh.groupBy("u").agg(F.collect_set(F.struct("start", rank.alias("rank"), "end", F.col("b.kind").alias("kind"), "value")).alias("more"))
     fresh = kept(fresh)
-    based = base_spans(rows, "body")
+    plain = lambda some: base_spans(some, "body").select("row", "base", F.col("base").alias("spans"))
     if fresh.isEmpty():
-        spans = based.select("row", "base", F.col("base").alias("spans"))
+        spans = plain(rows)
     else:
-        keyed = based.withColumn("u", F.struct(F.xxhash64("body").alias("u"), F.md5("body"), F.length("body").alias("n")))
+        marked = maybe_among(rows, F.xxhash64("body"), fresh.select(F.col("u.u").alias("h")))
+        keyed = base_spans(marked.where("maybe"), "body").withColumn("u", F.struct(F.xxhash64("body").alias("u"), F.md5("body"), F.length("body").alias("n")))
         joined = keyed.join(fresh, "u", "left")
         spans = joined.select("row", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(fresh.schema["more"].dataType)))).alias("spans"))
+        spans = spans.unionByName(plain(marked.where("NOT maybe")))
     return spans.select("row.*", "base", "spans")
 
 

@@ -94,3 +94,17 @@ def test_only_what_is_asked_for_is_computed(spark, monkeypatch):
     for _ in range(2):
         share = (6 + 2 * share) / 9
     assert abs(got[0]["confidence"] - share) < 1e-12
+
+
+def test_texts_without_discoveries_are_not_shuffled(spark, monkeypatch):
+    """Rows pass by without a shuffle unless the map holds their hash; with a map of one place all are joined, with the same result."""
+    rows = [(i, f"some words then reach me at user{i}@host{i}.example.org for more of {i * i}") for i in range(20)]
+    rows += [(100, "some words then reach me at ann_9(at)host,example for more"), (101, "nothing at 77ab here"), (102, None), (103, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = docs.select("*", F.xxhash64("text").alias("h"))
+    marked = pii.maybe_among(hashed, F.col("h"), hashed.where("doc_id IN (3, 100)").select("h")).where("maybe")
+    assert sorted(r["doc_id"] for r in marked.collect()) == [3, 100]
+    told = lambda: sorted(map(tuple, pii.find(docs, least_confidence=0.8).select("doc_id", pii.told("spans")).collect()))
+    apart = told()
+    monkeypatch.setattr(pii, "MAP_PLACES", 1)
+    assert told() == apart and dict(apart)[100] == "email:28:49"
