@@ -58,6 +58,14 @@ def token_counts(texts: DataFrame, limit: int = 4_000_000) -> DataFrame:
     return texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _found(order: np.ndarray, words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each word in front of the sort, from 1, and whether it is among the sorted ones."""
+    if not len(words):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+    return order[at] + 1, words[at] == hashes
+
+
 class Vocabulary:
     """The most frequent tokens with their counts; the first of them are the model's."""
 
@@ -69,12 +77,17 @@ class Vocabulary:
         self.total, self.distinct, self.n_docs = total + n_docs, distinct + (n_docs > 0), n_docs
         own = counts[: size - 1]
         self.size, self.buckets = len(own) + 1, buckets
+        self.own_order = np.argsort(tokens[: len(own)])
+        self.own_sorted = tokens[self.own_order]
         freq = np.concatenate([[n_docs], own]).astype(float) + 0.5
         share = np.cumsum(np.sqrt(freq))
         cls = np.minimum((n_classes * (share - share[0] / 2) / share[-1]).astype(int), n_classes - 1)
         self.word_class = np.unique(cls, return_inverse=True)[1]
         self.n_classes = int(self.word_class.max()) + 2  # the last is that of all other tokens
         self.first = np.searchsorted(self.word_class, np.arange(self.n_classes))
+        # a token of the vocabulary, or one beyond it; few bytes, which sort faster
+        self.token_class = np.append(self.word_class, self.n_classes - 1).astype(np.min_scalar_type(self.n_classes))
+        self.class_size = np.diff(np.append(self.first, self.size))
         self.rest = self.total - (freq.sum() - 0.5 * self.size) + 0.5 * (self.distinct - self.size) + 0.5
         mass = np.append(np.bincount(self.word_class, freq), self.rest)
         self.class_bias = np.log(mass / mass.sum()).astype(np.float32)
@@ -82,10 +95,18 @@ class Vocabulary:
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word by count, from 1, and whether it is known here."""
-        if not len(self.sorted):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        return self.order[at] + 1, self.sorted[at] == hashes
+        place, known = _found(self.own_order, self.own_sorted, hashes)
+        rare = np.flatnonzero(~known)
+        place[rare], known[rare] = _found(self.order, self.sorted, hashes[rare])
+        return place, known
+
+    def tokens(self, hashes: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
+        """The model's tokens of words, rare ones by a bucket of the hash; `place`: what `lookup` gave, 0 if unknown."""
+        if place is None:  # most frequent words are told from a short table
+            place, known = _found(self.own_order, self.own_sorted, hashes)
+            place *= known
+        own = (place > 0) & (place < self.size)
+        return np.where(own, place, self.size + (hashes % np.uint64(self.buckets)).astype(np.int64))
 
 
 class GatedModel:
@@ -112,22 +133,33 @@ class GatedModel:
         return self
 
     def forward(self, inp: np.ndarray, keep: np.ndarray, h: np.ndarray) -> tuple:
-        """States of a window (steps, streams); `keep` is 0 where a document begins."""
+        """States of a window (steps, streams); `keep` is 0 where a document begins.
+
+        Inside, a stream is a column, so the parts of a gate are whole rows.
+        """
         p, n = self.p, self.hidden
         x = p["embed"][inp]
-        gates = (x.reshape(-1, x.shape[2]) @ p["wx"] + p["b"]).reshape(*inp.shape, 3 * n)
-        olds, zrs, cs, hs = [], [], [], []
-        w2, w1 = p["wh"][:, : 2 * n], np.ascontiguousarray(p["wh"][:, 2 * n :])
-        for t in range(len(inp)):
-            h = h * keep[t][:, None]
-            zr = 1 / (1 + np.exp(-(gates[t, :, : 2 * n] + h @ w2)))
-            c = np.tanh(gates[t, :, 2 * n :] + (zr[:, n:] * h) @ w1)
-            olds.append(h)
-            h = h + zr[:, :n] * (c - h)
-            zrs.append(zr)
-            cs.append(c)
-            hs.append(h)
-        return x, olds, zrs, cs, np.stack(hs), h
+        # the gates are 1 / (1 + exp(-...)): their weights are negated once, not their sums at every step
+        sign = np.where(np.arange(3 * n) < 2 * n, -1, 1).astype(x.dtype)
+        gates = np.matmul((p["wx"] * sign).T, x.transpose(0, 2, 1))
+        gates += (p["b"] * sign)[:, None]
+        wh = np.ascontiguousarray((p["wh"] * sign).T)
+        w2, w1 = wh[: 2 * n], wh[2 * n :]
+        olds, hs = np.empty_like(gates, shape=(2, len(inp), n, inp.shape[1]))
+        h = h.T
+        for zr, c, old, new, k in zip(gates[:, : 2 * n], gates[:, 2 * n :], olds, hs, keep):
+            np.multiply(h, k, out=old)
+            zr += w2 @ old
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            c += w1 @ (zr[n:] * old)
+            np.tanh(c, out=c)
+            np.subtract(c, old, out=new)
+            new *= zr[:n]
+            new += old
+            h = new
+        return x, olds, gates, None, np.ascontiguousarray(hs.transpose(0, 2, 1)), h.T
 
     def output(self, states: np.ndarray, target: np.ndarray, learn: bool) -> tuple:
         """Natural logarithms of the targets' probabilities; gradients of the states and the output layer, if wanted.
@@ -135,93 +167,130 @@ class GatedModel:
         A target beyond the vocabulary is the last class, whose tokens are told apart elsewhere.
         """
         p, v = self.p, self.v
-        cls = np.where(target < v.size, v.word_class[np.minimum(target, v.size - 1)], v.n_classes - 1)
-        logits = states @ p["wc"] + p["bc"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        s = e.sum(1, keepdims=True)
+        cls = v.token_class[np.minimum(target, v.size)]
+        # a class a row: sums over classes run along the rows
+        e = p["wc"].T @ states.T
+        e += p["bc"][:, None]
+        e -= e.max(0)
         rows = np.arange(len(target))
-        out = logits[rows, cls] - np.log(s[:, 0])
-        grads = None
+        out = e[cls, rows]
+        np.exp(e, out=e)
+        s = e.sum(0)
+        out -= np.log(s)
+        grads, back = None, None
         if learn:
             e /= s
-            e[rows, cls] -= 1
-            grads = {"wc": states.T @ e, "bc": e.sum(0), "wo": np.zeros_like(p["wo"]), "bo": np.zeros_like(p["bo"])}
-            back = e @ p["wc"].T
+            e[cls, rows] -= 1
+            back = e.T @ p["wc"].T
+            grads = {"wc": (e @ states).T, "bc": e.sum(1)}
+        # words by class; one product a class, all else over all classes at once
         order = np.argsort(cls, kind="stable")
         edge = np.searchsorted(cls[order], np.arange(v.n_classes))
-        for k in range(v.n_classes - 1):
-            i = order[edge[k] : edge[k + 1]]
-            a, b = v.first[k], v.first[k + 1]
-            if not len(i) or b - a < 2:
-                continue
-            st = states[i]
-            z = st @ p["wo"][a:b].T + p["bo"][a:b]
-            z -= z.max(1, keepdims=True)
-            e = np.exp(z)
-            s = e.sum(1, keepdims=True)
-            mine = target[i] - a
-            at = np.arange(len(i))
-            out[i] += z[at, mine] - np.log(s[:, 0])
-            if learn:
-                e /= s
-                e[at, mine] -= 1
-                grads["wo"][a:b] = e.T @ st
-                grads["bo"][a:b] = e.sum(0)
-                back[i] += e @ p["wo"][a:b]
-        return (out, back, grads) if learn else (out, None, None)
+        order = order[: edge[-1]]
+        mine, size = target[order] - v.first[cls[order]], v.class_size[cls[order]]
+        begin = np.cumsum(size) - size
+        st = np.concatenate([states[order], np.ones((len(order), 1), states.dtype)], 1)
+        weights = np.concatenate([p["wo"], p["bo"][:, None]], 1)
+        z = np.empty(int(size.sum()), states.dtype)
+        parts, done = [], 0
+        for i, j, a, b in zip(edge.tolist(), edge[1:].tolist(), v.first.tolist(), v.first[1:].tolist()):
+            if i < j:
+                part = z[done : done + (j - i) * (b - a)].reshape(j - i, b - a)
+                np.matmul(st[i:j], weights[a:b].T, out=part)
+                parts.append((part, i, j, a, b))
+                done += part.size
+        if parts:
+            z -= np.repeat(np.maximum.reduceat(z, begin), size)
+            own = z[begin + mine]
+            np.exp(z, out=z)
+            s = np.add.reduceat(z, begin)
+            out[order] += own - np.log(s)
+        if learn:
+            d_weights, d_states = np.zeros_like(weights), np.empty_like(states, shape=(len(order), states.shape[1]))
+            if parts:
+                z /= np.repeat(s, size)
+                z[begin + mine] -= 1
+            for part, i, j, a, b in parts:
+                np.matmul(part.T, st[i:j], out=d_weights[a:b])
+                np.matmul(part, p["wo"][a:b], out=d_states[i:j])
+            back[order] += d_states
+            grads |= {"wo": d_weights[:, :-1], "bo": d_weights[:, -1]}
+        return out, back, grads
 
     def backward(self, inp: np.ndarray, keep: np.ndarray, run: tuple, back: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients through one window; nothing flows to the window before."""
-        x, olds, zrs, cs, _, _ = run
+        x, olds, gates, _, _, _ = run
         p, n = self.p, self.hidden
-        w2, w1 = p["wh"][:, : 2 * n].T.copy(), p["wh"][:, 2 * n :].T.copy()
-        d_gates = np.empty((*inp.shape, 3 * n), np.float32)
-        d_wh = np.zeros_like(p["wh"])
-        dh = np.zeros((inp.shape[1], n), np.float32)
+        w2, w1 = p["wh"][:, : 2 * n], p["wh"][:, 2 * n :]
+        zs, rs, cs = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
+        # all that does not depend on later steps, for all steps at once
+        stay, reset, slope = 1 - zs, rs * olds, 1 - cs * cs
+        slope *= zs
+        by_r = reset - reset * rs
+        by_z = cs - olds
+        by_z *= zs
+        by_z *= stay
+        d_gates = np.empty_like(gates)
+        back = np.ascontiguousarray(back.transpose(0, 2, 1))
+        dh = np.zeros_like(back[0])
         for t in range(len(inp) - 1, -1, -1):
-            dh = dh + back[t]
-            z, r = zrs[t][:, :n], zrs[t][:, n:]
-            c, old = cs[t], olds[t]
-            dc = dh * z * (1 - c * c)
-            dz = dh * (c - old) * z * (1 - z)
-            drh = dc @ w1
-            dr = drh * old * r * (1 - r)
-            dzr = np.concatenate([dz, dr], 1)
-            d_gates[t, :, : 2 * n], d_gates[t, :, 2 * n :] = dzr, dc
-            d_wh[:, : 2 * n] += old.T @ dzr
-            d_wh[:, 2 * n :] += (r * old).T @ dc
-            dh = (dh * (1 - z) + drh * r + dzr @ w2) * keep[t][:, None]
-        g = d_gates.reshape(-1, 3 * n)
-        dx = g @ p["wx"].T
+            g = d_gates[t]
+            dh += back[t]
+            dc = np.multiply(dh, slope[t], out=g[2 * n :])
+            np.multiply(dh, by_z[t], out=g[:n])
+            drh = w1 @ dc
+            np.multiply(drh, by_r[t], out=g[n : 2 * n])
+            dh *= stay[t]
+            drh *= rs[t]
+            dh += drh
+            dh += w2 @ g[: 2 * n]
+            dh *= keep[t]
+        row = lambda a: a.transpose(1, 0, 2).reshape(a.shape[1], -1)  # noqa: E731  (units, steps * streams)
+        dx = np.matmul(d_gates.transpose(0, 2, 1), p["wx"].T).reshape(-1, x.shape[2])
+        g = row(d_gates)
+        d_wh = np.concatenate([row(olds) @ g[: 2 * n].T, row(reset) @ g[2 * n :].T], 1)
         flat = inp.ravel()
-        used, at = np.unique(flat, return_inverse=True)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
         d_embed = np.zeros_like(p["embed"])
-        order = np.argsort(at, kind="stable")
-        d_embed[used] = np.add.reduceat(dx[order], np.searchsorted(at[order], np.arange(len(used))))
-        return {"embed": d_embed, "wx": x.reshape(-1, x.shape[2]).T @ g, "wh": d_wh, "b": g.sum(0)}
+        d_embed[flat[first]] = np.add.reduceat(dx[order], first)
+        return {"embed": d_embed, "wx": (g @ x.reshape(-1, x.shape[2])).T, "wh": d_wh, "b": g.sum(1)}
 
 
 class Descent:
-    """Adam over all parameters, with clipped gradients."""
+    """Adam over all parameters, which become parts of one vector, with clipped gradients."""
 
     def __init__(self, model: GatedModel, rate: float):
         self.model, self.rate, self.n = model, rate, 0
-        self.m = {k: np.zeros_like(x) for k, x in model.p.items()}
-        self.s = {k: np.zeros_like(x) for k, x in model.p.items()}
+        self.all = model.flat()
+        # rows of rare words have tiny gradients most of the time: they move little
+        self.least = np.concatenate([np.full(x.size, 1e-5 if k in ("wx", "wh", "b") else 1e-3, self.all.dtype) for k, x in model.p.items()])
+        self.m, self.s = np.zeros_like(self.all), np.zeros_like(self.all)
+        at = 0
+        for k, x in model.p.items():
+            model.p[k] = self.all[at : at + x.size].reshape(x.shape)
+            at += x.size
 
-    def step(self, grads: dict[str, np.ndarray], share: float) -> None:
+    def step(self, grads: dict[str, np.ndarray], share: float, scale: float = 1.0) -> None:
         """`share`: how full the window is; the last windows hold few documents and must not outweigh the others."""
         self.n += 1
-        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))
-        clip = min(1.0, 5.0 / (norm + 1e-9))
+        g = np.concatenate([grads[k].ravel() for k in self.model.p])
+        norm = float(np.sqrt(g @ g)) * scale
+        g *= np.float32(min(1.0, 5.0 / (norm + 1e-9)) * scale)
         rate = np.float32(share * min(1.0, self.n / 30) * self.rate * np.sqrt(1 - 0.99**self.n) / (1 - 0.9**self.n))
-        for k, g in grads.items():
-            g = g * np.float32(clip)
-            self.m[k] += np.float32(0.1) * (g - self.m[k])
-            self.s[k] += np.float32(0.01) * (g * g - self.s[k])
-            # rows of rare words have tiny gradients most of the time: they move little
-            self.model.p[k] -= rate * self.m[k] / (np.sqrt(self.s[k]) + np.float32(1e-5 if k in ("wx", "wh", "b") else 1e-3))
+        move = g - self.m
+        move *= np.float32(0.1)
+        self.m += move
+        g *= g
+        g -= self.s
+        g *= np.float32(0.01)
+        self.s += g
+        np.sqrt(self.s, out=move)
+        move += self.least
+        np.divide(self.m, move, out=move)
+        move *= rate
+        self.all -= move
 
 
 class Streams:
@@ -239,10 +308,9 @@ class Streams:
             if n == self.left[i]:
                 break
             heapq.heappush(self.heap, (int(self.left[i]), i))
-        before = np.concatenate([[END], tokens[:-1]])
-        keep = np.ones(len(tokens), np.float32)
-        keep[0] = 0
-        self.queue[i].append(np.stack([before, tokens, np.full(len(tokens), doc), keep.astype(np.int64)]))
+        part = np.ones((4, len(tokens)), np.int64)
+        part[0, 0], part[0, 1:], part[1], part[2], part[3, 0] = END, tokens[:-1], tokens, doc, 0
+        self.queue[i].append(part)
         self.left[i] += len(tokens)
         heapq.heappush(self.heap, (int(self.left[i]), i))
 
@@ -250,29 +318,28 @@ class Streams:
         """Windows that all streams fill; at the end also those that some fill."""
         while (self.left.max() > 0) if last else (self.left.min() >= self.steps):
             live = np.flatnonzero(self.left > 0) if last else np.arange(self.width)
-            out = np.zeros((4, self.steps, len(live)), np.int64)
+            # as many windows at once as these streams fill
+            many = max(int(self.left[live].min()) // self.steps, 1)
+            out = np.zeros((4, many * self.steps, len(live)), np.int64)
             out[2] = -1
             for k, i in enumerate(live.tolist()):
-                at = 0
-                while at < self.steps and self.queue[i]:
-                    part = self.queue[i][0]
-                    take = min(self.steps - at, part.shape[1])
+                at, used = 0, 0
+                for part in self.queue[i]:
+                    take = min(out.shape[1] - at, part.shape[1])
                     out[:, at : at + take, k] = part[:, :take]
-                    self.queue[i][:1] = [part[:, take:]] if take < part.shape[1] else []
                     at += take
+                    if take < part.shape[1]:
+                        self.queue[i][used] = part[:, take:]
+                        break
+                    used += 1
+                del self.queue[i][:used]
                 self.left[i] -= at
-            yield live, out
+            for begin in range(0, out.shape[1], self.steps):
+                yield live, out[:, begin : begin + self.steps]
         self.heap = [(int(n), i) for i, n in enumerate(self.left)]
         heapq.heapify(self.heap)
 
 
-def _model_tokens(v: Vocabulary, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The model's tokens of words, their place by count, and whether that is known; rare ones by a bucket of the hash."""
-    place, known = v.lookup(hashes)
-    own = known & (place < v.size)
-    return np.where(own, place, v.size + (hashes % np.uint64(v.buckets)).astype(np.int64)), place, known
-
-
 def _train(docs: DataFrame, v: Vocabulary, model: GatedModel, rate: float, width: int, steps: int) -> GatedModel:
     """One round: parameters trained apart on each partition, averaged by tokens."""
     shared = docs.sparkSession.sparkContext.broadcast((v, model.flat()))
@@ -288,20 +355,20 @@ def _train(docs: DataFrame, v: Vocabulary, model: GatedModel, rate: float, width
                 keep = keep.astype(np.float32)
                 run = m.forward(inp, keep, streams.state[live])
                 streams.state[live] = run[5]
-                flat_target = np.minimum(target.ravel(), v.size)
+                flat_target = target.ravel()
                 valid = (doc.ravel() >= 0).astype(np.float32)
                 _, back, grads = m.output(run[4].reshape(-1, m.hidden), flat_target, True) if valid.all() else _masked(m, run[4].reshape(-1, m.hidden), flat_target, valid)
-                scale = np.float32(1 / max(1.0, valid.sum()))
+                full = float(valid.sum())
                 grads |= m.backward(inp, keep, run, back.reshape(*inp.shape, -1))
-                descent.step({k: g * scale for k, g in grads.items()}, float(valid.sum()) / (width * steps))
-                seen += int(valid.sum())
+                descent.step(grads, full / (width * steps), 1 / max(1.0, full))
+                seen += int(full)
             return seen
 
         for b in batches:
             raw, off = text_buffers(b.column(0))
             for x, y in slices(off):
                 hashes, counts = word_hashes(raw[off[x] : off[y]], off[x : y + 1] - off[x])
-                tokens = _model_tokens(v, hashes)[0]
+                tokens = v.tokens(hashes)
                 ends = np.cumsum(counts)
                 for d in range(len(counts)):
                     streams.add(0, np.append(tokens[ends[d] - counts[d] : ends[d]], END))
@@ -358,15 +425,17 @@ def _read(docs: DataFrame, v: Vocabulary, model: GatedModel, width: int, steps:
             for live, (inp, target, doc, keep) in streams.windows(last):
                 run = m.forward(inp, keep.astype(np.float32), streams.state[live])
                 streams.state[live] = run[5]
-                valid = np.flatnonzero(doc.ravel() >= 0)
-                out, _, _ = m.output(run[4].reshape(-1, m.hidden)[valid], np.minimum(target.ravel()[valid], v.size), False)
+                valid = doc.ravel() >= 0
+                valid = slice(None) if valid.all() else np.flatnonzero(valid)
+                out, _, _ = m.output(run[4].reshape(-1, m.hidden)[valid], target.ravel()[valid], False)
                 total[:] += np.bincount(doc.ravel()[valid], out, len(total))
 
         for b in batches:
             raw, off = text_buffers(b.column(1))
             for x, y in slices(off):
                 hashes, counts = word_hashes(raw[off[x] : off[y]], off[x : y + 1] - off[x])
-                tokens, place, known = _model_tokens(v, hashes)
+                place, known = v.lookup(hashes)
+                tokens = v.tokens(hashes, place * known)
                 n, ends = len(counts), np.cumsum(counts)
                 whose = np.repeat(np.arange(n), counts)
                 value = np.where(known, log_count[np.where(known, place, 0)], 0.0)

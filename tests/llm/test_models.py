@@ -1,5 +1,6 @@
 """Toxicity and language model: held-out quality, probabilities that sum to one, gradients, odd rows."""
 
+import sys
 import zlib
 from collections import Counter
 from math import log10
@@ -129,6 +130,23 @@ def test_gradients():
             assert grads[k][at] == pytest.approx((up - down) / (2 * eps), abs=2e-3), (k, at)
 
 
+def test_classes_share_their_passes():
+    """A class adds its products to a training window, not passes of its own over the scores (CPU seconds)."""
+
+    def calls(classes):
+        v = lm_scoring.Vocabulary(np.arange(1, 600, dtype=np.uint64), np.arange(1198, 0, -2), 10, 500_000, 900, 400, classes, 8)
+        m, seen = lm_scoring.GatedModel(v, 5, 7), []
+        states, target = np.random.default_rng(2).normal(size=(800, 7)).astype(np.float32), np.arange(800) % 401
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event in ("call", "c_call") else None)
+        try:
+            m.output(states, target, True)
+        finally:
+            sys.setprofile(None)
+        return len(seen) / (v.n_classes - 1)
+
+    assert calls(40) < 7
+
+
 def test_windows_do_not_change_scores():
     """A document's score is the same whatever stands beside it and however windows cut it."""
     v, m = model()
