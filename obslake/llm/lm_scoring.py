@@ -58,12 +58,33 @@ def token_counts(texts: DataFrame, limit: int = 4_000_000) -> DataFrame:
     return texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _found(order: np.ndarray, words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each word in front of the sort, from 1, and whether it is among the sorted ones."""
-    if not len(words):
-        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-    return order[at] + 1, words[at] == hashes
+class Places:
+    """Places of words by count, from 1, found by the leading bits of their hashes."""
+
+    def __init__(self, words: np.ndarray):
+        self.order = np.argsort(words)
+        self.words = words[self.order]
+        self.order = np.append(self.order + 1, 0)
+        # two to four cells a word, so that few words share one
+        self.shift = np.uint64(64 - max(len(words) * 2, 1).bit_length())
+        cell = (self.words >> self.shift).astype(np.int64)
+        edge = np.searchsorted(cell, np.arange((1 << 64 - int(self.shift)) + 1)).astype(np.int32)
+        self.first, self.most = edge[:-1], int(np.diff(edge).max())
+        # behind the last word stands one that ends every search, with place 0
+        self.words = np.append(self.words, np.uint64(0xFFFFFFFFFFFFFFFF))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each word, 0 if unknown."""
+        at = self.first[(hashes >> self.shift).view(np.int64)]
+        there = self.words[at]
+        later = np.flatnonzero(there < hashes)
+        for _ in range(1, self.most):
+            if not len(later):
+                break
+            at[later] += 1
+            there[later] = self.words[at[later]]
+            later = later[there[later] < hashes[later]]
+        return np.where(there == hashes, self.order[at], 0)
 
 
 class Vocabulary:
@@ -71,14 +92,11 @@ class Vocabulary:
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray, n_docs: int, total: int, distinct: int, size: int, n_classes: int, buckets: int):
         # by count: place 0 is the end, then words
-        self.order = np.argsort(tokens)
-        self.sorted = tokens[self.order]
+        self.places, self.own_places = Places(tokens), Places(tokens[: size - 1])
         self.counts = counts
         self.total, self.distinct, self.n_docs = total + n_docs, distinct + (n_docs > 0), n_docs
         own = counts[: size - 1]
         self.size, self.buckets = len(own) + 1, buckets
-        self.own_order = np.argsort(tokens[: len(own)])
-        self.own_sorted = tokens[self.own_order]
         freq = np.concatenate([[n_docs], own]).astype(float) + 0.5
         share = np.cumsum(np.sqrt(freq))
         cls = np.minimum((n_classes * (share - share[0] / 2) / share[-1]).astype(int), n_classes - 1)
@@ -93,18 +111,8 @@ class Vocabulary:
         self.class_bias = np.log(mass / mass.sum()).astype(np.float32)
         self.word_bias = np.log(freq / mass[self.word_class]).astype(np.float32)
 
-    def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each word by count, from 1, and whether it is known here."""
-        place, known = _found(self.own_order, self.own_sorted, hashes)
-        rare = np.flatnonzero(~known)
-        place[rare], known[rare] = _found(self.order, self.sorted, hashes[rare])
-        return place, known
-
-    def tokens(self, hashes: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
-        """The model's tokens of words, rare ones by a bucket of the hash; `place`: what `lookup` gave, 0 if unknown."""
-        if place is None:  # most frequent words are told from a short table
-            place, known = _found(self.own_order, self.own_sorted, hashes)
-            place *= known
+    def tokens(self, hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The model's tokens of words by their places, rare ones by a bucket of the hash."""
         own = (place > 0) & (place < self.size)
         return np.where(own, place, self.size + (hashes % np.uint64(self.buckets)).astype(np.int64))
 
@@ -142,18 +150,20 @@ class GatedModel:
         # the gates are 1 / (1 + exp(-...)): their weights are negated once, not their sums at every step
         sign = np.where(np.arange(3 * n) < 2 * n, -1, 1).astype(x.dtype)
         gates = np.matmul((p["wx"] * sign).T, x.transpose(0, 2, 1))
-        gates += (p["b"] * sign)[:, None]
-        wh = np.ascontiguousarray((p["wh"] * sign).T)
+        # a state has a one below it, which the bias is multiplied by
+        wh = np.ascontiguousarray((np.concatenate([p["wh"], p["b"][None]]) * sign).T)
         w2, w1 = wh[: 2 * n], wh[2 * n :]
-        olds, hs = np.empty_like(gates, shape=(2, len(inp), n, inp.shape[1]))
+        ones = np.ones_like(gates, shape=(len(inp) + 1, n + 1, inp.shape[1]))
+        olds, kept, hs = ones[:-1, :n], ones[-1], np.empty_like(gates, shape=(len(inp), n, inp.shape[1]))
         h = h.T
-        for zr, c, old, new, k in zip(gates[:, : 2 * n], gates[:, 2 * n :], olds, hs, keep):
+        for zr, c, old, below, new, k in zip(gates[:, : 2 * n], gates[:, 2 * n :], olds, ones, hs, keep):
             np.multiply(h, k, out=old)
-            zr += w2 @ old
+            zr += w2 @ below
             np.exp(zr, out=zr)
             zr += 1
             np.reciprocal(zr, out=zr)
-            c += w1 @ (zr[n:] * old)
+            np.multiply(zr[n:], old, out=kept[:n])
+            c += w1 @ kept
             np.tanh(c, out=c)
             np.subtract(c, old, out=new)
             new *= zr[:n]
@@ -232,6 +242,7 @@ class GatedModel:
         by_z *= stay
         d_gates = np.empty_like(gates)
         back = np.ascontiguousarray(back.transpose(0, 2, 1))
+        begins = (~keep.all(1)).tolist()
         dh = np.zeros_like(back[0])
         for t in range(len(inp) - 1, -1, -1):
             g = d_gates[t]
@@ -244,7 +255,8 @@ class GatedModel:
             drh *= rs[t]
             dh += drh
             dh += w2 @ g[: 2 * n]
-            dh *= keep[t]
+            if begins[t]:
+                dh *= keep[t]
         row = lambda a: a.transpose(1, 0, 2).reshape(a.shape[1], -1)  # noqa: E731  (units, steps * streams)
         dx = np.matmul(d_gates.transpose(0, 2, 1), p["wx"].T).reshape(-1, x.shape[2])
         g = row(d_gates)
@@ -368,7 +380,7 @@ def _train(docs: DataFrame, v: Vocabulary, model: GatedModel, rate: float, width
             raw, off = text_buffers(b.column(0))
             for x, y in slices(off):
                 hashes, counts = word_hashes(raw[off[x] : off[y]], off[x : y + 1] - off[x])
-                tokens = v.tokens(hashes)
+                tokens = v.tokens(hashes, v.own_places.find(hashes))
                 ends = np.cumsum(counts)
                 for d in range(len(counts)):
                     streams.add(0, np.append(tokens[ends[d] - counts[d] : ends[d]], END))
@@ -434,11 +446,11 @@ def _read(docs: DataFrame, v: Vocabulary, model: GatedModel, width: int, steps:
             raw, off = text_buffers(b.column(1))
             for x, y in slices(off):
                 hashes, counts = word_hashes(raw[off[x] : off[y]], off[x : y + 1] - off[x])
-                place, known = v.lookup(hashes)
-                tokens = v.tokens(hashes, place * known)
+                place = v.places.find(hashes)
+                known, tokens = place > 0, v.tokens(hashes, place)
                 n, ends = len(counts), np.cumsum(counts)
                 whose = np.repeat(np.arange(n), counts)
-                value = np.where(known, log_count[np.where(known, place, 0)], 0.0)
+                value = np.where(known, log_count[place], 0.0)
                 outside = tokens >= v.size
                 far = np.flatnonzero(~known)
                 order = far[np.lexsort((hashes[far], whose[far]))]

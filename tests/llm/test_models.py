@@ -147,6 +147,13 @@ def test_classes_share_their_passes():
     assert calls(40) < 7
 
 
+@pytest.mark.parametrize("words", [[], [7], [0, 2**64 - 1], list(range(1, 60)), [(k * 0x9E3779B97F4A7C15) % 2**64 for k in range(3000)]])
+def test_places_of_words(words):
+    told = {w: k for k, w in enumerate(words, 1)}
+    asked = [*words, 0, 1, 61, 2**63, 2**64 - 2, 2**64 - 1]
+    assert lm_scoring.Places(np.array(words, np.uint64)).find(np.array(asked, np.uint64)).tolist() == [told.get(w, 0) for w in asked]
+
+
 def test_windows_do_not_change_scores():
     """A document's score is the same whatever stands beside it and however windows cut it."""
     v, m = model()
