@@ -76,3 +76,18 @@ def test_index_enumerates_all_phrases(pieces):
         assert dict(zip(map(tuple, words.T), counts, strict=True)) == want[3]
         words, counts = shard.quadruples(np.arange(shard.pairs.shape[1]), np.arange(words.shape[1]))
         assert dict(zip(map(tuple, words.T), counts, strict=True)) == want[4]
+
+
+def test_copies_add_no_quadruples():
+    """A shard gives each of its quadruples once, however many copies of a text it holds."""
+    rng = np.random.default_rng(1)
+    text, rest = rng.integers(1, 200, 300), rng.integers(1, 200, 20_000)
+
+    def rows(copies):
+        stream = np.concatenate([np.append(0, text)] * copies + [[0], rest, [0]]).astype(np.int32)
+        shard = phrases.Shard(stream, np.arange(1, 200, dtype=np.int32), np.arange(1, 200))
+        pairs = np.flatnonzero(shard.high - shard.low >= 30)
+        counts = shard.triples(pairs)[3]
+        return len(shard.quadruples(pairs, np.flatnonzero(counts >= 30))[1])
+
+    assert rows(30) == rows(300) == 297
